@@ -35,7 +35,7 @@ def zip_padded(fill: str, **arrays: Column) -> Column:
     zipped = F.arrays_zip(*[arrays[n].alias(n) for n in names])
     return F.transform(
         zipped,
-        lambda s: F.struct(*[F.coalesce(s[i], F.lit(fill)).alias(n) for i, n in enumerate(names)]),
+        lambda s: F.struct(*[F.coalesce(s[n], F.lit(fill)).alias(n) for n in names]),
     )
 
 

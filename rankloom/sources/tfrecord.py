@@ -81,6 +81,7 @@ def _byte_table() -> np.ndarray:
 
 
 _TABLE = _byte_table()
+_SHORT = _TABLE.tolist()
 _SPAN = 1024
 
 
@@ -96,7 +97,12 @@ _DISTANCE = _distance_tables(_SPAN + 4)
 
 
 def crc32c(data: bytes) -> int:
-    """CRC-32C, vectorised: the checksum is the XOR of each byte's own effect."""
+    """CRC-32C; long inputs are vectorised: the checksum is the XOR of each byte's own effect."""
+    if len(data) < 256:
+        crc = 0xFFFFFFFF
+        for byte in data:
+            crc = _SHORT[(crc ^ byte) & 0xFF] ^ (crc >> 8)
+        return crc ^ 0xFFFFFFFF
     octets = np.frombuffer(data, dtype=np.uint8)
     crc = 0xFFFFFFFF
     for at in range(0, len(octets), _SPAN):
