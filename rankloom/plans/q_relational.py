@@ -8,7 +8,7 @@ from rankloom.functions.text import token_list
 from rankloom.ml.serving import serving_table, union_all
 from rankloom.operators.encode import encode_lists, encode_token
 from rankloom.operators.joins import dimension_join, enrich_pairs, positional_zip
-from rankloom.operators.ordering import shard_rows, take_at_positions, top_k_per_key
+from rankloom.operators.ordering import ordered_prefix, shard_rows, take_at_positions, top_k_per_key
 from rankloom.operators.sampling import (
     downsample_negatives,
     repeat_epochs,
@@ -340,24 +340,12 @@ def serving_table_export(spark, sf_dir):
 
 @query(
     "sort_tuple",
-    """SELECT o_orderkey, string_agg(strftime(l_shipdate, '%Y%m%d') || ':' || l_partkey || ':' || l_linenumber, ' '
-              ORDER BY l_shipdate, l_partkey, l_linenumber) AS line
-       FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey""",
+    f"""WITH {INTER} SELECT cid, row_number() OVER (PARTITION BY cid ORDER BY ts, pid, tag, event_id) AS position, pid, tag, event_id FROM inter""",
 )
 def sort_tuple(spark, sf_dir):
-    """Lines of an order sorted by (time, item, line): the order is bounded by its lines."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), F.struct("l_shipdate", "l_partkey", "l_linenumber").alias("t")
-    )
-    known = table(spark, sf_dir, "orders").select("o_orderkey")
-    grouped = lines.join(known, "o_orderkey").groupBy("o_orderkey").agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    shown = F.transform(
-        "ts",
-        lambda t: F.concat_ws(
-            ":", F.date_format(t["l_shipdate"], "yyyyMMdd"), t["l_partkey"].cast("string"), t["l_linenumber"].cast("string")
-        ),
-    )
-    return grouped.select("o_orderkey", F.array_join(shown, " ").alias("line"))
+    """Every user's rows numbered in (time, item, tag) order; no user is collected."""
+    order = [F.asc("ts"), F.asc("pid"), F.asc("tag"), F.asc("event_id")]
+    return ordered_prefix(interactions(spark, sf_dir), order, by=["cid"]).drop("ts")
 
 
 @query("sort_global", "SELECT l_partkey AS token, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, token")
