@@ -52,29 +52,30 @@ def embedding_pool(
     ids: str,
     table: DataFrame,
     dim: int,
-    combiner: str = "mean",
+    pools: dict[str, str],
     weights: str | None = None,
     id_col: str = "id",
     vec_col: str = "vec",
-    out: str = "pooled",
     **sizes,
 ) -> DataFrame:
     """Pool the vectors of each row's ids; an empty row gives zeros.
 
-    ``sum``: weighted sum.  ``mean``: weighted sum over the number of ids.
-    ``sqrtn``: weighted sum over the root of the summed squared weights.
-    One running sum per dimension, so the shuffle carries one partial vector
-    per row and map task instead of one row per id and dimension.
+    ``pools`` maps an output column to its combiner.  ``sum``: weighted sum.
+    ``mean``: weighted sum over the number of ids.  ``sqrtn``: weighted sum over
+    the root of the summed squared weights.  One running sum per dimension, so
+    the shuffle carries one partial vector per row and map task instead of one
+    row per id and dimension.
     """
-    if combiner not in ("sum", "mean", "sqrtn"):
-        raise ValueError("combiner must be sum, mean or sqrtn")
-    pairs = F.col(ids) if weights is None else F.arrays_zip(F.col(ids).alias("id"), F.col(weights).alias("w"))
-    bag = df.select(key, F.explode_outer(pairs).alias("_e"))
-    bag = (
-        bag.select(key, F.col("_e").alias("_id"), F.when(F.col("_e").isNotNull(), F.lit(1.0)).alias("_w"))
-        if weights is None
-        else bag.select(key, F.col("_e.id").alias("_id"), F.col("_e.w").cast("double").alias("_w"))
-    )
+    if not set(pools.values()) <= {"sum", "mean", "sqrtn"}:
+        raise ValueError("a combiner is sum, mean or sqrtn")
+    if weights is None:
+        bag = df.select(key, F.explode_outer(ids).alias("_id"))
+        bag = bag.withColumn("_w", F.when(F.col("_id").isNotNull(), F.lit(1.0)))
+    else:
+        pairs = F.zip_with(ids, weights, lambda i, w: F.struct(i.alias("id"), w.cast("double").alias("w")))
+        bag = df.select(key, F.explode_outer(pairs).alias("_e")).select(
+            key, F.col("_e.id").alias("_id"), F.col("_e.w").alias("_w")
+        )
     vectors = table.select(F.col(id_col).alias("_vid"), F.col(vec_col).alias("_vec"))
     found = dimension_join(bag, vectors, [("_id", "_vid")], **sizes)
     sums = [F.sum(F.get("_vec", F.lit(d)).cast("double") * F.col("_w")).alias(f"_s{d}") for d in range(dim)]
@@ -85,9 +86,13 @@ def embedding_pool(
         "sum": F.lit(1.0),
         "mean": F.coalesce(F.try_divide(F.lit(1.0), F.col("_n").cast("double")), F.lit(0.0)),
         "sqrtn": F.coalesce(F.try_divide(F.lit(1.0), F.sqrt("_w2")), F.lit(0.0)),
-    }[combiner]
+    }
     return grouped.select(
-        key, F.array(*[F.coalesce(F.col(f"_s{d}"), F.lit(0.0)) * scale for d in range(dim)]).alias(out)
+        key,
+        *[
+            F.array(*[F.coalesce(F.col(f"_s{d}"), F.lit(0.0)) * scale[how] for d in range(dim)]).alias(out)
+            for out, how in pools.items()
+        ],
     )
 
 

@@ -154,14 +154,14 @@ def agg_topk_list(spark, sf_dir):
 
 @query(
     "agg_combine_by_key",
-    """SELECT l_suppkey AS key, sum(l_linenumber) AS total, count(*) AS n,
+    """SELECT l_suppkey AS key, CAST(sum(l_linenumber) AS BIGINT) AS total, count(*) AS n,
               max(l_quantity) AS best, min(l_quantity) AS worst FROM lineitem GROUP BY 1""",
 )
 def agg_combine_by_key(spark, sf_dir):
     """create / merge value / merge combiners as built-in partial and final aggregates."""
     rows = table(spark, sf_dir, "lineitem")
     return rows.groupBy(F.col("l_suppkey").alias("key")).agg(
-        F.sum("l_linenumber").cast("decimal(38,0)").alias("total"),
+        F.sum("l_linenumber").alias("total"),
         F.count(F.lit(1)).alias("n"),
         F.max("l_quantity").alias("best"),
         F.min("l_quantity").alias("worst"),
@@ -231,10 +231,8 @@ def agg_embedding_pool(spark, sf_dir):
     """Sum, mean and sqrtn pools of the same bags; ids without a vector add nothing."""
     rows = bags(spark, sf_dir, 600)
     emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
-    summed = embedding_pool(rows, "event_id", "ids", emb, 64, "sum", out="s")
-    mean = embedding_pool(rows, "event_id", "ids", emb, 64, "mean", out="m")
-    root = embedding_pool(rows, "event_id", "ids", emb, 64, "sqrtn", out="q")
-    return summed.join(mean, "event_id").join(root, "event_id").select(
+    pooled = embedding_pool(rows, "event_id", "ids", emb, 64, {"s": "sum", "m": "mean", "q": "sqrtn"})
+    return pooled.select(
         "event_id",
         F.round(F.get("s", F.lit(0)), 5).alias("sum0"),
         F.round(F.get("m", F.lit(31)), 5).alias("mean31"),
