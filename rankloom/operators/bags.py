@@ -98,8 +98,9 @@ def embedding_pool(
 
 def fm_second_order(df: DataFrame, key: str, vec: str, dim: int, out: str = "fm") -> DataFrame:
     """``0.5 * ((sum v)^2 - sum v^2)`` per dimension over the field rows of a key."""
-    first = [F.sum(F.get(vec, F.lit(d)).cast("double")).alias(f"_s{d}") for d in range(dim)]
-    second = [F.sum(F.pow(F.get(vec, F.lit(d)).cast("double"), F.lit(2.0))).alias(f"_q{d}") for d in range(dim)]
+    part = [F.get(vec, F.lit(d)).cast("double") for d in range(dim)]
+    first = [F.sum(v).alias(f"_s{d}") for d, v in enumerate(part)]
+    second = [F.sum(v * v).alias(f"_q{d}") for d, v in enumerate(part)]
     grouped = df.groupBy(key).agg(*first, *second)
     return grouped.select(
         key,

@@ -383,7 +383,7 @@ def eval_auc(spark, sf_dir):
 
 TASK_SQL = """s AS (SELECT 'click' AS task, CAST(l_returnflag <> 'N' AS INTEGER) AS label, l_discount * 5e0 + l_tax * 2e0 AS pred FROM lineitem
   UNION ALL SELECT 'conversion', CAST(l_returnflag = 'R' AS INTEGER), l_discount * 5e0 + l_tax * 2e0 FROM lineitem
-  UNION ALL SELECT 'none', 0, l_discount FROM lineitem)"""
+  UNION ALL SELECT 'none', 0, l_discount * 5e0 + l_tax * 2e0 FROM lineitem)"""
 
 
 def tasks(spark, sf_dir):

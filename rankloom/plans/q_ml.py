@@ -1 +1,283 @@
+"""Queries over learners, batch scoring, user functions and streams."""
 
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from rankloom.functions.numeric import sigmoid
+from rankloom.ml import learners, registry
+from rankloom.ml.estimator import RankerEstimator, RankerModel
+from rankloom.ml.scoring import linear_predictor, score_lines, score_partitions, score_udf
+from rankloom.operators.combine import combine_by_key
+from rankloom.plans.catalog import query, table
+from rankloom.session import scratch_path
+from rankloom.streaming.feed import feed_batches, read_events, score_stream
+
+DIM = 64
+BIAS = 0.1
+SQL_LOGIT = "list_sum([embedding[i]::DOUBLE * (((i - 1) * 37) % 101 - 50) / 1e2 FOR i IN range(1, 65)]) + 1e-1"
+
+
+def demo_weights() -> list[float]:
+    """Weights by formula, so that SQL can state the same model."""
+    return [((i * 37) % 101 - 50) / 100.0 for i in range(DIM)]
+
+
+def click_rows(spark, sf_dir):
+    """Clicks against views with an item id and the event value."""
+    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "view"))
+    return events.select(
+        "event_id",
+        (F.col("event_type") == "click").cast("int").alias("label"),
+        F.get_json_object("props", "$.k").cast("int").alias("item"),
+        "value",
+    )
+
+
+def _fit_and_score(spark, sf_dir, fit, **options):
+    rows = click_rows(spark, sf_dir)
+    model = fit(rows, ["item"], ["value"], steps=15, **options)
+    return learners.predict(model, rows, ["event_id", "label"]).withColumn("pred", F.round("pred", 6))
+
+
+@query("train_linear")
+def train_linear(spark, sf_dir):
+    return _fit_and_score(spark, sf_dir, learners.fit_linear, l1=0.001, l2=0.01)
+
+
+@query("train_fm")
+def train_fm(spark, sf_dir):
+    return _fit_and_score(spark, sf_dir, learners.fit_fm, factors=3)
+
+
+@query("train_mlp")
+def train_mlp(spark, sf_dir):
+    return _fit_and_score(spark, sf_dir, learners.fit_mlp, hidden=(4,))
+
+
+@query(
+    "cross_features",
+    "SELECT l_orderkey, l_linenumber, round(l_quantity * l_discount, 6) AS qd, round(l_quantity * l_tax, 6) AS qt FROM lineitem",
+)
+def cross_features(spark, sf_dir):
+    """Quantity crossed with a two-component vector."""
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    rows = VectorAssembler(inputCols=["l_discount", "l_tax"], outputCol="v").transform(rows)
+    crossed = learners.cross_stage(["l_quantity", "v"]).transform(rows).withColumn("c", vector_to_array("crossed"))
+    return crossed.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.round(F.get("c", F.lit(0)), 6).alias("qd"),
+        F.round(F.get("c", F.lit(1)), 6).alias("qt"),
+    )
+
+
+# --- batch scoring -----------------------------------------------------------------------
+
+
+@query(
+    "batch_predict_udf",
+    f"SELECT vec_id, round(1 / (1 + exp(-({SQL_LOGIT}))), 6) AS score FROM embeddings",
+)
+def batch_predict_udf(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings")
+    make = linear_predictor(demo_weights(), BIAS)
+    return emb.select("vec_id", F.round(score_udf(make, F.col("embedding"), DIM), 6).alias("score"))
+
+
+def _load_linear(weights, bias):
+    def load():
+        predict = linear_predictor(weights, bias)()
+        return lambda feed: {"p": predict(feed["x"]), "rows": np.full(len(feed["x"]), float(len(feed["x"])))}
+
+    return load
+
+
+@query(
+    "batch_predict_partitions",
+    f"SELECT vec_id, label, round(1 / (1 + exp(-({SQL_LOGIT}))), 6) AS score FROM embeddings",
+)
+def batch_predict_partitions(spark, sf_dir):
+    scored = score_partitions(
+        table(spark, sf_dir, "embeddings"),
+        _load_linear(demo_weights(), BIAS),
+        inputs={"embedding": "x"},
+        outputs={"p": "score"},
+        batch_size=128,
+        keep=["vec_id", "label"],
+        model_name="demo_linear",
+    )
+    return scored.withColumn("score", F.round("score", 6))
+
+
+def _parse_lines(lines: pd.Series):
+    fields = lines.str.split("|", regex=False)
+    ids = [fields.str[0].tolist(), fields.str[1].tolist()]
+    return ids, np.stack([np.array(text.split(","), dtype=np.float64) for text in fields.str[2]])
+
+
+@query(
+    "udf_pandas_scalar",
+    f"SELECT vec_id || chr(9) || label || chr(9) || printf('%.6f', 1 / (1 + exp(-({SQL_LOGIT})))) AS value FROM embeddings",
+)
+def udf_pandas_scalar(spark, sf_dir):
+    """Text rows in, ids and score out, joined by a delimiter."""
+    values = F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")), ",")
+    line = F.concat_ws("|", F.col("vec_id").cast("string"), F.col("label").cast("string"), values)
+    lines = table(spark, sf_dir, "embeddings").select(line.alias("line"))
+    make = linear_predictor(demo_weights(), BIAS)
+    return score_lines(lines, "line", make, _parse_lines).select(F.array_join("prediction", "\t").alias("value"))
+
+
+# --- Estimator and Model -------------------------------------------------------------------
+
+
+def _train(df, args):
+    """Logistic regression on the array column ``features``."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    ready = df.select("label", array_to_vector(F.col("features").cast("array<double>")).alias("x"))
+    fitted = LogisticRegression(featuresCol="x", labelCol="label", maxIter=args.steps, regParam=0.01).fit(ready)
+    return [float(w) for w in fitted.coefficients], float(fitted.intercept)
+
+
+def _load(state, args):
+    return _load_linear(*state)()
+
+
+@query("ml_estimator")
+def ml_estimator(spark, sf_dir):
+    """fit on (features, label), transform keeps the input columns and adds the score."""
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").alias("features"), (F.col("label") % 2).cast("double").alias("label")
+    )
+    estimator = RankerEstimator(_train, _load).configure(
+        input_mapping={"features": "x", "label": "y"}, output_mapping={"p": "pred"}, steps=10, batch_size=64
+    )
+    model = estimator.fit(rows)
+    return model.transform(rows).select("vec_id", "label", F.round("pred", 6).alias("pred"))
+
+
+@query(
+    "ml_model",
+    f"SELECT vec_id, round(1 / (1 + exp(-({SQL_LOGIT}))), 6) AS pred FROM embeddings",
+)
+def ml_model(spark, sf_dir):
+    model = RankerModel((demo_weights(), BIAS), _load).configure(
+        input_mapping={"embedding": "x"}, output_mapping={"p": "pred"}
+    )
+    return model.transform(table(spark, sf_dir, "embeddings")).select("vec_id", F.round("pred", 6).alias("pred"))
+
+
+@query(
+    "ml_params",
+    f"SELECT vec_id, round(1 / (1 + exp(-({SQL_LOGIT}))), 6) AS pred, TRUE AS within_batch FROM embeddings",
+)
+def ml_params(spark, sf_dir):
+    """A set param wins over the user's argument; the batch size limits each call."""
+    model = RankerModel((demo_weights(), BIAS), _load, {"batch_size": 1000}).configure(
+        input_mapping={"embedding": "x"}, output_mapping={"p": "pred", "rows": "n"}, batch_size=64
+    )
+    scored = model.transform(table(spark, sf_dir, "embeddings"))
+    return scored.select("vec_id", F.round("pred", 6).alias("pred"), (F.col("n") <= 64).alias("within_batch"))
+
+
+@query(
+    "model_registry",
+    "SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-(l_discount * 3 - l_tax))), 6) AS pred FROM lineitem",
+)
+def model_registry(spark, sf_dir):
+    """Score with a model that is looked up by name."""
+    if "discount_rule" not in registry.names():
+        registry.register("discount_rule", lambda discount, tax: sigmoid(discount * 3 - tax))
+    rule = registry.build("discount_rule")
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.round(rule(F.col("l_discount"), F.col("l_tax")), 6).alias("pred")
+    )
+
+
+# --- user functions ------------------------------------------------------------------------
+
+
+@query("udf_row", "SELECT p_partkey, 'gmv_' || p_name AS key, length(p_name) AS size FROM part")
+def udf_row(spark, sf_dir):
+    """A row function with a declared type, shipped in Arrow batches, next to a built-in."""
+    prefix = F.udf(lambda name: "gmv_" + name, "string", useArrow=True)
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", prefix("p_name").alias("key"), F.length("p_name").cast("bigint").alias("size")
+    )
+
+
+def _create_state(rows: pd.DataFrame) -> pd.DataFrame:
+    logs = pd.DataFrame({"key": rows["l_suppkey"], "total": np.log(rows["l_extendedprice"]), "n": 1})
+    return _merge_states(logs)
+
+
+def _merge_states(states: pd.DataFrame) -> pd.DataFrame:
+    return states.groupby("key", as_index=False).agg({"total": "sum", "n": "sum"})
+
+
+@query(
+    "udaf_combiner",
+    "SELECT l_suppkey AS key, count(*) AS n, round(exp(avg(ln(l_extendedprice))), 4) AS geometric_mean FROM lineitem GROUP BY 1",
+)
+def udaf_combiner(spark, sf_dir):
+    """Geometric mean as a user-defined create / merge pair."""
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice")
+    states = combine_by_key(rows, ["key"], _create_state, _merge_states, "key bigint, total double, n bigint")
+    return states.select("key", "n", F.round(F.exp(F.col("total") / F.col("n")), 4).alias("geometric_mean"))
+
+
+@query(
+    "partition_fn",
+    "SELECT vec_id, round(sqrt(list_sum([x::DOUBLE * x::DOUBLE FOR x IN embedding])), 6) AS norm FROM embeddings",
+)
+def partition_fn(spark, sf_dir):
+    """A function from batches to batches inside each partition."""
+
+    def norms(frames):
+        for frame in frames:
+            matrix = np.stack(frame["embedding"]).astype(np.float64) if len(frame) else np.zeros((0, DIM))
+            yield pd.DataFrame({"vec_id": frame["vec_id"], "norm": np.sqrt((matrix**2).sum(axis=1))})
+
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return rows.mapInPandas(norms, "vec_id bigint, norm double").withColumn("norm", F.round("norm", 6))
+
+
+# --- streams ---------------------------------------------------------------------------------
+
+
+def _event_stream(spark, sf_dir):
+    schema = table(spark, sf_dir, "events").schema
+    return read_events(spark, sf_dir, schema, name_glob="events.parquet")
+
+
+@query("stream_feed_batches", "SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'")
+def stream_feed_batches(spark, sf_dir):
+    path = scratch_path(spark, "stream")
+    run = feed_batches(
+        _event_stream(spark, sf_dir),
+        path,
+        scratch_path(spark, "stream-state"),
+        transform=lambda rows: rows.filter(F.col("event_type") != "error"),
+    )
+    run.awaitTermination()
+    return spark.read.parquet(path).select("event_id", "user_id", "event_type", "value")
+
+
+@query("stream_score", "SELECT event_id, round(1 / (1 + exp(-(value / 1e2 - 5e-1))), 6) AS score FROM events")
+def stream_score(spark, sf_dir):
+    path = scratch_path(spark, "stream")
+
+    def score(rows):
+        return rows.select("event_id", F.round(sigmoid(F.col("value") / 100.0 - 0.5), 6).alias("score"))
+
+    run = feed_batches(score_stream(_event_stream(spark, sf_dir), score), path, scratch_path(spark, "stream-state"))
+    run.awaitTermination()
+    return spark.read.parquet(path).select("event_id", "score")
