@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.functions.arrays import let
 from rankloom.operators.joins import dimension_join
 
 
@@ -96,18 +97,25 @@ def embedding_pool(
     )
 
 
-def fm_second_order(df: DataFrame, key: str, vec: str, dim: int, out: str = "fm") -> DataFrame:
-    """``0.5 * ((sum v)^2 - sum v^2)`` per dimension over the field rows of a key."""
-    part = [F.get(vec, F.lit(d)).cast("double") for d in range(dim)]
-    first = [F.sum(v).alias(f"_s{d}") for d, v in enumerate(part)]
-    second = [F.sum(v * v).alias(f"_q{d}") for d, v in enumerate(part)]
-    grouped = df.groupBy(key).agg(*first, *second)
-    return grouped.select(
-        key,
-        F.array(
-            *[F.lit(0.5) * (F.col(f"_s{d}") * F.col(f"_s{d}") - F.col(f"_q{d}")) for d in range(dim)]
-        ).alias(out),
-    )
+def fm_second_order(vectors: Sequence[Column]) -> Column:
+    """``0.5 * ((sum v)^2 - sum v^2)`` per dimension over the field vectors of a row.
+
+    The fields of a sample are columns of one row, so nothing is shuffled.  A
+    missing vector counts as zeros.
+    """
+
+    def add(a: Column, b: Column) -> Column:
+        return F.zip_with(a, b, lambda x, y: x + y)
+
+    present = F.filter(F.array(*[v.cast("array<double>") for v in vectors]), lambda v: v.isNotNull())
+
+    def fold(vs: Column) -> Column:
+        zero = F.array_repeat(F.lit(0.0), F.size(F.get(vs, F.lit(0))))
+        sums = F.aggregate(vs, zero, add)
+        squares = F.aggregate(vs, zero, lambda acc, v: F.zip_with(acc, v, lambda x, y: x + y * y))
+        return F.zip_with(sums, squares, lambda s, q: F.lit(0.5) * (s * s - q))
+
+    return let(present, fold)
 
 
 def linear_score(features: DataFrame, key: str, token: str, weights: DataFrame, bias: float, **sizes) -> DataFrame:

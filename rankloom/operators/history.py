@@ -108,20 +108,23 @@ def last_n_history(
     streams: Sequence[str],
     n: int = 20,
     max_rows_per_key: int = MAX_ROWS_PER_KEY,
+    few_targets: bool = False,
 ) -> DataFrame:
     """Add ``<s>_history`` for every stream: the last ``n`` items strictly before.
 
     "Before" is by ``order``, which should end in a unique column; a source
     that ties with the target on all of it does not count as earlier.
+    ``few_targets`` says that targets are bounded per key (sampled), so only
+    sources are counted to find keys that need chunks.
     """
     keys, order = list(keys), list(order)
     used = sources.filter(F.col(stream).isin(*streams))
     events = _events(targets, used, keys, order, item, stream)
-    hot = hot_keys(events, keys, max_rows_per_key)
+    hot = materialize(hot_keys(used if few_targets else events, keys, max_rows_per_key))
     total_hot = hot.agg(F.sum("n_rows")).first()[0]
     if not total_hot:
         return _plain(events, keys, order, streams, n)
-    hot_side = broadcast_if_small(materialize(hot.select(*keys)))
+    hot_side = broadcast_if_small(hot.select(*keys))
     regular = _plain(events.join(hot_side, keys, "left_anti"), keys, order, streams, n)
     heavy = _chunked(
         events.join(hot_side, keys, "left_semi"), keys, order, streams, n, total_hot, max_rows_per_key

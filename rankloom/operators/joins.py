@@ -46,11 +46,10 @@ def dimension_join(
         return joined(df, F.broadcast(right), how)
 
     keyed = df.na.drop(subset=lefts)
-    hot = hot_keys(keyed, lefts, hot_rows).select(*lefts)
+    hot = materialize(hot_keys(keyed, lefts, hot_rows).select(*lefts))
     if hot.isEmpty():
         result = joined(keyed, right, how)
     else:
-        hot = materialize(hot)
         names = [f"_k{i}" for i in range(len(on))]
         hot_right = materialize(right.join(F.broadcast(hot.toDF(*names)), names, "left_semi"))
         heavy = joined(keyed.join(F.broadcast(hot), lefts, "left_semi"), F.broadcast(hot_right), how)

@@ -33,11 +33,14 @@ def ordered_prefix(
     sums: dict[str, Column] | None = None,
     position: str = "position",
     parts: int | None = None,
+    group_totals: bool = False,
 ) -> DataFrame:
     """Add the 1-based ``position`` and inclusive running ``sums`` per group.
 
     ``order`` must be a total order within a group.  ``sums`` maps an output
-    column to the expression that is accumulated.
+    column to the expression that is accumulated.  ``group_totals`` also adds
+    the sums of the whole group as ``total_<name>``; meant for few groups, as
+    one row per group is broadcast.
     """
     by, sums = list(by), dict(sums or {})
     addends = {f"_add_{name}": expr for name, expr in sums.items()}
@@ -75,6 +78,16 @@ def ordered_prefix(
         ranged = ranged.withColumn("_local", F.col("_row") - F.shiftleft("_chunk", _ROWS_BITS) + 1)
 
     joined = ranged.join(F.broadcast(shifts), same, "left")
+    whole = []
+    if group_totals:
+        whole = [f"total_{name}" for name in sums]
+        per_group = totals.groupBy(*by).agg(
+            *[F.sum(f"_sum_add_{name}").alias(f"total_{name}") for name in sums]
+        )
+        if by:
+            joined = joined.join(F.broadcast(per_group), by)
+        else:
+            joined = joined.withColumns({w: per_group.select(w).scalar() for w in whole})
     return joined.select(
         *[F.col(c) for c in df.columns],
         (F.col("_local") + F.coalesce("_n_before", F.lit(0))).alias(position),
@@ -82,6 +95,7 @@ def ordered_prefix(
             (F.col(f"_run_add_{name}") + F.coalesce(f"_before_add_{name}", F.lit(0))).alias(name)
             for name in sums
         ],
+        *whole,
     )
 
 
@@ -133,11 +147,10 @@ def order_statistics(df: DataFrame, columns: Sequence[str], groups: int) -> Data
         ).alias("s")
     ).select("s.field", "s.v")
     counts = long.filter(F.col("v").isNotNull()).groupBy("field", "v").agg(F.count(F.lit(1)).alias("n"))
-    placed = materialize(ordered_prefix(counts, [F.asc("v")], by=["field"], sums={"upto": F.col("n")}))
-    size = placed.groupBy("field").agg(F.sum("n").alias("total"))  # one row per column
-    low = F.floor(F.col("total") / F.lit(groups)).cast("bigint")
-    high = F.least(F.col("total") - low, F.col("total") - 1)
-    ranked = placed.join(F.broadcast(size), "field").select(
+    placed = ordered_prefix(counts, [F.asc("v")], by=["field"], sums={"upto": F.col("n")}, group_totals=True)
+    low = F.floor(F.col("total_upto") / F.lit(groups)).cast("bigint")
+    high = F.least(F.col("total_upto") - low, F.col("total_upto") - 1)
+    ranked = placed.select(
         "field", "v", (F.col("upto") - F.col("n")).alias("first"), "upto", low.alias("low"), high.alias("high")
     )
 

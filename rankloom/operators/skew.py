@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+# Hot keys are looked for in this share of the rows when the limit is large.
+SAMPLED_SHARE = 1 / 64
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows (one count, nothing is moved)."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -26,5 +30,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
-    """Keys with more than ``max_rows`` rows: at most ``total / max_rows`` of them."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > max_rows)
+    """Keys with more than ``max_rows`` rows and their row count ``n_rows``.
+
+    There are at most ``total / max_rows`` of them.  For a large limit the
+    counts are estimated from a sample of the rows, which keeps the counting
+    shuffle small; a key near the limit may fall on either side.  The answer
+    only steers how rows are distributed, never which rows are kept.  Write it
+    out before using it twice.
+    """
+    share = SAMPLED_SHARE if max_rows * SAMPLED_SHARE >= 1000 else 1.0
+    rows = df.select(*keys)
+    if share < 1.0:
+        rows = rows.sample(withReplacement=False, fraction=share, seed=777)
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows * share)
+    return counted.select(*keys, (F.col("_n") / F.lit(share)).cast("bigint").alias("n_rows"))

@@ -64,7 +64,7 @@ def coverage_vocabulary(
     counts: DataFrame,
     rates: dict[str, float] | float,
     by: str | None = None,
-    totals: dict[str, int] | None = None,
+    totals: dict[str, int] | int | None = None,
 ) -> DataFrame:
     """Head of the frequency order whose running count stays below rate * total.
 
@@ -73,18 +73,20 @@ def coverage_vocabulary(
     number of padded rows).  Ids are dense from 1 in frequency order.
     """
     groups = [by] if by else []
-    placed = ordered_prefix(counts, frequency_order(), by=groups, sums={"running": F.col("n")}, position="id")
+    placed = ordered_prefix(
+        counts, frequency_order(), by=groups, sums={"running": F.col("n")}, position="id", group_totals=totals is None
+    )
     if by:
-        group_total = counts.groupBy(by).agg(F.sum("n").alias("_total"))  # one row per field
-        placed = placed.join(F.broadcast(group_total), by)
         rate = F.element_at(F.create_map(*[F.lit(x) for kv in rates.items() for x in kv]), F.col(by))
-        if totals:
-            given = F.create_map(*[F.lit(x) for kv in totals.items() for x in kv])
-            placed = placed.withColumn("_total", F.coalesce(F.element_at(given, F.col(by)), F.col("_total")))
-        threshold = rate * F.col("_total")
     else:
-        total = F.lit(totals) if totals is not None else counts.agg(F.sum("n").alias("t")).scalar()
-        threshold = F.lit(float(rates)) * total
+        rate = F.lit(float(rates))
+    if totals is None:
+        total = F.col("total_running")
+    elif by:
+        total = F.element_at(F.create_map(*[F.lit(x) for kv in totals.items() for x in kv]), F.col(by))
+    else:
+        total = F.lit(totals)
+    threshold = rate * total
     return placed.filter(F.col("running") < threshold).select(*groups, "token", "n", "running", "id")
 
 

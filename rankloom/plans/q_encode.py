@@ -274,12 +274,18 @@ def pair_interaction(spark, sf_dir):
 )
 def fm_query(spark, sf_dir):
     """Three field vectors per event; the second-order term per dimension."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    ids = F.array(k, F.col("user_id") % 500, F.col("event_id") % 500)
-    fields = table(spark, sf_dir, "events").select("event_id", F.explode(ids).alias("id"))
-    emb = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
-    rows = dimension_join(fields, emb, [("id", "vec_id")], how="inner")
-    return fm_second_order(rows, "event_id", "vec", 64).select(
+    rows = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.get_json_object("props", "$.k").cast("bigint").alias("id0"),
+        (F.col("user_id") % 500).alias("id1"),
+        (F.col("event_id") % 500).alias("id2"),
+    )
+    emb = table(spark, sf_dir, "embeddings")
+    for i in range(3):
+        vectors = emb.select("vec_id", F.col("embedding").alias(f"vec{i}"))
+        rows = dimension_join(rows, vectors, [(f"id{i}", "vec_id")])
+    scored = rows.select("event_id", fm_second_order([F.col(f"vec{i}") for i in range(3)]).alias("fm"))
+    return scored.select(
         "event_id", F.round(F.get("fm", F.lit(0)), 6).alias("d0"), F.round(arrays.total(F.col("fm")), 5).alias("total")
     )
 

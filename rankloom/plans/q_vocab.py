@@ -278,7 +278,7 @@ def win_running_sum(spark, sf_dir):
 )
 def vocab_by_coverage(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string").alias("token"))
-    return coverage_vocabulary(materialize(token_frequency(rows)), 0.9)
+    return coverage_vocabulary(token_frequency(rows), 0.9)
 
 
 @query(

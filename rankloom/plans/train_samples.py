@@ -56,6 +56,7 @@ def label_samples(log: DataFrame, row_id: str, settings: SampleSettings = Sample
         streams=["click", "order"],
         n=settings.history,
         max_rows_per_key=settings.max_rows_per_user,
+        few_targets=True,
     )
     crossed = cross_tokens(
         cross_tokens(found, "pid", "click_history", "click_cross"), "pid", "order_history", "order_cross"
