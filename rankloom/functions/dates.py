@@ -11,8 +11,11 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def parse_seconds(col: Column | str) -> Column:
-    """Parse ``yyyy-MM-dd HH:mm:ss[.fraction]``, cutting the fraction."""
-    return F.to_timestamp(F.substring_index(col, ".", 1), TS_FORMAT)
+    """Parse ``yyyy-MM-dd HH:mm:ss[.fraction]``, cutting the fraction.
+
+    The result carries no time zone, so it does not depend on the session's.
+    """
+    return F.to_timestamp_ntz(F.substring_index(col, ".", 1), F.lit(TS_FORMAT))
 
 
 def shift_date(col: Column | str, days: int) -> Column:

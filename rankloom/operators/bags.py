@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.arrays import let
 from rankloom.operators.joins import dimension_join
+from rankloom.operators.skew import broadcast_if_small
 
 
 def multihot(df: DataFrame, key: str, ids: str, depth: int, combiner: str = "sum") -> DataFrame:
@@ -143,6 +144,6 @@ def merge_shards(df: DataFrame, shard: str, row: str, out: str = "id") -> DataFr
     before = Window.orderBy(shard).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col(shard).alias("_shard"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     rest: Sequence[str] = [c for c in df.columns if c not in (shard, row)]
-    return df.join(F.broadcast(offsets), F.col(shard) == F.col("_shard")).select(
+    return df.join(broadcast_if_small(offsets), F.col(shard) == F.col("_shard")).select(
         (F.col("_off") + F.col(row)).alias(out), *rest
     )

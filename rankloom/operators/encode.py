@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.arrays import pad_to, sort_by_index
 from rankloom.operators.joins import dimension_join
+from rankloom.operators.skew import BROADCAST_ROWS, fits_broadcast
 
 
 def encode_token(df: DataFrame, vocab: DataFrame, token: str, out: str, default: int = 0, **sizes) -> DataFrame:
@@ -19,6 +20,19 @@ def encode_token(df: DataFrame, vocab: DataFrame, token: str, out: str, default:
     return found.select(*keep, F.coalesce("_id", F.lit(default).cast("bigint")).alias(out))
 
 
+def _broadcast_fields(vocab: DataFrame, fields: set[str], max_rows: int) -> set[str]:
+    """Fields whose vocabularies fit into ``max_rows`` rows together, smallest first."""
+    rows = vocab.filter(F.col("field").isin(*fields)).groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {f: 0 for f in fields} | {r["field"]: r["n"] for r in rows}  # one row per field
+    chosen: set[str] = set()
+    for name in sorted(counts, key=counts.get):
+        if counts[name] > max_rows:
+            break
+        max_rows -= counts[name]
+        chosen.add(name)
+    return chosen
+
+
 def encode_lists(
     df: DataFrame,
     vocab: DataFrame,
@@ -27,24 +41,26 @@ def encode_lists(
     scalars: dict[str, str | None] | None = None,
     default: int = 0,
     drop_empty: bool = False,
+    max_rows: int = BROADCAST_ROWS,
     **sizes,
 ) -> DataFrame:
-    """Encode list columns (and scalar columns) in one lookup and one regrouping.
+    """Encode list columns (and scalar columns) with one regrouping.
 
     ``lists`` and ``scalars`` map a column to the vocabulary field it belongs
     to, or to None for a vocabulary without a ``field`` column.  Every token of
-    every column becomes one row, all are looked up together, and the rows of
-    a sample come back together by ``key`` (unique per row).  The other
-    columns travel on one anchor row per sample, which also keeps samples
-    whose lists are empty.  ``drop_empty`` removes those.
+    every column becomes one row; fields with small vocabularies are looked up
+    by broadcast, only the tokens of large ones are shuffled; and the rows of a
+    sample come back together by ``key`` (unique per row).  The other columns
+    travel on one anchor row per sample, which also keeps samples whose lists
+    are empty.  ``drop_empty`` removes those.
     """
     scalars = dict(scalars or {})
-    encoded = [*lists, *scalars]
-    with_field = any(f is not None for f in [*lists.values(), *scalars.values()])
+    slots = {**lists, **scalars}
+    fields = {f for f in slots.values() if f is not None}
     if drop_empty:
         for name in lists:
             df = df.filter(F.size(name) > 0)
-    rest = [c for c in df.columns if c not in encoded and c != key]
+    rest = [c for c in df.columns if c not in slots and c != key]
     payload = F.struct(*rest) if rest else F.struct(F.lit(1).alias("_one"))
     payload_type = df.select(payload.alias("p")).schema["p"].dataType
 
@@ -53,27 +69,35 @@ def encode_lists(
             F.lit(slot).alias("slot"), pos.alias("pos"), F.lit(field).cast("string").alias("field"), token.alias("token")
         )
 
-    parts = [F.array(entry("", F.lit(0), None, F.lit(None).cast("string")))]
-    for name, field in scalars.items():
-        parts.append(F.array(entry(name, F.lit(0), field, F.col(name).cast("string"))))
-    def list_entries(slot: str, field: str | None) -> Column:
-        return F.transform(slot, lambda t, i: entry(slot, i, field, t.cast("string")))
-
-    parts += [list_entries(name, field) for name, field in lists.items()]
-    rows = df.select(key, payload.alias("_row"), F.explode(F.concat(*parts)).alias("e")).select(
-        key,
-        F.when(F.col("e.slot") == "", F.col("_row")).otherwise(F.lit(None).cast(payload_type)).alias("_row"),
-        "e.slot",
-        "e.pos",
-        "e.field",
-        "e.token",
-    )
-    on = [("token", "_token")]
-    table = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
-    if with_field:
-        on = [("field", "_field"), ("token", "_token")]
-        table = vocab.select(F.col("field").alias("_field"), F.col("token").alias("_token"), F.col("id").alias("_id"))
-    found = dimension_join(rows, table, on, **sizes).withColumn("_id", F.coalesce("_id", F.lit(default).cast("bigint")))
+    def entries(slot: str) -> Column:
+        if slot in scalars:
+            return F.array(entry(slot, F.lit(0), slots[slot], F.col(slot).cast("string")))
+        return F.transform(slot, lambda t, i: entry(slot, i, slots[slot], t.cast("string")))
+
+    def token_rows(names: Sequence[str], anchored: bool) -> DataFrame:
+        parts = [entries(n) for n in names]
+        if anchored:
+            parts.insert(0, F.array(entry("", F.lit(0), None, F.lit(None).cast("string"))))
+        exploded = df.select(key, payload.alias("_row"), F.explode(F.concat(*parts)).alias("e"))
+        own = F.when(F.col("e.slot") == "", F.col("_row")) if anchored else F.lit(None)
+        return exploded.select(key, own.cast(payload_type).alias("_row"), "e.slot", "e.pos", "e.field", "e.token")
+
+    on = [("field", "_field"), ("token", "_token")] if fields else [("token", "_token")]
+    tagged = [F.col("field").alias("_field")] if fields else []
+    table = vocab.select(*tagged, F.col("token").alias("_token"), F.col("id").alias("_id"))
+    if fields:
+        near = _broadcast_fields(vocab, fields, max_rows)
+    else:
+        near = {None} if fits_broadcast(vocab, max_rows) else set()
+    small = [n for n, f in slots.items() if f in near or (f is None and fields)]
+    large = [n for n in slots if n not in small]
+    side = table.filter(F.col("_field").isin(*near)) if fields else table
+    found = dimension_join(token_rows(small, anchored=True), side, on, fits=True) if small or fields else None
+    if large:
+        far = table.filter(~F.col("_field").isin(*near)) if near and fields else table
+        looked_up = dimension_join(token_rows(large, anchored=found is None), far, on, fits=False, **sizes)
+        found = looked_up if found is None else found.unionByName(looked_up)
+    found = found.withColumn("_id", F.coalesce("_id", F.lit(default).cast("bigint")))
 
     def column(name: str) -> Column:
         mine = F.col("slot") == name
@@ -82,9 +106,7 @@ def encode_lists(
         listed = F.collect_list(F.when(mine, F.struct("pos", F.col("_id").alias("item"))))
         return sort_by_index(listed).alias(name)
 
-    grouped = found.groupBy(key).agg(
-        F.first("_row", ignorenulls=True).alias("_row"), *[column(name) for name in encoded]
-    )
+    grouped = found.groupBy(key).agg(F.first("_row", ignorenulls=True).alias("_row"), *[column(name) for name in slots])
     return grouped.select(*[F.col(f"_row.{c}") if c in rest else F.col(c) for c in df.columns])
 
 

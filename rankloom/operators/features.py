@@ -46,6 +46,33 @@ class FeatureSpec:
         if self.transform == "tabled" and not self.size:
             raise ValueError(f"{self.name}: tabled needs a size")
 
+    @classmethod
+    def from_config(cls, name: str, record: Mapping) -> "FeatureSpec":
+        """One record of a feature configuration.
+
+        ``{type, transform, style: [..], multi: {num, same, combiner},
+        parameter: {name, embed_dim, default, fill, tail, size}, group: [..], ignore}``
+        """
+        multi, parameter = record.get("multi") or {}, record.get("parameter") or {}
+        style = record.get("style") or ()
+        return cls(
+            name=name,
+            kind=record["type"],
+            column=parameter.get("column"),
+            transform=record.get("transform"),
+            style=(style,) if isinstance(style, str) else tuple(style),
+            num=multi.get("num", 1),
+            combiner=multi.get("combiner", "none"),
+            same=multi.get("same", True),
+            embed_dim=parameter.get("embed_dim"),
+            size=parameter.get("size"),
+            fill=str(parameter.get("fill", "")),
+            default=parameter.get("default", 0),
+            tail=parameter.get("tail"),
+            groups=tuple(record.get("group") or ()),
+            ignore=bool(record.get("ignore", False)),
+        )
+
     @property
     def source(self) -> str:
         return self.column or self.name
@@ -67,6 +94,14 @@ class Widths:
     groups: dict[str, list[str]] = field(default_factory=dict)
 
 
+def specs_from_config(config: Mapping[str, Mapping], columns: Mapping[int, str]) -> list[FeatureSpec]:
+    """Specs in file order: ``columns`` maps ordinals to names, as a positional schema does.
+
+    Columns without a record are not features.
+    """
+    return [FeatureSpec.from_config(columns[i], config[columns[i]]) for i in sorted(columns) if columns[i] in config]
+
+
 def active(specs: Sequence[FeatureSpec]) -> list[FeatureSpec]:
     return [s for s in specs if not s.ignore]
 

@@ -91,10 +91,19 @@ def _chunked(events, keys, order, streams, n, total_rows, max_rows):
         .select(*part, "_stream", F.posexplode("_tail").alias("_at", "_item"))
     )
     starts = chunks.select(*part).distinct().withColumn("_at", F.lit(-1))
-    # At most n items per stream and chunk: small enough for the plain form.
-    carry = _plain(
-        _events(starts, handed, list(keys), ["_chunk", "_at"], "_item", "_stream"), keys, ["_chunk", "_at"], streams, n
-    ).select(*part, *[F.col(f"{s}_history").alias(f"_carry_{s}") for s in streams])
+    # At most n items per stream and chunk; if even that is a lot for one key,
+    # it is cut into chunks in turn.
+    carry_rows = parts * (n * len(streams) + 1)
+    place = ["_step", "_at"]
+    starts, handed = (t.withColumnRenamed("_chunk", "_step") for t in (starts, handed))
+    passed_on = _events(starts, handed, list(keys), place, "_item", "_stream")
+    if max_rows < carry_rows < total_rows // 2:
+        carry = _chunked(materialize(passed_on), keys, place, streams, n, carry_rows, max_rows)
+    else:
+        carry = _plain(passed_on, keys, place, streams, n)
+    carry = carry.select(
+        *keys, F.col("_step").alias("_chunk"), *[F.col(f"{s}_history").alias(f"_carry_{s}") for s in streams]
+    )
     return _finish(rows.join(broadcast_if_small(carry), part, "left"), streams, n, carried=True)
 
 

@@ -20,6 +20,7 @@ def dimension_join(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Add the non-key columns of ``dim``; ``on`` pairs (left, dim) key columns.
 
@@ -28,6 +29,7 @@ def dimension_join(
     the left: there are at most ``rows / hot_rows`` of those, so their
     dimension rows are broadcast and their left rows stay where they are.
     Rows without a key cannot match and are kept out of the shuffle as well.
+    ``fits`` hands over the result of a size check that was already made.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
@@ -42,7 +44,7 @@ def dimension_join(
             cond = cond & (F.col(name) == F.col(f"_k{i}"))
         return left.join(side, cond, kind).select(*df.columns, *values)
 
-    if fits_broadcast(right, max_rows):
+    if fits if fits is not None else fits_broadcast(right, max_rows):
         return joined(df, F.broadcast(right), how)
 
     keyed = df.na.drop(subset=lefts)

@@ -14,6 +14,7 @@ from rankloom.sources.delimited import (
     positional_schema,
     read_delimited,
     read_headed,
+    read_neighbours,
 )
 from rankloom.sources.interactions import read_user_log
 from rankloom.sources.sinks import joined_line, write_replacing, write_text
@@ -70,7 +71,7 @@ def scan_user_log(spark, sf_dir):
         "user_id",
         "event_id",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.date_trunc("second", F.col("ts")).cast("timestamp").alias("t"),
+        F.substring_index(F.col("ts").cast("string"), ".", 1).cast("timestamp_ntz").alias("t"),
     )
 
     def steps(n):
@@ -81,8 +82,7 @@ def scan_user_log(spark, sf_dir):
         times = F.transform(
             steps(n),
             lambda i: F.concat(
-                F.date_format(F.timestamp_seconds(F.unix_timestamp("t") + shift + i - 1), "yyyy-MM-dd HH:mm:ss"),
-                F.lit(".0"),
+                (F.col("t") + F.make_dt_interval(secs=(i + (shift - 1)).cast("decimal(18,6)"))).cast("string"), F.lit(".0")
             ),
         )
         return F.array_join(items, ","), F.array_join(times, ",")
@@ -95,7 +95,7 @@ def scan_user_log(spark, sf_dir):
     path = scratch_path(spark, "userlog")
     write_text(events, line, path)
     return read_user_log(spark, path).select(
-        "cid", "pid", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "tag", "seq"
+        "cid", "pid", F.col("ts").cast("string").alias("ts"), "tag", "seq"
     )
 
 
@@ -284,3 +284,25 @@ def sink_json_lines(spark, sf_dir):
         F.size("j.info.l").cast("bigint").alias("n"),
         F.get("j.info.l", F.lit(0))["n"].alias("best"),
     )
+
+
+@query(
+    "recs_from_neighbours",
+    """WITH s AS (SELECT CAST(l_suppkey AS INTEGER) AS pid, CAST(l_partkey AS INTEGER) AS item, l_orderkey, l_linenumber, l_quantity * l_discount AS score FROM lineitem),
+       r AS (SELECT pid, item, row_number() OVER (PARTITION BY pid ORDER BY score DESC, item) AS rn FROM s)
+       SELECT CAST(pid AS BIGINT) AS pid, '{"item_key":{"s":"' || pid || '"},"info":{"l":[' || string_agg('{"n":"' || item || '"}', ',' ORDER BY rn) || ']}}' AS json
+       FROM r WHERE rn <= 200 GROUP BY pid""",
+)
+def recs_from_neighbours(spark, sf_dir):
+    """Bracketed CSV neighbour lists to one JSON line per item."""
+    path = scratch_path(spark, "neighbours")
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("("), F.col("l_suppkey").cast("string")),
+        F.concat(F.lit(" "), F.col("l_partkey").cast("string")),
+        F.concat(F.lit(" "), F.col("l_quantity").cast("string")),
+        F.concat(F.lit(" "), F.col("l_discount").cast("string"), F.lit(")")),
+    )
+    rows.write.csv(path)
+    pairs = read_neighbours(spark, path)
+    recs = top_recommendations(pairs, "pid", "match_id", F.col("score"))
+    return recs.select(F.col("pid").cast("bigint").alias("pid"), "json")

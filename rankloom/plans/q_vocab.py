@@ -398,10 +398,9 @@ TRAIN_SQL = f"""WITH {SAMPLE_CTE}, {TOKENS}, {VOCAB}, {PROFILE_BUCKETS},
   LEFT JOIN order_cross_e oc ON oc.sample_id = s.sample_id"""
 
 
-@query("train_samples", TRAIN_SQL)
-def train_samples_query(spark, sf_dir):
-    """Log to encoded sample lines with fold, the whole job."""
-    profile = (
+def _sample_profile(spark, sf_dir):
+    """Profile with missing prices; small parts have none at all."""
+    return (
         table(spark, sf_dir, "part")
         .filter(F.col("p_size") > 10)
         .select(
@@ -410,12 +409,53 @@ def train_samples_query(spark, sf_dir):
             F.col("p_size").cast("double").alias("size"),
         )
     )
+
+
+@query("train_samples", TRAIN_SQL)
+def train_samples_query(spark, sf_dir):
+    """Log to encoded sample lines with fold, the whole job."""
+    profile = _sample_profile(spark, sf_dir)
     done = train_samples(
         interactions(spark, sf_dir), "event_id", profile, "key", ["price", "size"], SampleSettings(buckets=30)
     )
     return done.select("sample_id", "label", "fold", "line")
 
 
+MINMAX_BUCKETS = """prof AS (SELECT CAST(p_partkey AS VARCHAR) AS key, CASE WHEN p_size % 7 = 0 THEN 0 ELSE p_retailprice END AS price,
+    CAST(p_size AS DOUBLE) AS size FROM part WHERE p_size > 10),
+  lim AS (SELECT min(price) AS plo, max(price) AS phi, min(size) AS slo, max(size) AS shi FROM prof),
+  buckets AS (SELECT key, CAST(ceil((price - plo) / ((phi - plo) / 29e0)) AS BIGINT) AS price,
+     CAST(ceil((size - slo) / ((shi - slo) / 29e0)) AS BIGINT) AS size FROM prof, lim)"""
+
+
+def _two_per_user(sql: str) -> str:
+    return sql.replace("count(*) FILTER (WHERE tag = 0), 7)", "count(*) FILTER (WHERE tag = 0), 2)")
+
+
+@query(
+    "train_samples_left",
+    _two_per_user(
+        TRAIN_SQL.replace(PROFILE_BUCKETS, MINMAX_BUCKETS)
+        .replace("FROM samples s JOIN buckets b", "FROM samples s LEFT JOIN buckets b")
+        .replace("b.price", "coalesce(b.price, 0)")
+        .replace("b.size", "coalesce(b.size, 0)")
+    ),
+)
+def train_samples_left(spark, sf_dir):
+    """Two samples per user and label, min-max buckets, items without profile kept."""
+    done = train_samples(
+        interactions(spark, sf_dir),
+        "event_id",
+        _sample_profile(spark, sf_dir),
+        "key",
+        ["price", "size"],
+        SampleSettings(buckets=30, per_user=2),
+        keep_missing=True,
+        bucket_mode="minmax",
+    )
+    return done.select("sample_id", "label", "fold", "line")
+
+
 # --- tabular job ------------------------------------------------------------------------
 
 

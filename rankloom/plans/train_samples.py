@@ -148,11 +148,19 @@ def train_samples(
     profile_columns: Sequence[str],
     settings: SampleSettings = SampleSettings(),
     drop_empty: bool = False,
+    keep_missing: bool = False,
+    bucket_mode: str = "trimmed",
 ) -> DataFrame:
-    """Encoded samples with their text line and fold (0 = evaluation)."""
+    """Encoded samples with their text line and fold (0 = evaluation).
+
+    ``keep_missing`` keeps samples whose item has no profile (bucket 0);
+    ``bucket_mode`` is ``trimmed`` or ``minmax``, where a blank counts as 0.
+    """
     samples = materialize(label_samples(log, row_id, settings))
     vocab = materialize(learn_vocabularies(samples, settings))
-    buckets = bucket_profile(profile, profile_key, profile_columns, settings.buckets)
-    encoded = encode_samples(samples, vocab, buckets, profile_key, drop_empty=drop_empty)
+    if bucket_mode == "minmax":
+        profile = profile.na.fill(0, subset=list(profile_columns))
+    buckets = bucket_profile(profile, profile_key, profile_columns, settings.buckets, mode=bucket_mode)
+    encoded = encode_samples(samples, vocab, buckets, profile_key, keep_missing=keep_missing, drop_empty=drop_empty)
     folded = split_fold(encoded, ["sample_id"], settings.folds, settings.seed)
     return folded.withColumn("line", sample_line(profile=list(profile_columns)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -42,9 +43,32 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+_open_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh location below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/rankloom-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/rankloom-{name}-{uuid.uuid4().hex}"
+    for paths in _open_scopes:
+        paths.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the intermediate tables made inside the block when it ends.
+
+    Results must be written or collected before that.
+    """
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        for path in made:
+            location = spark._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankloom.functions.text import is_nonblank, split_on, to_double
+from rankloom.functions.text import drop_first_char, drop_last_char, is_nonblank, split_on, to_double
 
 
 def split_lines(lines: DataFrame, delim: str, names: Sequence[str], bad: str = "fail", column: str = "value"):
@@ -84,3 +84,23 @@ def read_pairs(spark: SparkSession, path, train: bool = True) -> DataFrame:
     """Pair labels ``item1|item2|label`` (train) or tab separated (inference)."""
     table = read_delimited(spark, path, "|" if train else "\t", ["item1", "item2", "label"], bad="drop")
     return nonblank_rows(table, ["item1", "item2", "label"])
+
+
+def parse_neighbours(rows: DataFrame) -> DataFrame:
+    """``(pid, match_id, score)`` from four CSV text fields of a bracketed list.
+
+    The first field starts with one bracket character and the last one ends
+    with one; the score is the product of the two score fields.
+    """
+    first, match, left, right = [F.col(c) for c in rows.columns]
+    return rows.select(
+        F.trim(drop_first_char(first)).cast("int").alias("pid"),
+        F.trim(match).cast("int").alias("match_id"),
+        (F.trim(left).cast("double") * F.trim(drop_last_char(right)).cast("double")).alias("score"),
+    )
+
+
+def read_neighbours(spark: SparkSession, path) -> DataFrame:
+    """Neighbour lists from headerless CSV files."""
+    rows = spark.read.schema("a string, b string, c string, d string").option("mode", "FAILFAST").csv(path)
+    return parse_neighbours(rows)

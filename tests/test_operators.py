@@ -193,6 +193,53 @@ def test_encode_lists(spark, sizes):
     assert encode.encode_lists(df, dim, "k", {"items": None}, drop_empty=True, **sizes).count() == 200
 
 
+@pytest.mark.parametrize("max_rows", [1000, 5, 0])
+def test_encode_fields_of_different_size(spark, max_rows):
+    """Small fields by broadcast, large ones by shuffle; an empty list survives either way."""
+    vocab_rows = [("pid", "a", 1), ("pid", "b", 2)] + [("cross", f"c{i}", i + 1) for i in range(20)]
+    table = spark.createDataFrame(vocab_rows, "field string, token string, id bigint")
+    rows = [(i, "a" if i % 2 else "q", ["b", "c1"] if i % 3 else [], [f"c{i % 25}", "a"]) for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, pid string, click array<string>, pairs array<string>")
+    got = encode.encode_lists(
+        df, table, "k", {"click": "pid", "pairs": "cross"}, {"pid": "pid"}, max_rows=max_rows, hot_rows=20
+    )
+    out = {r["k"]: r for r in got.collect()}
+    assert len(out) == 100
+    for i, pid, click, pairs in rows:
+        assert out[i]["pid"] == (1 if pid == "a" else 0)
+        assert out[i]["click"] == ([2, 0] if click else [])
+        assert out[i]["pairs"] == [i % 25 + 1 if i % 25 < 20 else 0, 0]
+
+
+def test_scratch_tables_are_deleted(spark):
+    import os
+
+    from rankloom.session import materialize, scratch_scope
+
+    with scratch_scope(spark):
+        kept = materialize(spark.range(3))
+        path = kept.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path) and kept.count() == 3
+    assert not os.path.exists(path)
+
+
+def test_specs_from_config():
+    config = {
+        "brand": {
+            "type": "category",
+            "transform": "vocabulary_list",
+            "style": ["onehot", "embedding"],
+            "multi": {"num": 3, "same": False, "combiner": "mean"},
+            "parameter": {"embed_dim": 8, "default": 2, "fill": "DEFAULT", "tail": 9},
+            "group": ["wide"],
+        },
+        "price": {"type": "numeric", "transform": None, "style": "value", "parameter": {}, "ignore": True},
+    }
+    specs = features.specs_from_config(config, {3: "brand", 1: "price", 2: "other"})
+    assert [s.name for s in specs] == ["price", "brand"] and specs[0].ignore
+    assert (specs[1].num, specs[1].combiner, specs[1].embed_dim, specs[1].default, specs[1].tail) == (3, "mean", 8, 2, 9)
+
+
 def test_tabled_id_range(spark):
     assert spark.range(3).select(encode.tabled_id(F.col("id"), 3)).count() == 3
     with pytest.raises(Exception, match="id outside"):
