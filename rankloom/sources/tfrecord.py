@@ -16,6 +16,7 @@ import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -130,7 +131,12 @@ def masked_crc(data: bytes) -> int:
 # --- Example messages (protobuf wire format) ------------------------------------
 
 
+_ONE_BYTE = [bytes((n,)) for n in range(128)]
+
+
 def _varint(n: int) -> bytes:
+    if 0 <= n < 128:
+        return _ONE_BYTE[n]
     n &= (1 << 64) - 1
     out = bytearray()
     while n > 0x7F:
@@ -155,9 +161,14 @@ def _field(number: int, body: bytes) -> bytes:
     return _varint(number << 3 | 2) + _varint(len(body)) + body
 
 
+@lru_cache(maxsize=4096)
+def _name_field(name: str) -> bytes:
+    return _field(1, name.encode())
+
+
 def encode_example(row: dict[str, tuple[str, list]]) -> bytes:
     """``{name: (kind, values)}`` to a serialized Example."""
-    entries = b""
+    entries = []
     for name, (kind, values) in row.items():
         if kind == "bytes":
             feature = _field(1, b"".join(_field(1, v) for v in values))
@@ -165,8 +176,8 @@ def encode_example(row: dict[str, tuple[str, list]]) -> bytes:
             feature = _field(2, _field(1, struct.pack(f"<{len(values)}f", *values)))
         else:
             feature = _field(3, _field(1, b"".join(_varint(int(v)) for v in values)))
-        entries += _field(1, _field(1, name.encode()) + _field(2, feature))
-    return _field(1, entries)
+        entries.append(_field(1, _name_field(name) + _field(2, feature)))
+    return _field(1, b"".join(entries))
 
 
 def _fields(buf: bytes) -> Iterator[tuple[int, int, bytes | int]]:
@@ -223,9 +234,15 @@ def decode_example(buf: bytes) -> dict[str, tuple[str, list]]:
 # --- framing --------------------------------------------------------------------
 
 
+@lru_cache(maxsize=65536)
+def _head(size: int) -> bytes:
+    """Length and its checksum; lengths repeat a lot within a file."""
+    packed = struct.pack("<Q", size)
+    return packed + struct.pack("<I", masked_crc(packed))
+
+
 def write_record(stream, message: bytes) -> None:
-    size = struct.pack("<Q", len(message))
-    stream.write(size + struct.pack("<I", masked_crc(size)) + message + struct.pack("<I", masked_crc(message)))
+    stream.write(_head(len(message)) + message + struct.pack("<I", masked_crc(message)))
 
 
 def read_records(stream, verify: bool = True) -> Iterator[bytes]:
@@ -235,8 +252,8 @@ def read_records(stream, verify: bool = True) -> Iterator[bytes]:
             return
         if len(head) < 12:
             raise ValueError("truncated TFRecord header")
-        size, size_crc = struct.unpack("<QI", head)
-        if verify and masked_crc(head[:8]) != size_crc:
+        size = int.from_bytes(head[:8], "little")
+        if verify and _head(size) != head:
             raise ValueError("TFRecord length checksum mismatch")
         message, check = stream.read(size), stream.read(4)
         if len(message) < size or len(check) < 4:
