@@ -24,7 +24,8 @@ def dimension_join(
 ) -> DataFrame:
     """Add the non-key columns of ``dim``; ``on`` pairs (left, dim) key columns.
 
-    A dimension of at most ``max_rows`` rows is broadcast.  A larger one is
+    A dimension of at most ``max_rows`` rows (and a bounded size) is broadcast;
+    it is measured first, so pass a stored table.  A larger one is
     shuffled on the key, except for keys with more than ``hot_rows`` rows on
     the left: there are at most ``rows / hot_rows`` of those, so their
     dimension rows are broadcast and their left rows stay where they are.

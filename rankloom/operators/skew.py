@@ -4,20 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup row (token, id) is well under 200 bytes: 200k rows stay below 40 MB.
+# Limits of a broadcast side; both must hold.
 BROADCAST_ROWS = 200_000
-
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 # Hot keys are looked for in this share of the rows when the limit is large.
 SAMPLED_SHARE = 1 / 64
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (one count, nothing is moved)."""
-    return df.count() <= max_rows
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value, close enough for a size limit."""
+    col, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(col), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.NumericType):
+            return F.greatest(F.coalesce(F.size(col), F.lit(0)), F.lit(0)) * 8
+        return F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+    if isinstance(kind, (T.StructType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+    return F.lit(8)
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is small in rows and measured bytes (one aggregate, nothing is moved).
+
+    The lineage of ``df`` runs for this, so pass a stored or materialized table.
+    """
+    width = F.lit(0)
+    for field in df.schema.fields:
+        width = width + _width(field)
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("b")).first()
+    return size["n"] <= max_rows and size["b"] <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

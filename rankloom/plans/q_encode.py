@@ -305,12 +305,8 @@ def linear_score_query(spark, sf_dir):
         field_token("type", F.col("event_type")), field_token("user", F.col("user_id").cast("string")), field_token("k", k)
     )
     features = table(spark, sf_dir, "events").select("event_id", F.explode(tokens).alias("token"))
-    weights = (
-        features.select("token")
-        .distinct()
-        .filter(F.col("token") != "type_error")
-        .withColumn("w", (hash32(5, "token") % 2001 - 1000) / 1000.0)
-    )
+    known = features.select("token").distinct().filter(F.col("token") != "type_error")
+    weights = materialize(known.withColumn("w", (hash32(5, "token") % 2001 - 1000) / 1000.0))
     scored = linear_score(features, "event_id", "token", weights, 0.25)
     return scored.select("event_id", F.round("logit", 6).alias("logit"), F.round("score", 6).alias("score"))
 

@@ -315,8 +315,8 @@ def _serving(spark, sf_dir):
         F.col("vec_id").alias("id"),
         F.concat_ws(" ", F.col("label").cast("string"), F.col("vec_id").cast("string")).alias("vec"),
     )
-    items = with_default(dense_ids(token_frequency(log, "pid")))
-    users = with_default(dense_ids(token_frequency(log, "cid")))
+    items = materialize(with_default(dense_ids(token_frequency(log, "pid"))))
+    users = materialize(with_default(dense_ids(token_frequency(log, "cid"))))
     return serving_table({"itemid": (items, weights), "cid": (users, weights)})
 
 

@@ -40,7 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         configured = tempfile.mkdtemp(prefix="rankloom-")
         spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    # With its scheme, so that readers outside Spark find the same folder.
+    path = spark._jvm.org.apache.hadoop.fs.Path(configured)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 _open_scopes: list[list[str]] = []

@@ -211,6 +211,15 @@ def test_encode_fields_of_different_size(spark, max_rows):
         assert out[i]["pairs"] == [i % 25 + 1 if i % 25 < 20 else 0, 0]
 
 
+def test_broadcast_limit_counts_bytes(spark):
+    from rankloom.operators.skew import fits_broadcast
+
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"), F.array_repeat(F.lit(1.0), 50).alias("v"))
+    assert fits_broadcast(wide) and not fits_broadcast(wide, max_rows=99)
+    assert fits_broadcast(wide, max_bytes=140_800) and not fits_broadcast(wide, max_bytes=140_799)
+    assert fits_broadcast(wide.limit(0), max_rows=0, max_bytes=0)
+
+
 def test_scratch_tables_are_deleted(spark):
     import os
 
@@ -218,7 +227,7 @@ def test_scratch_tables_are_deleted(spark):
 
     with scratch_scope(spark):
         kept = materialize(spark.range(3))
-        path = kept.inputFiles()[0].removeprefix("file://")
+        path = "/" + kept.inputFiles()[0].removeprefix("file:").lstrip("/")
         assert os.path.exists(path) and kept.count() == 3
     assert not os.path.exists(path)
 
