@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.arrays import pad_to, sort_by_index
 from rankloom.operators.joins import dimension_join
-from rankloom.operators.skew import BROADCAST_ROWS, fits_broadcast
+from rankloom.operators.skew import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
 
 
 def encode_token(df: DataFrame, vocab: DataFrame, token: str, out: str, default: int = 0, **sizes) -> DataFrame:
@@ -21,14 +21,17 @@ def encode_token(df: DataFrame, vocab: DataFrame, token: str, out: str, default:
 
 
 def _broadcast_fields(vocab: DataFrame, fields: set[str], max_rows: int) -> set[str]:
-    """Fields whose vocabularies fit into ``max_rows`` rows together, smallest first."""
-    rows = vocab.filter(F.col("field").isin(*fields)).groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = {f: 0 for f in fields} | {r["field"]: r["n"] for r in rows}  # one row per field
+    """Fields whose vocabularies fit into a broadcast together, smallest first."""
+    measured = vocab.filter(F.col("field").isin(*fields)).groupBy("field")
+    sizes = measured.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("token") + 16).alias("b"))
+    found = {r["field"]: (r["n"], r["b"]) for r in sizes.collect()}  # one row per field
+    max_bytes = BROADCAST_BYTES
     chosen: set[str] = set()
-    for name in sorted(counts, key=counts.get):
-        if counts[name] > max_rows:
+    for name in sorted(fields, key=lambda f: found.get(f, (0, 0))):
+        rows, size = found.get(name, (0, 0))
+        if rows > max_rows or size > max_bytes:
             break
-        max_rows -= counts[name]
+        max_rows, max_bytes = max_rows - rows, max_bytes - size
         chosen.add(name)
     return chosen
 

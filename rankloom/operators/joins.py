@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.operators.skew import BROADCAST_ROWS, fits_broadcast, hot_keys
+from rankloom.operators.skew import BROADCAST_ROWS, broadcast_if_small, fits_broadcast, hot_keys
 from rankloom.session import materialize
 
 HOT_ROWS = 5_000_000
@@ -25,11 +25,11 @@ def dimension_join(
     """Add the non-key columns of ``dim``; ``on`` pairs (left, dim) key columns.
 
     A dimension of at most ``max_rows`` rows (and a bounded size) is broadcast;
-    it is measured first, so pass a stored table.  A larger one is
-    shuffled on the key, except for keys with more than ``hot_rows`` rows on
-    the left: there are at most ``rows / hot_rows`` of those, so their
-    dimension rows are broadcast and their left rows stay where they are.
-    Rows without a key cannot match and are kept out of the shuffle as well.
+    it is measured first, so pass a stored table.  A larger one is shuffled on
+    the key, except for keys with more than ``hot_rows`` rows on the left:
+    there are at most ``rows / hot_rows`` of those, so their dimension rows are
+    broadcast and their left rows stay where they are.  Rows without a key
+    cannot match and are kept out of the shuffle as well.
     ``fits`` hands over the result of a size check that was already made.
     """
     if how not in ("left", "inner"):
@@ -54,9 +54,10 @@ def dimension_join(
         result = joined(keyed, right, how)
     else:
         names = [f"_k{i}" for i in range(len(on))]
-        hot_right = materialize(right.join(F.broadcast(hot.toDF(*names)), names, "left_semi"))
-        heavy = joined(keyed.join(F.broadcast(hot), lefts, "left_semi"), F.broadcast(hot_right), how)
-        result = joined(keyed.join(F.broadcast(hot), lefts, "left_anti"), right, how).unionByName(heavy)
+        few = broadcast_if_small(hot)
+        hot_right = materialize(right.join(few.toDF(*names), names, "left_semi"))
+        heavy = joined(keyed.join(few, lefts, "left_semi"), broadcast_if_small(hot_right), how)
+        result = joined(keyed.join(few, lefts, "left_anti"), right, how).unionByName(heavy)
     if how == "left":
         no_key = F.lit(False)
         for name in lefts:

@@ -19,6 +19,12 @@ def pair_training_set(labels: DataFrame, profile: DataFrame, row_id: Sequence[st
     return enrich_pairs(balanced, profile, key), enrich_pairs(labels, profile, key)
 
 
+def pair_inference_lines(pairs: DataFrame, profile: DataFrame, key: str = "pid", features: str = "features") -> DataFrame:
+    """``item1@item2@features1@features2`` for pairs whose items both have a profile."""
+    found = enrich_pairs(pairs.select("item1", "item2"), profile.select(key, features), key)
+    return found.select(F.concat_ws("@", "item1", "item2", f"{features}1", f"{features}2").alias("value"))
+
+
 def top_recommendations(
     pairs: DataFrame, key: str, item: str, score: Column, k: int = 200, salts: int = 16
 ) -> DataFrame:

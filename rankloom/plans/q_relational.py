@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import token_list
-from rankloom.ml.serving import serving_table, union_all
+from rankloom.ml.serving import serving_table, union_all, write_serving_table
 from rankloom.operators.encode import encode_lists, encode_token
 from rankloom.operators.joins import dimension_join, enrich_pairs, positional_zip
 from rankloom.operators.ordering import ordered_prefix, shard_rows, take_at_positions, top_k_per_key
@@ -18,10 +18,10 @@ from rankloom.operators.sampling import (
 )
 from rankloom.operators.vocab import dense_ids, token_frequency, with_default
 from rankloom.plans.catalog import INTER, interactions, query, sql_hash, table, text
-from rankloom.plans.pairs import pair_training_set, top_recommendations
-from rankloom.session import materialize
-from rankloom.sources.delimited import nonblank_rows
-from rankloom.sources.sinks import joined_line, sample_line
+from rankloom.plans.pairs import pair_inference_lines, pair_training_set, top_recommendations
+from rankloom.session import materialize, scratch_path
+from rankloom.sources.delimited import nonblank_rows, read_pairs
+from rankloom.sources.sinks import joined_line, sample_line, write_text
 
 
 # --- projections and filters -----------------------------------------------------
@@ -327,9 +327,6 @@ def join_weight_merge_union(spark, sf_dir):
 
 @query("serving_table_export", f"WITH {SERVING_SQL} SELECT key || ',' || vec AS value FROM serving")
 def serving_table_export(spark, sf_dir):
-    from rankloom.ml.serving import write_serving_table
-    from rankloom.session import scratch_path
-
     path = scratch_path(spark, "serving")
     write_serving_table(_serving(spark, sf_dir), path)
     return spark.read.text(path)
@@ -445,6 +442,23 @@ def pair_training_set_query(spark, sf_dir):
     return both.select("part", "l_orderkey", "l_linenumber", line.alias("line"))
 
 
+@query(
+    "pair_inference_set",
+    """SELECT l_partkey || '@' || l_suppkey || '@' || a.p_name || '@' || b.p_name AS value FROM lineitem
+       JOIN part a ON l_partkey = a.p_partkey AND a.p_size > 10 JOIN part b ON l_suppkey = b.p_partkey AND b.p_size > 10""",
+)
+def pair_inference_set(spark, sf_dir):
+    """Tab separated pairs to lines with both profiles."""
+    path = scratch_path(spark, "infer")
+    write_text(table(spark, sf_dir, "lineitem"), joined_line(["l_partkey", "l_suppkey", "l_quantity"], "\t"), path)
+    profile = (
+        table(spark, sf_dir, "part")
+        .filter(F.col("p_size") > 10)
+        .select(F.col("p_partkey").cast("string").alias("pid"), F.col("p_name").alias("features"))
+    )
+    return pair_inference_lines(read_pairs(spark, path, train=False), profile)
+
+
 @query(
     "union_reduce",
     """SELECT 'customer' AS kind, c_custkey AS key, c_acctbal AS balance FROM customer

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.functions.numeric import clip_upper, minmax_scale
@@ -17,6 +17,22 @@ from rankloom.session import materialize
 CLIP_POINTS = (20, 600, 100, 50, 64000, 500, 100, 50, 500, 10, 10, 10, 50)
 
 
+NUMBERS = [f"I{i}" for i in range(1, 14)]
+CATEGORIES = [f"C{i}" for i in range(1, 27)]
+
+
+def clip_points() -> dict[str, int]:
+    """Clip point by integer column."""
+    return dict(zip(NUMBERS, CLIP_POINTS))
+
+
+def read_tabular(spark: SparkSession, path) -> DataFrame:
+    """Tab separated label, 13 integers and 26 categories; blank is missing, a bad line raises."""
+    fields = ["label int", *[f"{c} bigint" for c in NUMBERS], *[f"{c} string" for c in CATEGORIES]]
+    reader = spark.read.schema(", ".join(fields)).option("sep", "\t").option("mode", "FAILFAST").option("quote", "")
+    return reader.csv(path)
+
+
 def clipped_minmax(df: DataFrame, clips: dict[str, float]) -> DataFrame:
     """One row of ``<c>_min`` and ``<c>_max`` after clipping; missing values are ignored."""
     return df.agg(

@@ -30,6 +30,7 @@ class SampleSettings:
     buckets: int = 3000
     seed: int = 777
     folds: int = 10
+    rows_total: bool = False
     max_rows_per_user: int = MAX_ROWS_PER_KEY
 
 
@@ -72,15 +73,15 @@ def label_samples(log: DataFrame, row_id: str, settings: SampleSettings = Sample
     )
 
 
-def learn_vocabularies(samples: DataFrame, settings: SampleSettings = SampleSettings(), rows_total: bool = False):
+def learn_vocabularies(samples: DataFrame, settings: SampleSettings = SampleSettings()) -> DataFrame:
     """``(field, token, id)`` for users, items and pairs, DEFAULT at 0.
 
-    ``rows_total`` measures coverage against the number of padded rows instead
-    of the number of tokens.
+    ``settings.rows_total`` measures coverage against the number of padded rows
+    instead of the number of tokens.
     """
     rates = dict(settings.rates)
     totals = None
-    if rows_total:
+    if settings.rows_total:
         rows = samples.agg(
             F.sum(F.greatest(F.size("click") + 1, F.size("click_cross") + F.size("order_cross"))).alias("n")
         ).first()["n"]

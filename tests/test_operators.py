@@ -7,7 +7,7 @@ from rankloom.operators import bags, encode, features, joins, metrics, ordering,
 from rankloom.operators.combine import combine_by_key
 from rankloom.operators.history import last_n_history
 from rankloom.plans.pairs import top_recommendations
-from rankloom.plans.tabular import tabular_features
+from rankloom.plans.tabular import clip_points, read_tabular, tabular_features
 from rankloom.plans.train_samples import SampleSettings, label_samples, learn_vocabularies, train_samples
 from rankloom.sources.interactions import explode_user_lines
 
@@ -157,8 +157,8 @@ def test_rows_total_is_the_padded_row_count(spark):
     flat = vocab.flatten_tokens(samples)
     assert flat.count() == 4
     assert flat.filter("pid = ''").count() == 0 and flat.filter("cross_pair = ''").count() == 1
-    settings = SampleSettings(rates=(("cid", 1.5), ("cross", 1.0), ("pid", 0.6)))
-    by_rows = learn_vocabularies(samples, settings, rows_total=True)
+    settings = SampleSettings(rates=(("cid", 1.5), ("cross", 1.0), ("pid", 0.6)), rows_total=True)
+    by_rows = learn_vocabularies(samples, settings)
     assert {r["token"] for r in by_rows.filter("field = 'pid' and id > 0").collect()} == {"a", "b"}
     assert {r["token"] for r in by_rows.filter("field = 'cross' and id > 0").collect()} == {"p,a", "p,b", "p,c"}
 
@@ -368,6 +368,19 @@ def test_tabular_features(spark):
     assert got[0].split("\t")[1] == "-0.25"  # blank counts as 0, below the smallest seen value
 
 
+def test_read_tabular(spark, tmp_path):
+    path = str(tmp_path / "t")
+    line = "\t".join(["1", *[str(i) if i != 3 else "" for i in range(1, 14)], *[f"c{i}" if i != 2 else "" for i in range(1, 27)]])
+    lines(spark, [line]).write.text(path)
+    df = read_tabular(spark, path)
+    row = df.first()
+    assert len(df.columns) == 40 and (row["label"], row["I1"], row["I3"], row["C1"], row["C2"]) == (1, 1, None, "c1", None)
+    assert clip_points()["I5"] == 64000
+    with pytest.raises(Exception):
+        lines(spark, ["1\tx"]).write.text(path + "bad")
+        read_tabular(spark, path + "bad").collect()
+
+
 def test_train_samples_job(spark):
     log = spark.createDataFrame(random_log(6, 500, 8), "cid string, pid string, ts int, tag int, rid int")
     profile = spark.createDataFrame([(str(i), float(i)) for i in range(10)], "key string, price double")
