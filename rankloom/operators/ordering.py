@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankloom.operators.skew import broadcast_if_small
 from rankloom.session import materialize
 
 _ROWS_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
@@ -39,8 +40,7 @@ def ordered_prefix(
 
     ``order`` must be a total order within a group.  ``sums`` maps an output
     column to the expression that is accumulated.  ``group_totals`` also adds
-    the sums of the whole group as ``total_<name>``; meant for few groups, as
-    one row per group is broadcast.
+    the sums of the whole group as ``total_<name>``.
     """
     by, sums = list(by), dict(sums or {})
     addends = {f"_add_{name}": expr for name, expr in sums.items()}
@@ -85,7 +85,7 @@ def ordered_prefix(
             *[F.sum(f"_sum_add_{name}").alias(f"total_{name}") for name in sums]
         )
         if by:
-            joined = joined.join(F.broadcast(per_group), by)
+            joined = joined.join(broadcast_if_small(per_group), by)
         else:
             joined = joined.withColumns({w: per_group.select(w).scalar() for w in whole})
     return joined.select(

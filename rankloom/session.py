@@ -8,8 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the engine expects.  Partition counts are left to the cluster: AQE
-# coalesces small shuffle partitions and splits skewed join partitions.
+# Settings the engine expects.  AQE merges small shuffle partitions and splits
+# skewed join partitions.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,11 +20,30 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "rankloom", master: str | None = None, **conf: str) -> SparkSession:
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Shuffle and scan settings for an input of this size.
+
+    A shuffle partition holds about 128 MB before AQE merges small ones, so
+    that sorts and windows fit into executor memory.  Large inputs are scanned
+    in larger splits to keep the number of map tasks moderate.
+    """
+    partitions = max(200, -(-input_bytes // (128 * 2**20)))
+    split = 128 if input_bytes < 10 * 2**40 else 512
+    return {
+        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.files.maxPartitionBytes": f"{split}m",
+    }
+
+
+def build_session(
+    app: str = "rankloom", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """Session with the engine's settings; ``spark__sql__x="y"`` overrides one."""
+    sizing = sized_for(input_bytes) if input_bytes else {}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    for key, value in {**DEFAULTS, **sizing, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

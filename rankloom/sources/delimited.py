@@ -50,11 +50,10 @@ def positional_schema(header: str, delim: str = "|") -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in header.split(delim)])
 
 
-def ordinal_dictionary(lines: DataFrame, delim: str = "|", column: str = "value") -> DataFrame:
-    """``(ordinal, name)`` rows of header lines, ordinals from 1."""
-    return lines.select(F.posexplode(split_on(F.col(column), delim)).alias("p", "name")).select(
-        (F.col("p") + 1).alias("ordinal"), "name"
-    )
+def ordinal_dictionary(lines: DataFrame, delim: str = "|", column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """``(keep..., ordinal, name)`` rows of header lines, ordinals from 1."""
+    named = lines.select(*keep, F.posexplode(split_on(F.col(column), delim)).alias("_p", "name"))
+    return named.select(*keep, (F.col("_p") + 1).alias("ordinal"), "name")
 
 
 def pick_columns(

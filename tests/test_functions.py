@@ -108,3 +108,11 @@ def test_losses(spark):
     assert one(spark, numeric.logloss_from_logit(F.lit(0), F.lit(800.0))) == pytest.approx(800.0)
     with pytest.raises(ValueError):
         numeric.focal(F.lit(1), F.lit(0.5), form="cubic")
+
+
+def test_session_sizing():
+    from rankloom.session import sized_for
+
+    assert sized_for(1)["spark.sql.shuffle.partitions"] == "200"
+    large = sized_for(100 * 2**40)
+    assert large["spark.sql.shuffle.partitions"] == "100000" and large["spark.sql.files.maxPartitionBytes"] == "512m"
