@@ -129,11 +129,11 @@ def last_n_history(
     keys, order = list(keys), list(order)
     used = sources.filter(F.col(stream).isin(*streams))
     events = _events(targets, used, keys, order, item, stream)
-    hot = materialize(hot_keys(used if few_targets else events, keys, max_rows_per_key))
+    hot = hot_keys(used if few_targets else events, keys, max_rows_per_key)
     total_hot = hot.agg(F.sum("n_rows")).first()[0]
     if not total_hot:
         return _plain(events, keys, order, streams, n)
-    hot_side = broadcast_if_small(hot.select(*keys))
+    hot_side = broadcast_if_small(materialize(hot.select(*keys)))
     regular = _plain(events.join(hot_side, keys, "left_anti"), keys, order, streams, n)
     heavy = _chunked(
         events.join(hot_side, keys, "left_semi"), keys, order, streams, n, total_hot, max_rows_per_key

@@ -50,7 +50,7 @@ def dimension_join(
 
     keyed = df.na.drop(subset=lefts)
     hot = materialize(hot_keys(keyed, lefts, hot_rows).select(*lefts))
-    if hot.isEmpty():
+    if hot.count() == 0:
         result = joined(keyed, right, how)
     else:
         names = [f"_k{i}" for i in range(len(on))]

@@ -16,7 +16,6 @@ import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -161,11 +160,6 @@ def _field(number: int, body: bytes) -> bytes:
     return _varint(number << 3 | 2) + _varint(len(body)) + body
 
 
-@lru_cache(maxsize=4096)
-def _name_field(name: str) -> bytes:
-    return _field(1, name.encode())
-
-
 def encode_example(row: dict[str, tuple[str, list]]) -> bytes:
     """``{name: (kind, values)}`` to a serialized Example."""
     entries = []
@@ -176,7 +170,7 @@ def encode_example(row: dict[str, tuple[str, list]]) -> bytes:
             feature = _field(2, _field(1, struct.pack(f"<{len(values)}f", *values)))
         else:
             feature = _field(3, _field(1, b"".join(_varint(int(v)) for v in values)))
-        entries.append(_field(1, _name_field(name) + _field(2, feature)))
+        entries.append(_field(1, _field(1, name.encode()) + _field(2, feature)))
     return _field(1, b"".join(entries))
 
 
@@ -234,11 +228,18 @@ def decode_example(buf: bytes) -> dict[str, tuple[str, list]]:
 # --- framing --------------------------------------------------------------------
 
 
-@lru_cache(maxsize=65536)
+_HEADS: dict[int, bytes] = {}
+
+
 def _head(size: int) -> bytes:
     """Length and its checksum; lengths repeat a lot within a file."""
-    packed = struct.pack("<Q", size)
-    return packed + struct.pack("<I", masked_crc(packed))
+    found = _HEADS.get(size)
+    if found is None:
+        if len(_HEADS) > 65536:
+            _HEADS.clear()
+        packed = struct.pack("<Q", size)
+        found = _HEADS[size] = packed + struct.pack("<I", masked_crc(packed))
+    return found
 
 
 def write_record(stream, message: bytes) -> None:
