@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,21 +18,24 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # A value that does not parse is an error, never a silent NULL.
+    "spark.sql.ansi.enabled": "true",
+    # Top-k per key is cut on the map side up to this k.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 
-def sized_for(input_bytes: int) -> dict[str, str]:
+def sized_for(input_bytes: int, partition_mb: int = 128, split_mb: int = 128) -> dict[str, str]:
     """Shuffle and scan settings for an input of this size.
 
-    A shuffle partition holds about 128 MB before AQE merges small ones, so
-    that sorts and windows fit into executor memory.  Large inputs are scanned
-    in larger splits to keep the number of map tasks moderate.
+    A shuffle partition holds about ``partition_mb`` before AQE merges small
+    ones, so that sorts and windows fit into executor memory; there is no upper
+    limit on their number.  ``split_mb`` is the size of a scan task.
     """
-    partitions = max(200, -(-input_bytes // (128 * 2**20)))
-    split = 128 if input_bytes < 10 * 2**40 else 512
+    partitions = max(200, -(-input_bytes // (partition_mb * 2**20)))
     return {
-        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
-        "spark.sql.files.maxPartitionBytes": f"{split}m",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
     }
 
 
@@ -51,12 +55,17 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where the setting is absent (tests).
+    A temporary folder is used only where the setting is absent and the master
+    is local (tests); on a cluster a missing setting is an error, because every
+    executor would write to a disk of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {master!r}")
         configured = tempfile.mkdtemp(prefix="rankloom-")
         spark.sparkContext.setCheckpointDir(configured)
     # With its scheme, so that readers outside Spark find the same folder.
@@ -64,13 +73,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
-_open_scopes: list[list[str]] = []
+# The scopes open in this context; another thread or task has its own.
+_open_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("open_scopes", default=())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh location below the shared folder."""
     path = f"{shared_dir(spark).rstrip('/')}/rankloom-{name}-{uuid.uuid4().hex}"
-    for paths in _open_scopes:
+    for paths in _open_scopes.get():
         paths.append(path)
     return path
 
@@ -79,14 +89,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def scratch_scope(spark: SparkSession):
     """Delete the intermediate tables made inside the block when it ends.
 
-    Results must be written or collected before that.
+    Results must be written or collected before that.  Tables made outside any
+    scope stay until the shared folder is cleaned.  Scopes belong to the thread
+    that opened them: a job in another thread keeps its own tables.
     """
     made: list[str] = []
-    _open_scopes.append(made)
+    token = _open_scopes.set((*_open_scopes.get(), made))
     try:
         yield
     finally:
-        _open_scopes.remove(made)
+        _open_scopes.reset(token)
         for path in made:
             location = spark._jvm.org.apache.hadoop.fs.Path(path)
             location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

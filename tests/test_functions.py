@@ -115,4 +115,5 @@ def test_session_sizing():
 
     assert sized_for(1)["spark.sql.shuffle.partitions"] == "200"
     large = sized_for(100 * 2**40)
-    assert large["spark.sql.shuffle.partitions"] == "100000" and large["spark.sql.files.maxPartitionBytes"] == "512m"
+    assert large["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (128 * 2**20))
+    assert sized_for(1, split_mb=512)["spark.sql.files.maxPartitionBytes"] == "512m"
