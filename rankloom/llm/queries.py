@@ -1,6 +1,6 @@
 """All registered queries of the subpackage."""
 
-from rankloom.llm import q_chat, q_language, q_pii, q_simhash, q_tokens, q_urls  # noqa: F401
+from rankloom.llm import q_chat, q_embeddings, q_language, q_pii, q_simhash, q_tokens, q_urls  # noqa: F401
 from rankloom.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
