@@ -198,26 +198,31 @@ def _lenient(raw: bytes) -> str:
     return "".join(out)
 
 
-def encode_texts(docs: DataFrame, model: MergeModel, id_col: str = "doc_id", text_col: str = "text", end: bool = True) -> DataFrame:
-    """``id_col`` and the ids of the text (``ids array<int>``), one row per input row.
+def encode_texts(
+    docs: DataFrame, model: MergeModel, id_col: str = "doc_id", text_col: str = "text", end: bool = True, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``id_col``, the columns in ``keep`` and the ids of the text (``ids array<int>``), one row per input row.
 
     NULL counts as the empty text, whose ids are the end id alone.  Other
     columns are not read, so their names cannot clash.  Repeated rows and ids
     give repeated rows; an empty table gives none.
     """
-    source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    kind = source.schema["id"].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-
+    kept = [f"k_{c}" for c in keep]
+    source = docs.select(
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept)]
+    )
+    names = ["id", *kept, "ids"]
+    schema = T.StructType([*[source.schema[n] for n in names[:-1]], T.StructField("ids", T.ArrayType(T.IntegerType()))])
     alone = model.whole()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model, alone)
         for piece in pieces(batches, 1):
             ids = [encoder.encode(t, end) for t in piece.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
+            others = [c for i, c in enumerate(piece.columns) if i != 1]
+            yield pa.RecordBatch.from_arrays([*others, pa.array(ids, pa.list_(pa.int32()))], names)
 
-    return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return source.mapInArrow(run, schema).withColumnsRenamed({"id": id_col, **dict(zip(kept, keep))})
 
 
 def decode_ids(encoded: DataFrame, model: MergeModel, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
