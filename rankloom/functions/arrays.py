@@ -18,9 +18,15 @@ def head(arr: Column, n: int) -> Column:
     return F.slice(arr, F.lit(1), F.lit(n))
 
 
-def pad_to(arr: Column, depth: int, default: Column) -> Column:
-    """Exactly ``depth`` values: cut the surplus, fill the shortage."""
-    return F.slice(F.concat(arr, F.array_repeat(default, depth)), 1, depth)
+def pad_to(arr: Column, depth: int, default: Column, surplus: str = "raise") -> Column:
+    """Exactly ``depth`` values: the shortage is filled, a surplus is an error or, on demand, cut."""
+    if surplus not in ("raise", "cut"):
+        raise ValueError("surplus must be 'raise' or 'cut'")
+    padded = F.slice(F.concat(arr, F.array_repeat(default, depth)), 1, depth)
+    if surplus == "cut":
+        return padded
+    message = F.concat(F.lit(f"more than {depth} values: "), F.size(arr).cast("string"))
+    return F.when(F.size(arr) > depth, F.raise_error(message)).otherwise(padded)
 
 
 def sort_by_index(arr: Column, index: str = "pos", value: str = "item") -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from types import SimpleNamespace
 
+from pyspark import cloudpickle
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from rankloom.ml.scoring import score_partitions
 from rankloom.operators.sampling import repeat_epochs
@@ -73,7 +74,10 @@ class RankerEstimator(Estimator, RankerParams):
             if not self.isSet("export_dir"):
                 raise ValueError("an export function needs export_dir")
             self.export_fn(state, args)
-        return self._copyValues(RankerModel(state, self.load_fn, self.args))
+        model = self._copyValues(RankerModel(state, self.load_fn, self.args))
+        if self.isSet("model_dir"):
+            model.save(args.model_dir, dataset.sparkSession)
+        return model
 
 
 class RankerModel(Model, RankerParams):
@@ -94,9 +98,22 @@ class RankerModel(Model, RankerParams):
             outputs=self.getOrDefault("output_mapping"),
             batch_size=args.batch_size,
             keep=dataset.columns,
-            model_name=f"m_{self.uid}",
         )
 
+    def save(self, path: str, spark: SparkSession | None = None) -> None:
+        """Keep state, loader, arguments and set params below ``path``, wherever Spark can write."""
+        spark = spark or SparkSession.active()
+        params = {p.name: self.getOrDefault(p) for p in self.params if self.isSet(p)}
+        data = bytearray(cloudpickle.dumps((self.state, self.load_fn, self.args, params)))
+        spark.createDataFrame([(data,)], "model binary").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, path: str, spark: SparkSession | None = None) -> "RankerModel":
+        """The model that :meth:`save` wrote; only load files you trust, as they hold code."""
+        spark = spark or SparkSession.active()
+        state, load_fn, args, params = cloudpickle.loads(bytes(spark.read.parquet(path).first()["model"]))
+        return cls(state, load_fn, args).configure(**params)
+
 
 def _example_schema(schema):
     from pyspark.sql import types as T

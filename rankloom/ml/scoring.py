@@ -2,24 +2,38 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def cached(name: str, load: Callable[[], object]):
-    """Load once per Python worker; workers are reused between tasks."""
+# Models that a worker keeps; the one used longest ago goes first.
+KEPT_MODELS = 4
+
+
+def loader_key(load: Callable[[], object]) -> str:
+    """Digest of a loader with all that it closes over, so that another model is another key."""
+    return hashlib.sha256(cloudpickle.dumps(load)).hexdigest()
+
+
+def cached(key: str, load: Callable[[], object]):
+    """Load once per Python worker and key; workers are reused between tasks."""
     shelf = sys.modules.setdefault("_rankloom_models", types.ModuleType("_rankloom_models"))
-    if not hasattr(shelf, name):
-        setattr(shelf, name, load())
-    return getattr(shelf, name)
+    models = shelf.__dict__.setdefault("models", {})
+    model = models.pop(key) if key in models else load()
+    models[key] = model
+    while len(models) > KEPT_MODELS:
+        models.pop(next(iter(models)))
+    return model
 
 
 def linear_predictor(weights: Sequence[float], bias: float) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
@@ -52,13 +66,13 @@ def score_partitions(
     outputs: dict[str, str],
     batch_size: int = 100,
     keep: Sequence[str] = (),
-    model_name: str = "model",
 ) -> DataFrame:
     """Score columns in fixed-size batches inside each partition.
 
     ``inputs`` maps a column to a model input, ``outputs`` a model output to a
     double column; both are used in sorted order.  An output whose length
-    differs from its input raises.
+    differs from its input raises.  A worker keeps loaded models by a digest of
+    ``load``, so two models never stand for each other.
     """
     in_cols = sorted(inputs)
     out_names = sorted(outputs)
@@ -67,8 +81,10 @@ def score_partitions(
         [df.schema[c] for c in keep] + [T.StructField(outputs[o], T.DoubleType(), True) for o in out_names]
     )
 
+    key = loader_key(load)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = cached(model_name, load)
+        model = cached(key, load)
         for frame in frames:
             for at in range(0, len(frame), batch_size):
                 part = frame.iloc[at : at + batch_size]

@@ -8,20 +8,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.arrays import let
+from rankloom.operators.encode import tabled_id
 from rankloom.operators.joins import dimension_join
 from rankloom.operators.skew import broadcast_if_small
 
 
-def multihot(df: DataFrame, key: str, ids: str, depth: int, combiner: str = "sum") -> DataFrame:
+def multihot(df: DataFrame, key: str, ids: str, depth: int, combiner: str = "sum", outside: str = "drop") -> DataFrame:
     """Sparse multi-hot rows ``(key, id, value)`` with value > 0.
 
     ``sum`` counts an id, ``mean`` divides by the number of ids of the row,
-    ``max`` caps the count at 1.
+    ``max`` caps the count at 1.  Ids outside ``0 <= id < depth`` have no
+    position; ``outside="raise"`` makes them an error.
     """
+    if outside not in ("drop", "raise"):
+        raise ValueError("outside must be 'drop' or 'raise'")
     size = F.size(ids)
-    exploded = df.select(key, size.alias("_size"), F.explode(ids).alias("id")).filter(
-        (F.col("id") >= 0) & (F.col("id") < depth)
-    )
+    exploded = df.select(key, size.alias("_size"), F.explode(ids).alias("id"))
+    if outside == "raise":
+        checked = tabled_id(F.col("id"), depth)
+        exploded = exploded.withColumn("id", F.when(F.col("id").isNotNull(), checked).cast(exploded.schema["id"].dataType))
+    exploded = exploded.filter((F.col("id") >= 0) & (F.col("id") < depth))
     counts = exploded.groupBy(key, "id").agg(F.count(F.lit(1)).alias("_n"), F.first("_size").alias("_size"))
     value = {
         "sum": F.col("_n").cast("double"),

@@ -55,7 +55,8 @@ def encode_lists(
     by broadcast, only the tokens of large ones are shuffled; and the rows of a
     sample come back together by ``key`` (unique per row).  The other columns
     travel on one anchor row per sample, which also keeps samples whose lists
-    are empty.  ``drop_empty`` removes those.
+    are empty or NULL; a NULL list comes back empty.  ``drop_empty`` removes
+    those samples.
     """
     scalars = dict(scalars or {})
     slots = {**lists, **scalars}
@@ -75,7 +76,12 @@ def encode_lists(
     def entries(slot: str) -> Column:
         if slot in scalars:
             return F.array(entry(slot, F.lit(0), slots[slot], F.col(slot).cast("string")))
-        return F.transform(slot, lambda t, i: entry(slot, i, slots[slot], t.cast("string")))
+        rows = F.transform(slot, lambda t, i: entry(slot, i, slots[slot], t.cast("string")))
+        return F.filter(F.coalesce(rows, none(slot)), lambda e: e["pos"] >= 0)
+
+    def none(slot: str) -> Column:
+        """Stands for a NULL list, which would take the other lists of its sample with it."""
+        return F.array(entry(slot, F.lit(-1), slots[slot], F.lit(None).cast("string")))
 
     def token_rows(names: Sequence[str], anchored: bool) -> DataFrame:
         parts = [entries(n) for n in names]
@@ -122,11 +128,15 @@ def encode_with_rules(
     fill: str = "",
     default: int = 0,
     tail: int = 0,
+    surplus: str = "raise",
 ) -> DataFrame:
-    """List encoding with per-feature values: blank -> ``fill``, miss -> ``default``, padding -> ``tail``."""
+    """List encoding with per-feature values: blank -> ``fill``, miss -> ``default``, padding -> ``tail``.
+
+    A list of more than ``num`` values is an error, unless ``surplus="cut"``.
+    """
     filled = df.withColumn(column, F.transform(column, lambda t: F.when(t == "", F.lit(fill)).otherwise(t)))
     ids = encode_lists(filled, vocab, key, {column: None}, default=default)
-    return ids.withColumn(column, pad_to(F.col(column), num, F.lit(tail).cast("bigint")))
+    return ids.withColumn(column, pad_to(F.col(column), num, F.lit(tail).cast("bigint"), surplus))
 
 
 def tabled_id(col: Column, size: int) -> Column:

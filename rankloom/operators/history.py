@@ -72,6 +72,16 @@ def _finish(rows: DataFrame, streams, n: int, carried: bool) -> DataFrame:
     return rows.filter(F.col("_src") == 0).select("_target.*", *[full(s).alias(f"{s}_history") for s in streams])
 
 
+def _matched(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equal keys where NULL equals NULL: rows without a user are one history like any other."""
+    side = right.withColumnsRenamed({k: f"_on_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_on_{k}"))
+    joined = left.join(side, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_on_{k}" for k in keys])
+
+
 def _plain(events, keys, order, streams, n):
     # One shuffle on the key serves both windows.
     return _finish(_with_tails(events.repartition(*keys), keys, order, streams, n), streams, n, carried=False)
@@ -104,7 +114,7 @@ def _chunked(events, keys, order, streams, n, total_rows, max_rows):
     carry = carry.select(
         *keys, F.col("_step").alias("_chunk"), *[F.col(f"{s}_history").alias(f"_carry_{s}") for s in streams]
     )
-    return _finish(rows.join(broadcast_if_small(carry), part, "left"), streams, n, carried=True)
+    return _finish(_matched(rows, broadcast_if_small(materialize(carry)), part, "left"), streams, n, carried=True)
 
 
 def last_n_history(
@@ -124,7 +134,8 @@ def last_n_history(
     "Before" is by ``order``, which should end in a unique column; a source
     that ties with the target on all of it does not count as earlier.
     ``few_targets`` says that targets are bounded per key (sampled), so only
-    sources are counted to find keys that need chunks.
+    sources are counted to find keys that need chunks.  Rows with a NULL key
+    share one history, which is cut into chunks like that of any busy user.
     """
     keys, order = list(keys), list(order)
     used = sources.filter(F.col(stream).isin(*streams))
@@ -134,9 +145,9 @@ def last_n_history(
     if not total_hot:
         return _plain(events, keys, order, streams, n)
     hot_side = broadcast_if_small(materialize(hot.select(*keys)))
-    regular = _plain(events.join(hot_side, keys, "left_anti"), keys, order, streams, n)
+    regular = _plain(_matched(events, hot_side, keys, "left_anti"), keys, order, streams, n)
     heavy = _chunked(
-        events.join(hot_side, keys, "left_semi"), keys, order, streams, n, total_hot, max_rows_per_key
+        _matched(events, hot_side, keys, "left_semi"), keys, order, streams, n, total_hot, max_rows_per_key
     )
     return regular.unionByName(heavy)
 

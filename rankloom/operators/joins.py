@@ -48,7 +48,11 @@ def dimension_join(
     if fits if fits is not None else fits_broadcast(right, max_rows):
         return joined(df, F.broadcast(right), how)
 
-    keyed = df.na.drop(subset=lefts)
+    # NaN is a key like any other; only NULL never matches.
+    no_key = F.lit(False)
+    for name in lefts:
+        no_key = no_key | F.col(name).isNull()
+    keyed = df.filter(~no_key)
     hot = materialize(hot_keys(keyed, lefts, hot_rows).select(*lefts))
     if hot.count() == 0:
         result = joined(keyed, right, how)
@@ -59,9 +63,6 @@ def dimension_join(
         heavy = joined(keyed.join(few, lefts, "left_semi"), broadcast_if_small(hot_right), how)
         result = joined(keyed.join(few, lefts, "left_anti"), right, how).unionByName(heavy)
     if how == "left":
-        no_key = F.lit(False)
-        for name in lefts:
-            no_key = no_key | F.col(name).isNull()
         bare = df.filter(no_key).select(
             *df.columns, *[F.lit(None).cast(dim.schema[v].dataType).alias(v) for v in values]
         )

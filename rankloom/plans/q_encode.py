@@ -14,11 +14,10 @@ from rankloom.operators.encode import encode_token, encode_with_rules, onehot_po
 from rankloom.operators.features import FeatureSpec, encode_features, numeric_embedding, wide_entries, widths
 from rankloom.operators.joins import dimension_join
 from rankloom.operators.metrics import auc, mean_focal, mean_logloss, precision_half, residuals
-from rankloom.operators.vocab import dense_ids, token_frequency
+from rankloom.operators.vocab import coverage_vocabulary, dense_ids, min_count_vocabulary, token_frequency
 from rankloom.plans.catalog import query, table, text
 from rankloom.plans.q_vocab import BAG_SQL, bags
 from rankloom.plans.tabular import categorical_counts
-from rankloom.operators.vocab import min_count_vocabulary
 from rankloom.session import materialize
 
 BRAND_SQL = "bv AS (SELECT p_brand AS token, row_number() OVER (ORDER BY count(*) DESC, p_brand) AS id FROM part GROUP BY 1)"
@@ -92,10 +91,14 @@ def wide_assemble(spark, sf_dir):
 
 @query(
     "enc_vocab_list",
-    f"""WITH {BRAND_SQL} SELECT p_partkey, CASE WHEN id <= 20 THEN CAST(id AS BIGINT) ELSE 0 END AS brand FROM part LEFT JOIN bv ON p_brand = token""",
+    """WITH n AS (SELECT p_brand AS token, count(*) AS n FROM part GROUP BY 1),
+       bv AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) AS id, sum(n) OVER (ORDER BY n DESC, token) AS acc, sum(n) OVER () AS total FROM n)
+       SELECT p_partkey, CAST(coalesce(id, 0) AS BIGINT) AS brand FROM part LEFT JOIN bv ON p_brand = token AND acc < 8e-1 * total""",
 )
 def enc_vocab_list(spark, sf_dir):
-    vocab = brand_vocab(spark, sf_dir).filter(F.col("id") <= 20)
+    """Brands outside the most frequent four fifths of the parts get the default id."""
+    counts = token_frequency(table(spark, sf_dir, "part"), "p_brand")
+    vocab = materialize(coverage_vocabulary(counts, 0.8).select("token", "id"))
     return encode_token(table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("brand")), vocab, "brand", "brand")
 
 
@@ -203,7 +206,7 @@ def enc_fill_tail_default(spark, sf_dir):
 )
 def sequence_mask(spark, sf_dir):
     ids = F.slice(F.sequence(F.lit(0), F.lit(6)), F.lit(1), (F.col("event_id") % 6).cast("int"))
-    padded = arrays.pad_to(ids, 5, F.lit(0))
+    padded = arrays.pad_to(ids, 5, F.lit(0), surplus="cut")
     return table(spark, sf_dir, "events").select(
         "event_id", text(F.transform(padded, lambda x: (x != 0).cast("int"))).alias("mask")
     )

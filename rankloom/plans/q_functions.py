@@ -274,7 +274,7 @@ def arr_zip_pad(spark, sf_dir):
 )
 def arr_to_dense(spark, sf_dir):
     ids = F.transform(_range(9, F.col("event_id") % 9), lambda i: i + 1)
-    return table(spark, sf_dir, "events").select("event_id", text(arrays.pad_to(ids, 5, F.lit(0))).alias("dense"))
+    return table(spark, sf_dir, "events").select("event_id", text(arrays.pad_to(ids, 5, F.lit(0), surplus="cut")).alias("dense"))
 
 
 @query(

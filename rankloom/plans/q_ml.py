@@ -110,7 +110,6 @@ def batch_predict_partitions(spark, sf_dir):
         outputs={"p": "score"},
         batch_size=128,
         keep=["vec_id", "label"],
-        model_name="demo_linear",
     )
     return scored.withColumn("score", F.round("score", 6))
 

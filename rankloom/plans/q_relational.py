@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import token_list
 from rankloom.ml.serving import serving_table, union_all, write_serving_table
 from rankloom.operators.encode import encode_lists, encode_token
 from rankloom.operators.joins import dimension_join, enrich_pairs, positional_zip
-from rankloom.operators.ordering import ordered_prefix, shard_rows, take_at_positions, top_k_per_key
+from rankloom.operators.ordering import ordered_prefix, shard_rows, take_at_positions
 from rankloom.operators.sampling import (
     downsample_negatives,
     repeat_epochs,
@@ -16,7 +17,7 @@ from rankloom.operators.sampling import (
     split_fold,
     split_train_eval,
 )
-from rankloom.operators.vocab import dense_ids, token_frequency, with_default
+from rankloom.operators.vocab import coverage_vocabulary, dense_ids, token_frequency, with_default
 from rankloom.plans.catalog import INTER, interactions, query, sql_hash, table, text
 from rankloom.plans.pairs import pair_inference_lines, pair_training_set, top_recommendations
 from rankloom.session import materialize, scratch_path
@@ -86,12 +87,12 @@ def filter_label(spark, sf_dir):
 @query(
     "filter_not_null",
     """SELECT event_id, p_name AS features FROM events
-       JOIN part ON p_partkey = CAST(json_extract_string(props, '$.k') AS BIGINT) WHERE p_size > 10""",
+       JOIN part ON p_partkey = CAST(json_extract_string(props, '$.k') AS BIGINT)""",
 )
 def filter_not_null(spark, sf_dir):
     """Left join and not-null filter: Catalyst turns it into an inner join."""
     events = table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("pid"))
-    part = table(spark, sf_dir, "part").filter(F.col("p_size") > 10).select("p_partkey", F.col("p_name").alias("features"))
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("features"))
     found = dimension_join(events, part, [("pid", "p_partkey")])
     return found.filter(F.col("features").isNotNull()).select("event_id", "features")
 
@@ -168,21 +169,26 @@ def _click_vocab(spark, sf_dir):
 
 @query(
     "join_vocab_encode",
-    f"""WITH {INTER}, {PID_VOCAB}
-        SELECT event_id, CASE WHEN id <= 60 THEN CAST(id AS BIGINT) ELSE 0 END AS pid FROM inter LEFT JOIN pv ON pid = token""",
+    f"""WITH {INTER}, {PID_VOCAB},
+        running AS (SELECT pid AS token, count(*) AS n FROM inter WHERE tag = 1 GROUP BY pid),
+        kept AS (SELECT token FROM (SELECT token, sum(n) OVER (ORDER BY n DESC, token) AS acc, sum(n) OVER () AS total FROM running)
+                 WHERE acc < 9e-1 * total)
+        SELECT event_id, CASE WHEN kept.token IS NULL THEN 0 ELSE CAST(id AS BIGINT) END AS pid
+        FROM inter LEFT JOIN pv ON pid = pv.token LEFT JOIN kept ON pid = kept.token""",
 )
 def join_vocab_encode(spark, sf_dir):
-    vocab = _click_vocab(spark, sf_dir).filter(F.col("id") <= 60)
+    """Items outside the most frequent nine tenths of the clicks get the default id."""
+    clicks = interactions(spark, sf_dir).filter(F.col("tag") == 1)
+    vocab = materialize(coverage_vocabulary(token_frequency(clicks, "pid"), 0.9).select("token", "id"))
     return encode_token(interactions(spark, sf_dir).select("event_id", "pid"), vocab, "pid", "pid")
 
 
-PROFILE_SQL = "prof AS (SELECT CAST(p_partkey AS VARCHAR) AS key, p_size, p_retailprice FROM part WHERE p_size > 10)"
+PROFILE_SQL = "prof AS (SELECT CAST(p_partkey AS VARCHAR) AS key, p_size, p_retailprice FROM part)"
 
 
 def _profile(spark, sf_dir):
     return (
         table(spark, sf_dir, "part")
-        .filter(F.col("p_size") > 10)
         .select(F.col("p_partkey").cast("string").alias("key"), "p_size", "p_retailprice")
     )
 
@@ -274,7 +280,7 @@ def join_reassemble(spark, sf_dir):
     "join_pair_profiles",
     """SELECT l_orderkey, l_linenumber, a.p_partkey AS item1, b.p_partkey AS item2, a.p_name AS name1, b.p_name AS name2,
               a.p_size AS size1, b.p_size AS size2
-       FROM lineitem JOIN part a ON l_partkey = a.p_partkey AND a.p_size > 10 JOIN part b ON l_suppkey = b.p_partkey AND b.p_size > 10""",
+       FROM lineitem JOIN part a ON l_partkey = a.p_partkey JOIN part b ON l_suppkey = b.p_partkey""",
 )
 def join_pair_profiles(spark, sf_dir):
     pairs = table(spark, sf_dir, "lineitem").select(
@@ -282,7 +288,6 @@ def join_pair_profiles(spark, sf_dir):
     )
     profile = (
         table(spark, sf_dir, "part")
-        .filter(F.col("p_size") > 10)
         .select(F.col("p_partkey").alias("pid"), F.col("p_name").alias("name"), F.col("p_size").alias("size"))
     )
     return enrich_pairs(pairs, profile)
@@ -424,7 +429,7 @@ def union_pos_neg(spark, sf_dir):
 
 @query(
     "pair_training_set",
-    f"""WITH {PAIR_SQL}, prof AS (SELECT p_partkey, p_name FROM part WHERE p_size > 10),
+    f"""WITH {PAIR_SQL}, prof AS (SELECT p_partkey, p_name FROM part),
         j AS (SELECT 'train' AS part, * FROM s UNION ALL SELECT 'eval', l_orderkey, l_linenumber, item1, item2, label FROM p)
         SELECT part, l_orderkey, l_linenumber, label || '@' || a.p_name || '@' || b.p_name AS line
         FROM j JOIN prof a ON item1 = a.p_partkey JOIN prof b ON item2 = b.p_partkey""",
@@ -433,7 +438,6 @@ def pair_training_set_query(spark, sf_dir):
     """Balanced training rows and the full evaluation set, both with two profiles."""
     profile = (
         table(spark, sf_dir, "part")
-        .filter(F.col("p_size") > 10)
         .select(F.col("p_partkey").alias("pid"), F.col("p_name").alias("features"))
     )
     train, full = pair_training_set(_pairs(spark, sf_dir), profile, ["l_orderkey", "l_linenumber"])
@@ -445,7 +449,7 @@ def pair_training_set_query(spark, sf_dir):
 @query(
     "pair_inference_set",
     """SELECT l_partkey || '@' || l_suppkey || '@' || a.p_name || '@' || b.p_name AS value FROM lineitem
-       JOIN part a ON l_partkey = a.p_partkey AND a.p_size > 10 JOIN part b ON l_suppkey = b.p_partkey AND b.p_size > 10""",
+       JOIN part a ON l_partkey = a.p_partkey JOIN part b ON l_suppkey = b.p_partkey""",
 )
 def pair_inference_set(spark, sf_dir):
     """Tab separated pairs to lines with both profiles."""
@@ -453,7 +457,6 @@ def pair_inference_set(spark, sf_dir):
     write_text(table(spark, sf_dir, "lineitem"), joined_line(["l_partkey", "l_suppkey", "l_quantity"], "\t"), path)
     profile = (
         table(spark, sf_dir, "part")
-        .filter(F.col("p_size") > 10)
         .select(F.col("p_partkey").cast("string").alias("pid"), F.col("p_name").alias("features"))
     )
     return pair_inference_lines(read_pairs(spark, path, train=False), profile)
@@ -517,12 +520,12 @@ def shuffle_order(spark, sf_dir):
 @query(
     "win_partition_order",
     """SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS INTEGER) AS idx
-       FROM lineitem QUALIFY idx <= 3""",
+       FROM lineitem""",
 )
 def win_partition_order(spark, sf_dir):
-    """First three lines of each order; only three per order and task are shuffled."""
+    """Every line numbered within its order."""
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    cut = top_k_per_key(rows, ["l_orderkey"], [F.asc("l_linenumber"), F.asc("l_partkey")], 3, rank="idx")
-    return cut.drop("l_partkey")
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
+    return rows.withColumn("idx", F.row_number().over(order)).drop("l_partkey")
 
 

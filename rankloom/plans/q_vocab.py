@@ -139,7 +139,7 @@ def agg_collect_ordered(spark, sf_dir):
     "agg_topk_list",
     """WITH r AS (SELECT l_suppkey AS pid, l_partkey AS item, max(l_quantity * l_discount) AS score FROM lineitem GROUP BY 1, 2),
        t AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY score DESC, item) AS rn FROM r)
-       SELECT pid, string_agg(CAST(item AS VARCHAR), ',' ORDER BY rn) AS items FROM t WHERE rn <= 10 GROUP BY pid""",
+       SELECT pid, string_agg(CAST(item AS VARCHAR), ',' ORDER BY rn) AS items FROM t WHERE rn <= 200 GROUP BY pid""",
 )
 def agg_topk_list(spark, sf_dir):
     pairs = (
@@ -147,7 +147,7 @@ def agg_topk_list(spark, sf_dir):
         .groupBy(F.col("l_suppkey").alias("pid"), F.col("l_partkey").alias("item"))
         .agg(F.max(F.col("l_quantity") * F.col("l_discount")).alias("score"))
     )
-    best = top_k_per_key(pairs, ["pid"], [F.desc("score"), F.asc("item")], 10)
+    best = top_k_per_key(pairs, ["pid"], [F.desc("score"), F.asc("item")], 200)
     listed = best.groupBy("pid").agg(F.collect_list(F.struct(F.col("rank").alias("pos"), "item")).alias("l"))
     return listed.select("pid", text(arrays.sort_by_index(F.col("l"))).alias("items"))
 
@@ -370,7 +370,7 @@ def sample_token_counts_query(spark, sf_dir):
 
 
 PROFILE_BUCKETS = """prof AS (SELECT CAST(p_partkey AS VARCHAR) AS key, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_retailprice END AS price,
-    CAST(p_size AS DOUBLE) AS size FROM part WHERE p_size > 10),
+    CAST(p_size AS DOUBLE) AS size FROM part),
   pr AS (SELECT price, row_number() OVER (ORDER BY price) - 1 AS rn, count(*) OVER () AS n FROM prof WHERE price IS NOT NULL),
   sr AS (SELECT size, row_number() OVER (ORDER BY size) - 1 AS rn, count(*) OVER () AS n FROM prof),
   lim AS (SELECT (SELECT max(price) FROM pr WHERE rn = n // 30) AS plo, (SELECT max(price) FROM pr WHERE rn = least(n - n // 30, n - 1)) AS phi,
@@ -399,10 +399,9 @@ TRAIN_SQL = f"""WITH {SAMPLE_CTE}, {TOKENS}, {VOCAB}, {PROFILE_BUCKETS},
 
 
 def _sample_profile(spark, sf_dir):
-    """Profile with missing prices; small parts have none at all."""
+    """Profile with missing prices."""
     return (
         table(spark, sf_dir, "part")
-        .filter(F.col("p_size") > 10)
         .select(
             F.col("p_partkey").cast("string").alias("key"),
             F.when(F.col("p_size") % 7 != 0, F.col("p_retailprice")).alias("price"),
@@ -422,7 +421,7 @@ def train_samples_query(spark, sf_dir):
 
 
 MINMAX_BUCKETS = """prof AS (SELECT CAST(p_partkey AS VARCHAR) AS key, CASE WHEN p_size % 7 = 0 THEN 0 ELSE p_retailprice END AS price,
-    CAST(p_size AS DOUBLE) AS size FROM part WHERE p_size > 10),
+    CAST(p_size AS DOUBLE) AS size FROM part),
   lim AS (SELECT min(price) AS plo, max(price) AS phi, min(size) AS slo, max(size) AS shi FROM prof),
   buckets AS (SELECT key, CAST(ceil((price - plo) / ((phi - plo) / 29e0)) AS BIGINT) AS price,
      CAST(ceil((size - slo) / ((shi - slo) / 29e0)) AS BIGINT) AS size FROM prof, lim)"""

@@ -288,6 +288,44 @@ class _Written(WriterCommitMessage):
     path: str
 
 
+def _features(system, path: str) -> list[tuple[str, str, int]]:
+    """Name, kind and largest number of values of every feature in a file."""
+    found: dict[tuple[str, str], int] = {}
+    with system.open_input_stream(path) as stream:
+        for message in read_records(stream):
+            for name, (kind, values) in decode_example(message).items():
+                key = (name, kind if values else "")
+                found[key] = max(found.get(key, 0), len(values))
+    return [(name, kind, most) for (name, kind), most in found.items()]
+
+
+def schema_of(rows, binary) -> T.StructType:
+    """Schema of features given as (name, kind, largest number of values).
+
+    Names are sorted; a feature with several values in any record is an array;
+    one without any value is a string.  A feature of two kinds is an error.
+    """
+    kinds: dict[str, set[str]] = {}
+    most: dict[str, int] = {}
+    for name, kind, n in rows:
+        kinds.setdefault(name, set()).update({kind} - {""})
+        most[name] = max(most.get(name, 0), n)
+    if not kinds:
+        raise ValueError("no record to infer a schema from; pass one with .schema(...)")
+    base = {"int64": T.LongType(), "float": T.DoubleType()}
+    fields = []
+    for name in sorted(kinds):
+        if len(kinds[name]) > 1:
+            raise ValueError(f"feature {name!r} is of several kinds: {', '.join(sorted(kinds[name]))}")
+        kind = next(iter(kinds[name]), "bytes")
+        value: T.DataType = T.BinaryType() if name in binary else base.get(kind, T.StringType())
+        fields.append(T.StructField(name, T.ArrayType(value) if most[name] > 1 else value))
+    return T.StructType(fields)
+
+
+FEATURES_SCHEMA = "name string, kind string, most bigint"
+
+
 class TFRecordSource(DataSource):
     """Options: ``path``, ``binary`` (comma list of bytes features read as binary),
     ``verify`` (checksums, default true)."""
@@ -312,21 +350,10 @@ class TFRecordSource(DataSource):
         )
 
     def schema(self) -> T.StructType:
-        """From the first record: names sorted, several values make an array."""
+        """From all records, read here one after the other; :func:`read_tfrecords` does it as a job."""
         system, _ = _filesystem(self.options["path"])
-        base = {"int64": T.LongType(), "float": T.DoubleType()}
-        for path in self.files():
-            with system.open_input_stream(path) as stream:
-                for message in read_records(stream):
-                    fields = []
-                    for name, (kind, values) in sorted(decode_example(message).items()):
-                        if name in self._binary():
-                            kind_type: T.DataType = T.BinaryType()
-                        else:
-                            kind_type = base.get(kind, T.StringType()) if values else T.StringType()
-                        fields.append(T.StructField(name, T.ArrayType(kind_type) if len(values) > 1 else kind_type))
-                    return T.StructType(fields)
-        raise ValueError("no record to infer a schema from; pass one with .schema(...)")
+        rows = [row for path in self.files() for row in _features(system, path)]
+        return schema_of(rows, self._binary())
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return _Reader(self.files(), schema, self.options)
@@ -339,6 +366,7 @@ class _Reader(DataSourceReader):
     def __init__(self, files: list[str], schema: T.StructType, options) -> None:
         self.paths, self.wanted = files, schema
         self.root, self.verify = options["path"], options.get("verify", "true") == "true"
+        self.only_features = options.get("features", "false") == "true"
 
     def partitions(self):
         return [_FilePart(p) for p in self.paths]
@@ -348,6 +376,11 @@ class _Reader(DataSourceReader):
 
         arrow = to_arrow_schema(self.wanted)
         system, _ = _filesystem(self.root)
+        if self.only_features:
+            rows = _features(system, partition.path)
+            columns = zip(*rows) if rows else ([], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            return
         rows: list[list] = []
 
         def value(field: T.StructField, found: tuple[str, list] | None):
@@ -357,6 +390,8 @@ class _Reader(DataSourceReader):
                 values = [v.decode() if isinstance(v, bytes) else str(v) for v in values]
             if isinstance(field.dataType, T.ArrayType):
                 return values
+            if len(values) > 1:
+                raise ValueError(f"feature {field.name!r} has {len(values)} values in a record; read it as an array")
             return values[0] if values else None
 
         def batch():
@@ -433,6 +468,11 @@ def write_tfrecords(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_tfrecords(spark: SparkSession, path: str, schema=None, binary: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of all records below ``path``; without a schema it is inferred from all of them by a job."""
     register(spark)
     reader = spark.read.format("tfrecord").option("binary", ",".join(binary))
-    return (reader.schema(schema) if schema is not None else reader).load(path)
+    if schema is None:
+        features = spark.read.format("tfrecord").option("features", "true").schema(FEATURES_SCHEMA).load(path)
+        found = features.groupBy("name", "kind").agg(F.max("most").alias("most")).collect()  # one row per feature and kind
+        schema = schema_of([tuple(r) for r in found], set(binary))
+    return reader.schema(schema).load(path)

@@ -74,7 +74,7 @@ def test_output_length_is_checked(spark):
         return lambda feed: {"p": np.zeros(len(feed["x"]) + 1)}
 
     with pytest.raises(Exception, match="rows for"):
-        score_partitions(train_rows(spark, 5), load, {"value": "x"}, {"p": "p"}, model_name="too_long").collect()
+        score_partitions(train_rows(spark, 5), load, {"value": "x"}, {"p": "p"}).collect()
 
 
 def test_serving_table(spark):
@@ -97,3 +97,30 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_path):
     assert sorted((r["id"], r["twice"]) for r in spark.read.parquet(out).collect()) == first
     with pytest.raises(ValueError):
         score_stream(spark.range(1), lambda rows: rows)
+
+
+def test_models_do_not_stand_for_each_other(spark):
+    rows = train_rows(spark, 4)
+
+    def scored(value):
+        return [r["p"] for r in score_partitions(rows, lambda: lambda feed: {"p": np.full(len(feed["x"]), value)}, {"value": "x"}, {"p": "p"}).collect()]
+
+    assert set(scored(0.25)) == {0.25} and set(scored(0.75)) == {0.75}
+
+
+def load_scaled(state, args):
+    return lambda feed: {"p": np.full(len(feed["x"]), float(state["mean"]) * args.own)}
+
+
+def test_model_is_saved_loaded_and_set_anew(spark, tmp_path):
+    rows = train_rows(spark, 6)
+    path = str(tmp_path / "model")
+    estimator = RankerEstimator(mean_label, load_scaled, {"own": 2.0}).configure(input_mapping={"value": "x", "label": "y"}, output_mapping={"p": "p"}, model_dir=path)
+    model = estimator.fit(rows)
+    first = [r["p"] for r in model.transform(rows).collect()]
+    again = RankerModel.load(path)
+    assert [r["p"] for r in again.transform(rows).collect()] == first
+    assert again.getOrDefault("output_mapping") == {"p": "p"}
+    again.args["own"] = 4.0
+    assert [r["p"] for r in again.transform(rows).collect()] == [2 * p for p in first]
+    assert "q" in again.configure(output_mapping={"p": "q"}).transform(rows).columns

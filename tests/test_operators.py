@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from rankloom.functions import arrays
 from rankloom.operators import bags, encode, features, joins, metrics, ordering, sampling, vocab
 from rankloom.operators.combine import combine_by_key
 from rankloom.operators.history import last_n_history
@@ -393,3 +394,44 @@ def test_train_samples_job(spark):
         assert len(r["click"]) == len(r["click_cross"]) <= 20
     strict = train_samples(log, "rid", profile, "key", ["price"], SampleSettings(buckets=5), drop_empty=True).collect()
     assert len(strict) == sum(1 for r in done if r["click"] and r["order_cross"])
+
+
+@pytest.mark.parametrize("limit", [5, 10**9])
+def test_rows_without_a_user_are_one_history(spark, limit):
+    rnd = random.Random(6)
+    log = [(i, None if i % 2 else "u", f"p{i}", rnd.randrange(9), rnd.randrange(3)) for i in range(60)]
+    df = spark.createDataFrame(log, "rid int, cid string, pid string, ts int, tag int")
+    sources = df.filter("tag > 0").withColumn("stream", F.when(F.col("tag") == 1, "click").otherwise("order"))
+    got = last_n_history(df, sources, ["cid"], ["ts", "rid"], "pid", "stream", ["click", "order"], n=4, max_rows_per_key=limit)
+    found = {r["rid"]: (r["click_history"], r["order_history"]) for r in got.collect()}
+    for rid, cid, _, ts, _ in log:
+        before = sorted((r for r in log if r[1] == cid and (r[3], r[0]) < (ts, rid)), key=lambda r: (r[3], r[0]))
+        assert found[rid] == tuple([r[2] for r in before if r[4] == tag][-4:] for tag in (1, 2))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_nan_is_a_key_and_null_is_none(spark, how):
+    left = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None), (4, 9.0)], "i int, k double")
+    dim = spark.createDataFrame([(1.0, "one"), (float("nan"), "nan"), (None, "null")], "key double, v string")
+    want = {1: "one", 2: "nan"} | ({3: None, 4: None} if how == "left" else {})
+    for sizes in ({}, {"max_rows": 0}, {"max_rows": 0, "hot_rows": 0}):
+        got = joins.dimension_join(left, dim, [("k", "key")], how=how, **sizes)
+        assert {r["i"]: r["v"] for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("max_rows", [0, 2, 10**6])
+def test_null_lists_keep_their_sample(spark, max_rows):
+    rows = [(1, ["a", "b"], ["x"]), (2, None, ["y"]), (3, ["b"], None), (4, None, None), (5, [], [None])]
+    df = spark.createDataFrame(rows, "k int, near array<string>, far array<string>")
+    vocab = spark.createDataFrame([("n", "a", 1), ("n", "b", 2), ("f", "x", 1), ("f", "y", 2), ("f", "z", 3)], "field string, token string, id bigint")
+    got = encode.encode_lists(df, vocab, "k", {"near": "n", "far": "f"}, max_rows=max_rows)
+    assert {r["k"]: (r["near"], r["far"]) for r in got.collect()} == {1: ([1, 2], [1]), 2: ([], [2]), 3: ([2], []), 4: ([], []), 5: ([], [0])}
+
+
+def test_surplus_values_are_no_secret(spark):
+    df = spark.createDataFrame([(1, [1, 2, 3])], "k int, v array<bigint>")
+    with pytest.raises(Exception, match="more than 2 values"):
+        df.select(arrays.pad_to(F.col("v"), 2, F.lit(0).cast("bigint"))).collect()
+    with pytest.raises(Exception, match="outside"):
+        bags.multihot(df, "k", "v", 3, outside="raise").collect()
+    assert bags.multihot(df, "k", "v", 3).count() == 2

@@ -165,3 +165,28 @@ def test_damage_is_found(spark, tmp_path):
     path.write_bytes(bytes(data))
     with pytest.raises(Exception, match="checksum"):
         tf.read_tfrecords(spark, str(path), schema="x bigint").collect()
+
+
+def test_schema_is_that_of_all_records(spark, tmp_path):
+    """Features that come late, and lists that start with one value."""
+    path = tmp_path / "mixed"
+    path.mkdir()
+    records = [
+        {"v": ("float", [1.0])},
+        {"v": ("float", [1.0, 2.0, 3.0]), "late": ("bytes", [b"x"])},
+        {"v": ("float", []), "i": ("int64", [7])},
+    ]
+    for n, record in enumerate(records):
+        with open(path / f"part-{n}.tfrecord", "wb") as stream:
+            tf.write_record(stream, tf.encode_example(record))
+    back = tf.read_tfrecords(spark, str(path))
+    assert dict(back.dtypes) == {"v": "array<double>", "late": "string", "i": "bigint"}
+    assert sorted((r["v"], r["late"], r["i"]) for r in back.collect() if r["v"]) == [([1.0], None, None), ([1.0, 2.0, 3.0], "x", None)]
+    tf.register(spark)
+    assert spark.read.format("tfrecord").load(str(path)).schema == back.schema
+    with pytest.raises(Exception, match="3 values"):
+        tf.read_tfrecords(spark, str(path), schema="v double").collect()
+    with open(path / "part-9.tfrecord", "wb") as stream:
+        tf.write_record(stream, tf.encode_example({"i": ("float", [1.0])}))
+    with pytest.raises(ValueError, match="several kinds"):
+        tf.read_tfrecords(spark, str(path))
