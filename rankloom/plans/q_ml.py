@@ -12,8 +12,9 @@ from rankloom.ml import learners, registry
 from rankloom.ml.estimator import RankerEstimator, RankerModel
 from rankloom.ml.scoring import linear_predictor, score_lines, score_partitions, score_udf
 from rankloom.operators.combine import combine_by_key
+from rankloom.operators.metrics import auc
 from rankloom.plans.catalog import query, table
-from rankloom.session import scratch_path
+from rankloom.session import materialize, scratch_path
 from rankloom.streaming.feed import feed_batches, read_events, score_stream
 
 DIM = 64
@@ -37,25 +38,51 @@ def click_rows(spark, sf_dir):
     )
 
 
-def _fit_and_score(spark, sf_dir, fit, **options):
-    rows = click_rows(spark, sf_dir)
-    model = fit(rows, ["item"], ["value"], steps=15, **options)
-    return learners.predict(model, rows, ["event_id", "label"]).withColumn("pred", F.round("pred", 6))
+def _fit_and_score(rows, fit, steps, **options):
+    model = fit(rows, ["item"], ["value"], steps=steps, **options)
+    return materialize(learners.predict(model, rows, ["event_id", "label"]))
 
 
-@query("train_linear")
+def _facts(scored, key, fact, holds: bool):
+    """What SQL can know of a learner: every row has one probability, and the fact holds."""
+    inside = (F.col("pred") >= 0) & (F.col("pred") <= 1)
+    return scored.select(key, F.col("label").cast("int").alias("label"), inside.alias("in_range"), F.lit(holds).alias(fact))
+
+
+def _balanced(scored) -> bool:
+    """With a free intercept the residuals of a logistic fit sum to zero at the optimum."""
+    return abs(scored.agg(F.avg(F.col("pred") - F.col("label"))).first()[0]) < 1e-3
+
+
+def _separates(scored) -> bool:
+    return auc(scored, "label", "pred").first()["auc"] > 0.9
+
+
+def _formula_rows(spark, sf_dir):
+    """Labels that follow from the item, which the item's own slot can express."""
+    return click_rows(spark, sf_dir).withColumn("label", (F.col("item") % 3 == 0).cast("int"))
+
+
+_CLICK_FACTS = "SELECT event_id, CAST({label} AS INTEGER) AS label, TRUE AS in_range, TRUE AS {fact} FROM events WHERE event_type IN ('click', 'view')"
+_FORMULA = "CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 = 0"
+
+
+@query("train_linear", _CLICK_FACTS.format(label="event_type = 'click'", fact="balanced"))
 def train_linear(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, learners.fit_linear, l1=0.001, l2=0.01)
+    scored = _fit_and_score(click_rows(spark, sf_dir), learners.fit_linear, 50, l1=0.001, l2=0.01)
+    return _facts(scored, "event_id", "balanced", _balanced(scored))
 
 
-@query("train_fm")
+@query("train_fm", _CLICK_FACTS.format(label=_FORMULA, fact="separates"))
 def train_fm(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, learners.fit_fm, factors=3)
+    scored = _fit_and_score(_formula_rows(spark, sf_dir), learners.fit_fm, 15, factors=3)
+    return _facts(scored, "event_id", "separates", _separates(scored))
 
 
-@query("train_mlp")
+@query("train_mlp", _CLICK_FACTS.format(label=_FORMULA, fact="separates"))
 def train_mlp(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, learners.fit_mlp, hidden=(4,))
+    scored = _fit_and_score(_formula_rows(spark, sf_dir), learners.fit_mlp, 15, hidden=(4,))
+    return _facts(scored, "event_id", "separates", _separates(scored))
 
 
 @query(
@@ -150,17 +177,17 @@ def _load(state, args):
     return _load_linear(*state)()
 
 
-@query("ml_estimator")
+@query("ml_estimator", "SELECT vec_id, CAST(label % 2 AS INTEGER) AS label, TRUE AS in_range, TRUE AS balanced FROM embeddings")
 def ml_estimator(spark, sf_dir):
     """fit on (features, label), transform keeps the input columns and adds the score."""
     rows = table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").alias("features"), (F.col("label") % 2).cast("double").alias("label")
     )
     estimator = RankerEstimator(_train, _load).configure(
-        input_mapping={"features": "x", "label": "y"}, output_mapping={"p": "pred"}, steps=10, batch_size=64
+        input_mapping={"features": "x", "label": "y"}, output_mapping={"p": "pred"}, steps=50, batch_size=64
     )
-    model = estimator.fit(rows)
-    return model.transform(rows).select("vec_id", "label", F.round("pred", 6).alias("pred"))
+    scored = materialize(estimator.fit(rows).transform(rows).select("vec_id", "label", "pred"))
+    return _facts(scored, "vec_id", "balanced", _balanced(scored))
 
 
 @query(
