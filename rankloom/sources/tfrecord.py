@@ -11,7 +11,6 @@ the message and the masked CRC32C of the message, all little-endian.
 
 from __future__ import annotations
 
-import os
 import struct
 import uuid
 from collections.abc import Iterator
@@ -265,14 +264,21 @@ def read_records(stream, verify: bool = True) -> Iterator[bytes]:
 
 
 def _filesystem(path: str):
-    """Local paths, or any URI pyarrow knows (hdfs, s3, gs)."""
+    """File system and place of a path with its scheme: file, hdfs, s3 or gs."""
     from pyarrow import fs
 
-    if path.startswith("file:"):
-        path = "/" + path.removeprefix("file:").lstrip("/")
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), os.path.abspath(path)
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        raise ValueError(f"path {path!r} has no scheme: every executor would take it for a place on its own disk")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the session's default file system where it has none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
 # --- data source ----------------------------------------------------------------
@@ -445,7 +451,7 @@ class _Writer(DataSourceArrowWriter):
         system, root = _filesystem(self.root)
         done = [m.path for m in messages if m is not None]
         if self.overwrite and system.get_file_info(root).type == fs.FileType.Directory:
-            for old in system.get_file_info(fs.FileSelector(root)):
+            for old in system.get_file_info(fs.FileSelector(root, recursive=True)):
                 if old.type == fs.FileType.File and not old.base_name.startswith("_tmp-"):
                     system.delete_file(old.path)
         for i, path in enumerate(sorted(done)):
@@ -464,12 +470,13 @@ def register(spark: SparkSession) -> None:
 
 def write_tfrecords(df: DataFrame, path: str, mode: str = "append") -> None:
     register(df.sparkSession)
-    coerce(df).write.format("tfrecord").mode(mode).save(path)
+    coerce(df).write.format("tfrecord").mode(mode).save(qualified(df.sparkSession, path))
 
 
 def read_tfrecords(spark: SparkSession, path: str, schema=None, binary: tuple[str, ...] = ()) -> DataFrame:
     """Rows of all records below ``path``; without a schema it is inferred from all of them by a job."""
     register(spark)
+    path = qualified(spark, path)
     reader = spark.read.format("tfrecord").option("binary", ",".join(binary))
     if schema is None:
         features = spark.read.format("tfrecord").option("features", "true").schema(FEATURES_SCHEMA).load(path)

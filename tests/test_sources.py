@@ -183,7 +183,9 @@ def test_schema_is_that_of_all_records(spark, tmp_path):
     assert dict(back.dtypes) == {"v": "array<double>", "late": "string", "i": "bigint"}
     assert sorted((r["v"], r["late"], r["i"]) for r in back.collect() if r["v"]) == [([1.0], None, None), ([1.0, 2.0, 3.0], "x", None)]
     tf.register(spark)
-    assert spark.read.format("tfrecord").load(str(path)).schema == back.schema
+    assert spark.read.format("tfrecord").load(f"file://{path}").schema == back.schema
+    with pytest.raises(Exception, match="no scheme"):
+        spark.read.format("tfrecord").load(str(path))
     with pytest.raises(Exception, match="3 values"):
         tf.read_tfrecords(spark, str(path), schema="v double").collect()
     with open(path / "part-9.tfrecord", "wb") as stream:
