@@ -93,8 +93,8 @@ def parse_neighbours(rows: DataFrame) -> DataFrame:
     """
     first, match, left, right = [F.col(c) for c in rows.columns]
     return rows.select(
-        F.trim(drop_first_char(first)).cast("int").alias("pid"),
-        F.trim(match).cast("int").alias("match_id"),
+        F.trim(drop_first_char(first)).cast("bigint").alias("pid"),
+        F.trim(match).cast("bigint").alias("match_id"),
         (F.trim(left).cast("double") * F.trim(drop_last_char(right)).cast("double")).alias("score"),
     )
 
