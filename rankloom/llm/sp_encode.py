@@ -28,9 +28,11 @@ from pyspark.sql import types as T
 from rankloom.llm.batches import pieces
 from rankloom.llm.sp_model import BYTE, CONTROL, NEVER, SPACE, UNKNOWN, MergeModel, marked, splitter
 
-# Parts up to this length are remembered, up to so many of them per task.
+# Parts up to this length are remembered, at most twice so many of them per task.
 CACHED_CHARS = 48
-CACHED_PARTS = 400_000
+CACHED_PARTS = 200_000
+# The same for pairs of pieces.
+CACHED_PAIRS = 400_000
 
 
 class Encoder:
@@ -85,7 +87,7 @@ class Encoder:
                         break
                     fit = fits.get((left, piece))
                     if fit is None:
-                        if len(fits) > CACHED_PARTS:
+                        if len(fits) > CACHED_PAIRS:
                             fits.clear()
                         fit = fits[left, piece] = self.compatible(left, piece)
                     if fit:
@@ -131,16 +133,23 @@ class Encoder:
 
 
 class _Parts(dict):
-    """Ids of short parts; long ones are encoded anew each time."""
+    """Ids of short parts; long ones are encoded anew each time.
+
+    When it is full it becomes the older half, from which parts that are met
+    again come back, so frequent parts are never forgotten.
+    """
 
     def __init__(self, encoder: Encoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, part: str) -> tuple[int, ...]:
-        ids = self.encoder.part(part)
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.encoder.part(part)
         if len(part) <= CACHED_CHARS:
             if len(self) >= CACHED_PARTS:
+                self.older = dict(self)
                 self.clear()
             self[part] = ids
         return ids
@@ -225,6 +234,14 @@ def encode_texts(
     return source.mapInArrow(run, schema).withColumnsRenamed({"id": id_col, **dict(zip(kept, keep))})
 
 
+def _lists(column: pa.ListArray) -> Iterator[list[int]]:
+    """Rows of a list column; a NULL row is empty."""
+    ends = column.offsets.to_numpy()
+    values = column.values.to_numpy(zero_copy_only=False)
+    for begin, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        yield values[begin:end].tolist()
+
+
 def decode_ids(encoded: DataFrame, model: MergeModel, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``id_col``, the ids and their text (``decoded string``); NULL ids give the empty text."""
     source = encoded.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{ids_col}`").alias("ids"))
@@ -233,7 +250,7 @@ def decode_ids(encoded: DataFrame, model: MergeModel, id_col: str = "doc_id", id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(model)
         for piece in pieces(batches, 1):
-            texts = [decoder.decode(ids) for ids in piece.column(1).to_pylist()]
+            texts = [decoder.decode(ids) for ids in _lists(piece.column(1))]
             yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
     return source.mapInArrow(run, schema).withColumnsRenamed({"id": id_col, "ids": ids_col})
