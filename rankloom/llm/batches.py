@@ -8,7 +8,7 @@ import pyarrow as pa
 
 # Rows and UTF-8 bytes of a piece; a longer text is a piece of its own.
 PIECE_ROWS = 512
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def pieces(batches: Iterable[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:

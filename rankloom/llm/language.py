@@ -31,7 +31,7 @@ SEED = 20240613
 UNKNOWN = "und"
 # Steps of the fixed grid on which vectors are summed, so that sums do not depend on their order.
 GRID = 1 << 20
-CACHED_GRAMS = 60_000
+CACHED_GRAMS = 30_000
 # Letters of a text that are counted at once; longer texts are counted in parts.
 CHUNK = 1 << 20
 

@@ -39,6 +39,8 @@ START, SPACE, DIGIT = 2, 32, 48
 SENT_ROWS = 4_000_000
 # Different n-grams that a task holds before it hands on their counts.
 HELD_GRAMS = 1_000_000
+# Characters that are looked up at once.
+SCORED_AT_ONCE = 1 << 18
 # Bins of the logarithm of the perplexity, from which quantiles are read.
 BINS = 1000
 # With so many characters a text's excess counts half as much squared as that of a long one.
@@ -206,7 +208,10 @@ class Scorer:
         """Characters and perplexity of each text."""
         found = [grams(classes(t or "", self.table), self.order) for t in texts]
         sizes = [len(g) for g in found]
-        logs = self.logs(np.concatenate(found)) if found else np.zeros(0)
+        top = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        logs = np.empty(len(top))
+        for at in range(0, len(top), SCORED_AT_ONCE):
+            logs[at : at + SCORED_AT_ONCE] = self.logs(top[at : at + SCORED_AT_ONCE])
         ends = np.cumsum(sizes)
         means = [float(np.exp(-logs[e - n : e].sum() / n)) if n else None for n, e in zip(sizes, ends)]
         return sizes, means
