@@ -23,20 +23,16 @@ def smallest_labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """For nodes 0..n-1 the smallest node of their component."""
     label = np.arange(n)
     while len(left):
-        low = np.minimum(label[left], label[right])
-        before = label.copy()
-        np.minimum.at(label, left, low)
-        np.minimum.at(label, right, low)
-        label = label[label]
-        if np.array_equal(before, label):
-            break
+        # Roots are hooked, not the ends of links, so a link whose ends agree may go: they share a root for good.
+        a, b = label[left], label[right]
+        low = np.minimum(a, b)
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        while not np.array_equal(onward := label[label], label):
+            label = onward
         differ = label[left] != label[right]
         left, right = left[differ], right[differ]
-    while True:
-        onward = label[label]
-        if np.array_equal(onward, label):
-            return label
-        label = onward
+    return label
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from rankloom.llm import blocks
-from rankloom.llm.components import components
+from rankloom.llm.components import components, smallest_labels
 from rankloom.llm.embedding_dedup import near_vectors
 from rankloom.llm.simhash import fingerprint, near_duplicates
 
@@ -40,6 +40,21 @@ def test_components(spark):
     assert components(table.limit(0)).count() == 0
 
 
+def test_labels_of_chains():
+    left, right = np.array([[0, 4], [4, 3], [3, 2], [2, 1]]).T
+    assert smallest_labels(5, left, right).tolist() == [0, 0, 0, 0, 0]
+    assert smallest_labels(3, left[:0], right[:0]).tolist() == [0, 1, 2]
+    rng = np.random.default_rng(4)
+    for n in (5, 40, 3000):
+        for _ in range(20):
+            names, apart = rng.permutation(n), rng.integers(1, n, 2)
+            keep = ~np.isin(np.arange(1, n), apart)
+            left, right = names[:-1][keep], names[1:][keep]
+            order = rng.permutation(len(left))
+            want = smallest_reached(range(n), list(zip(left.tolist(), right.tolist())))
+            assert smallest_labels(n, left[order], right[order]).tolist() == [want[k] for k in range(n)]
+
+
 def plain_fingerprint(text, words):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     found = re.findall(r"[^\x20\x09-\x0D]+", text)
