@@ -313,14 +313,17 @@ def fit_limits(scored: DataFrame, share: float = 0.995, slack: float = 1.5, leas
     """Limits from held-out trusted texts that were scored.
 
     For each language the middle is the median of the log perplexity and the
-    limit is the ``share`` quantile of the excess over it, times ``slack`` and at
-    least ``least``.  A language with fewer than ``least_texts`` texts has the
-    limits of all texts together.  Without texts there is no limit.  One row for
+    limit is the ``share`` quantile of the excess over it, times ``slack``.
+    A language with fewer than ``least_texts`` texts has the limits of all texts
+    together; if these are fewer as well, they have no such quantile and the
+    limit is at least ``least``.  Without texts there is no limit.  One row for
     each language is collected.
     """
     usable = scored.filter(F.col("perplexity").isNotNull())
     middles = _quantile(usable, F.log("perplexity"), 0.5).withColumnRenamed("q", "middle")
-    middles = [(r["lang"], r["middle"]) for r in middles.collect() if r["lang"] is None or r["total"] >= least_texts]
+    found = middles.collect()
+    few = any(r["lang"] is None and r["total"] < least_texts for r in found)
+    middles = [(r["lang"], r["middle"]) for r in found if r["lang"] is None or r["total"] >= least_texts]
     if not middles:
         return Limits([])
     overall = dict(middles)[None]
@@ -329,7 +332,10 @@ def fit_limits(scored: DataFrame, share: float = 0.995, slack: float = 1.5, leas
         if lang is not None:
             middle = F.when(F.col("lang") == lang, value).otherwise(middle)
     tops = {r["lang"]: r["q"] for r in _quantile(usable, _excess(middle), share).collect()}
-    return Limits([(lang, value, max(least, slack * tops[lang])) for lang, value in middles])
+    # Texts of no known language are held against the middle of all, so their limit is too.
+    tops[None] = next(r["q"] for r in _quantile(usable, _excess(F.lit(overall)), share).collect() if r["lang"] is None)
+    lowest = least if few else 10 / BINS  # ten bins: far below any real quantile, above the rounding of bins
+    return Limits([(lang, value, max(lowest, slack * tops[lang])) for lang, value in middles])
 
 
 def judge(scored: DataFrame, limits: Limits, lang_col: str = "lang") -> DataFrame:

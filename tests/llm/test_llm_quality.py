@@ -111,6 +111,13 @@ def test_junk_goes_and_clean_stays(spark):
     assert sum(kept[i] for i in clean) >= 0.99 * len(clean) and not any(kept[i] for i in range(0, 300, 6))
 
 
+def test_each_language_has_its_own_limit(spark):
+    rows = [(lang, 10_000_000, math.exp(2 + width * k / 1000)) for lang, width in (("x", 0.05), ("y", 0.1)) for k in range(1001)]
+    limits = {lang: (middle, top) for lang, middle, top in fit_limits(spark.createDataFrame(rows, "lang string, lm_chars bigint, perplexity double")).rows}
+    for lang, width in (("x", 0.05), ("y", 0.1)):
+        assert limits[lang] == (pytest.approx(2 + width / 2, abs=0.002), pytest.approx(1.5 * 0.495 * width, abs=0.004))
+
+
 def test_without_trust_everything_stays(spark):
     docs = spark.createDataFrame([(1, "abc", "x"), (2, None, "x")], "doc_id bigint, text string, lang string")
     model, limits = learn(docs, spark.createDataFrame([], "doc_id bigint, quality int, toxic int"))
