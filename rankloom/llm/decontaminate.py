@@ -17,7 +17,7 @@ large, and nothing of the documents is broadcast or collected.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,7 @@ from rankloom.session import materialize
 WINDOW = 8
 LEAST_WORDS = 4  # of a window that are no placeholders
 LEAST_WINDOWS = 3
+LITERAL = 1 << 32  # sets hashes of tokens apart from those of templates
 BITS = 24
 CACHED_WORDS = 400_000
 CACHED_LENGTH = 48
@@ -73,18 +74,34 @@ class Templates:
         self.at[word] = index
         return index
 
-    def windows(self, text: str | None, wanted: np.ndarray | None = None) -> list[tuple[int, int, list[int]]]:
-        """Place, hash and slot values of the windows, of those in the bit map if there is one.
-
-        A template shorter than a window is one window.  Windows with fewer than
-        ``least_words`` words that are no placeholders say too little and are
-        left out.  A slot's value is a hash of the words that stand there.
-        """
+    def _tokens(self, text: str | None) -> np.ndarray:
         words = _TOKEN.findall(text or "")
         if len(self.at) + len(words) > CACHED_WORDS:
             self.at.clear()
         at, add = self.at, self._add
-        index = np.fromiter((at[w] if w in at else add(w) for w in words), np.int64, len(words))
+        return np.fromiter((at[w] if w in at else add(w) for w in words), np.int64, len(words))
+
+    def _hashes(self, code: np.ndarray, size: int, seed: int) -> np.ndarray:
+        n = len(code) - size + 1
+        total = np.full(n, seed, np.uint64)
+        for k in range(size):
+            total += code[k : k + n] * self.powers[k]
+        total ^= total >> np.uint64(29)
+        total *= np.uint64(_MULTIPLIER)
+        total ^= total >> np.uint64(32)
+        return total
+
+    def windows(self, text: str | None, wanted: np.ndarray | None = None, sizes: Sequence[int] | None = None) -> list[tuple[int, int, list[int]]]:
+        """Place, hash and slot values of the windows, of those in the bit map if there is one.
+
+        Windows have the lengths ``sizes``; without, a template shorter than a
+        window is one window.  Windows with fewer than ``least_words`` words that
+        are no placeholders say too little and are left out.  A slot's value is a
+        hash of the words that stand there.
+        """
+        return self._windows(self._tokens(text), wanted, sizes)
+
+    def _windows(self, index: np.ndarray, wanted: np.ndarray | None, sizes: Sequence[int] | None) -> list[tuple[int, int, list[int]]]:
         kinds, value = self.kinds[index], self.hashes[index]
         kind = kinds[:, 0]
         before = np.concatenate([[END], kind])[:-1]
@@ -101,31 +118,84 @@ class Templates:
             value[first] = np.add.reduceat(value, first)
             keep &= ~later
         code, slot, value = code[keep], slot[keep], value[keep]
-        if not len(code):
-            return []
-        size = min(self.window, len(code))
-        n = len(code) - size + 1
-        total = np.full(n, size, np.uint64)
-        plain = np.zeros(n, np.int64)
-        for k in range(size):
-            total += code[k : k + n] * self.powers[k]
-            plain += ~slot[k : k + n]
-        total ^= total >> np.uint64(29)
-        total *= np.uint64(_MULTIPLIER)
-        total ^= total >> np.uint64(32)
-        good = plain >= min(self.least_words, size)
-        if wanted is not None:
-            place = total >> np.uint64(64 - BITS)
-            good &= (wanted[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
         signed = value.view(np.int64)
-        return [
-            (g, h, signed[g : g + size][slot[g : g + size]].tolist())
-            for g, h in zip(np.flatnonzero(good).tolist(), total[good].view(np.int64).tolist())
-        ]
+        out = []
+        for size in [min(self.window, len(code))] if sizes is None else sizes:
+            n = len(code) - size + 1
+            if not size or n < 1:
+                continue
+            total = self._hashes(code, size, size)
+            plain = np.zeros(n, np.int64)
+            for k in range(size):
+                plain += ~slot[k : k + n]
+            good = plain >= min(self.least_words, size)
+            if wanted is not None:
+                good &= _listed(wanted, total)
+            out += [
+                (g, h, signed[g : g + size][slot[g : g + size]].tolist())
+                for g, h in zip(np.flatnonzero(good).tolist(), total[good].view(np.int64).tolist())
+            ]
+        return out
+
+    def _literal(self, index: np.ndarray, wanted: np.ndarray | None, sizes: Sequence[int] | None) -> list[tuple[int, int, list[int]]]:
+        """The same for windows of the lower-cased tokens themselves, without placeholders."""
+        code = self.hashes[index[self.kinds[index, 0] != END]]
+        out = []
+        for size in [min(self.window, len(code))] if sizes is None else sizes:
+            if size and len(code) >= size:
+                total = self._hashes(code, size, LITERAL + size)
+                good = np.ones(len(total), bool) if wanted is None else _listed(wanted, total)
+                out += [(g, h, []) for g, h in zip(np.flatnonzero(good).tolist(), total[good].view(np.int64).tolist())]
+        return out
 
+    def item_windows(self, text: str | None) -> list[tuple[int, int, list[int], int, bool]]:
+        """Windows of an item with their length and whether they are literal.
 
-def template_windows(texts: DataFrame, id_col: str, text_col: str, wanted: bytes | None = None, window: int = WINDOW, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``id, place, hash, slots``: the windows of every text."""
+        An item with few windows, those at its begin aside (the words before a
+        copy decide there what is a name), also has literal ones, so that its
+        verbatim copies are found.
+        """
+        index = self._tokens(text)
+        found = self._windows(index, None, None)
+        kinds = self.kinds[index, 0]
+        raw = int((kinds != END).sum())
+        size = self._template_size(index)
+        out = [(*w, size, False) for w in found]
+        if sum(place > 1 for place, _, _ in found) < LEAST_WINDOWS:
+            out += [(*w, min(self.window, raw), True) for w in self._literal(index, None, None)]
+        return out
+
+    def _template_size(self, index: np.ndarray) -> int:
+        kinds = self.kinds[index]
+        kind = kinds[:, 0]
+        before = np.concatenate([[END], kind])[:-1]
+        name = (kind == WORD) & (kinds[:, 1] == 1) & (before != END) & ~((kinds[:, 2] == 1) & (before == NUMBER))
+        later = name & np.concatenate([[False], name])[:-1]
+        return min(self.window, int(((kind != END) & ~later).sum()))
+
+    def document_windows(self, text: str | None, wanted: np.ndarray, sizes: Sequence[int], literal: Sequence[int]) -> list[tuple[int, int, list[int], int, bool]]:
+        """Windows of a document of the lengths that the items have."""
+        index = self._tokens(text)
+        out = [(*w, 0, False) for w in self._windows(index, wanted, sizes)]
+        return out + [(*w, 0, True) for w in self._literal(index, wanted, literal)] if literal else out
+
+
+def _listed(wanted: np.ndarray, total: np.ndarray) -> np.ndarray:
+    place = total >> np.uint64(64 - BITS)
+    return (wanted[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def template_windows(
+    texts: DataFrame,
+    id_col: str,
+    text_col: str,
+    wanted: bytes | None = None,
+    window: int = WINDOW,
+    least_words: int = LEAST_WORDS,
+    sizes: Sequence[int] = (),
+    literal: Sequence[int] = (),
+) -> DataFrame:
+    """``id, place, hash, slots, size, literal``: the windows of every text; with a bit map those of a document, else of an item."""
     source = texts.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     schema = T.StructType(
         [
@@ -133,6 +203,8 @@ def template_windows(texts: DataFrame, id_col: str, text_col: str, wanted: bytes
             T.StructField("place", T.LongType()),
             T.StructField("hash", T.LongType()),
             T.StructField("slots", T.ArrayType(T.LongType())),
+            T.StructField("size", T.LongType()),
+            T.StructField("literal", T.BooleanType()),
         ]
     )
 
@@ -142,19 +214,21 @@ def template_windows(texts: DataFrame, id_col: str, text_col: str, wanted: bytes
         for piece in pieces(batches, 1):
             owner, found = [], []
             for n, text in enumerate(piece.column(1).to_pylist()):
-                here = templates.windows(text, bits)
+                here = templates.item_windows(text) if bits is None else templates.document_windows(text, bits, sizes, literal)
                 owner += [n] * len(here)
                 found += here
             if owner:
-                places, hashes, slots = zip(*found)
+                places, hashes, slots, lengths, literals = zip(*found)
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0).take(pa.array(owner, pa.int64())),
                         pa.array(places, pa.int64()),
                         pa.array(hashes, pa.int64()),
                         pa.array(slots, pa.list_(pa.int64())),
+                        pa.array(lengths, pa.int64()),
+                        pa.array(literals, pa.bool_()),
                     ],
-                    ["id", "place", "hash", "slots"],
+                    schema.names,
                 )
 
     return source.mapInArrow(run, schema)
@@ -194,14 +268,17 @@ def find_leaks(
     items = materialize(
         template_windows(benchmark, item_col, item_text_col, None, window)
         .distinct()
-        .select(F.col("id").alias("item"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"))
+        .select(F.col("id").alias("item"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"), "size", "literal")
     )
-    sizes = items.groupBy("item").agg(F.countDistinct("item_place").alias("item_windows")).select(F.col("item").alias("of"), "item_windows")
-    met = template_windows(docs, id_col, text_col, bit_map(items), window)
+    lengths = [(r["size"], r["literal"]) for r in items.select("size", "literal").distinct().collect()]  # at most 2 x window rows
+    sizes, literal = (sorted(n for n, is_literal in lengths if is_literal == kind) for kind in (False, True))
+    totals = items.groupBy("item", "literal").agg(F.countDistinct("item_place").alias("item_windows"))
+    totals = totals.select(F.col("item").alias("of"), F.col("literal").alias("kind"), "item_windows")
+    met = template_windows(docs, id_col, text_col, bit_map(items), window, sizes=sizes, literal=literal).drop("size", "literal")
     pairs = met.join(items, "hash").withColumn("shift", F.col("place") - F.col("item_place"))
     # One copy of an item has one shift; its windows must agree on what stands for what.
     values = F.zip_with("item_slots", "slots", lambda was, now: F.struct(was.alias("was"), now.alias("now")))
-    copies = pairs.groupBy("id", "item", "shift").agg(
+    copies = pairs.groupBy("id", "item", "literal", "shift").agg(
         F.countDistinct("item_place").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set(values))).alias("values")
     )
     one_way = F.size("values") == F.size(F.array_distinct(F.transform("values", lambda v: v["was"])))
@@ -209,10 +286,11 @@ def find_leaks(
     verbatim = F.forall("values", lambda v: v["was"] == v["now"])
     best = (
         copies.filter(one_way & other_way)
-        .groupBy("id", "item")
+        .groupBy("id", "item", "literal")
         .agg(F.max(F.struct("n_windows", verbatim.alias("verbatim"))).alias("best"))
     )
-    found = best.join(sizes, F.col("item").eqNullSafe(F.col("of"))).select(
-        F.col("id").alias(id_col), F.col("item").alias(item_col), "best.n_windows", "item_windows", "best.verbatim"
-    )
-    return found.filter(F.col("n_windows") >= F.least(F.lit(least_windows), F.col("item_windows")))
+    found = best.join(totals, F.col("item").eqNullSafe(F.col("of")) & (F.col("literal") == F.col("kind")))
+    found = found.filter(F.col("best.n_windows") >= F.least(F.lit(least_windows), F.col("item_windows")))
+    # A copy that both kinds of windows find is told by its template.
+    told = found.groupBy("id", "item").agg(F.min(F.struct("literal", "best.n_windows", "item_windows", "best.verbatim")).alias("told"))
+    return told.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "told.n_windows", "told.item_windows", "told.verbatim")

@@ -42,6 +42,22 @@ def test_leaks(spark):
     assert got[22, 1]["n_windows"] == got[22, 1]["item_windows"] > 3
 
 
+def test_short_and_slot_heavy_items(spark):
+    table = "12 kg 35 Mary 20 km 77 Bob Smith 9 13 14 15 16 17 18"
+    items = [(1, SHORT), (2, "3 + 4 = 7"), (3, table), (4, "ALL WORDS ARE CAPITAL IN THIS ITEM AND IT IS LONG"), (5, QUESTION)]
+    docs = [
+        (10, f"Long text with many other words before it. {SHORT}. And more words behind it."),
+        (11, f"Long text with many other words in one sentence then {SHORT} and more words behind it"),
+        (12, "The sum is 3 + 4 = 7 and this is known to everybody who can count."),
+        (13, "The sum is 3 + 5 = 8 and this is known to everybody who can count."),
+        (14, f"Values of the table: {table} and some words."),
+        (15, f"Values of the table: {table.replace('35', '36').replace('9 13 14 15', '9 15 14 13')} and some words."),
+        (16, f"He said {items[3][1]} to all of them"),
+        (17, f"He said so. {VARIANT}"),
+    ]
+    assert set(leaks(spark, docs, items)) == {(10, 1), (11, 1), (12, 2), (14, 3), (16, 4), (17, 5)}
+
+
 def test_nothing(spark):
     assert leaks(spark, [(1, QUESTION)], []) == {} and leaks(spark, [], [(1, QUESTION)]) == {}
 
