@@ -59,6 +59,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def value_counts(arr: Column) -> Column:
+    """``array<struct<value, n>>``: the distinct values that are not NULL, in order; one sort per row."""
+
+    def runs(s: Column) -> Column:
+        begins = F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i))
+
+        def count(b: Column) -> Column:
+            upto = lambda j: F.coalesce(F.get(b, j + 1), F.size(s))
+            return F.transform(b, lambda at, j: F.struct(F.get(s, at).alias("value"), (upto(j) - at).cast("bigint").alias("n")))
+
+        return let(F.filter(begins, lambda i: i.isNotNull()), count)
+
+    return let(F.array_sort(F.filter(arr, lambda x: x.isNotNull())), runs)
+
+
 def centered_l2(arr: Column) -> Column:
     """Square root of the summed squared distance to the mean."""
 

@@ -7,36 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.functions.arrays import let
-from rankloom.operators.encode import tabled_id
+from rankloom.functions.arrays import let, value_counts
+from rankloom.operators.encode import outside_message
 from rankloom.operators.joins import dimension_join
 from rankloom.operators.skew import broadcast_if_small
+from rankloom.operators.vectors import vector_sums
 
 
-def multihot(df: DataFrame, key: str, ids: str, depth: int, combiner: str = "sum", outside: str = "drop") -> DataFrame:
-    """Sparse multi-hot rows ``(key, id, value)`` with value > 0.
+def multihot(df: DataFrame, key: str, ids: str, depth: int, combiner: str = "sum", outside: str = "raise") -> DataFrame:
+    """Sparse multi-hot rows ``(key, id, value)`` with value > 0; ``key`` is unique per row.
 
     ``sum`` counts an id, ``mean`` divides by the number of ids of the row,
-    ``max`` caps the count at 1.  Ids outside ``0 <= id < depth`` have no
-    position; ``outside="raise"`` makes them an error.
+    ``max`` caps the count at 1.  An id outside ``0 <= id < depth`` has no
+    position: it is an error, or left out with ``outside="drop"``.  NULL ids
+    only count for the mean.  Ids are counted inside their row, nothing is
+    shuffled.
     """
     if outside not in ("drop", "raise"):
         raise ValueError("outside must be 'drop' or 'raise'")
-    size = F.size(ids)
-    exploded = df.select(key, size.alias("_size"), F.explode(ids).alias("id"))
+    if combiner not in ("sum", "mean", "max"):
+        raise ValueError("combiner must be sum, mean or max")
+    counted = df.select(key, F.size(ids).alias("_size"), F.explode(value_counts(F.col(ids))).alias("_e"))
+    counted = counted.select(key, "_size", F.col("_e.value").alias("id"), F.col("_e.n").alias("_n"))
+    inside = (F.col("id") >= 0) & (F.col("id") < depth)
     if outside == "raise":
-        checked = tabled_id(F.col("id"), depth)
-        exploded = exploded.withColumn("id", F.when(F.col("id").isNotNull(), checked).cast(exploded.schema["id"].dataType))
-    exploded = exploded.filter((F.col("id") >= 0) & (F.col("id") < depth))
-    counts = exploded.groupBy(key, "id").agg(F.count(F.lit(1)).alias("_n"), F.first("_size").alias("_size"))
+        # In a filter, so that the check is made even where the id is not read.
+        inside = F.when(inside, F.lit(True)).otherwise(F.raise_error(outside_message(F.col("id"), depth)).cast("boolean"))
+    counted = counted.filter(inside)
     value = {
         "sum": F.col("_n").cast("double"),
         "mean": F.col("_n") / F.col("_size"),
-        "max": F.least(F.col("_n"), F.lit(1)).cast("double"),
+        "max": F.lit(1.0),
     }
-    if combiner not in value:
-        raise ValueError("combiner must be sum, mean or max")
-    return counts.select(key, "id", value[combiner].alias("value"))
+    return counted.select(key, "id", value[combiner].alias("value"))
 
 
 def multihot_dense(ids: Column, depth: int, combiner: str = "sum") -> Column:
@@ -54,6 +57,9 @@ def multihot_dense(ids: Column, depth: int, combiner: str = "sum") -> Column:
     raise ValueError("combiner must be sum, mean or max")
 
 
+POOLS = ("sum", "mean", "sqrtn", "fm")
+
+
 def embedding_pool(
     df: DataFrame,
     key: str,
@@ -64,44 +70,37 @@ def embedding_pool(
     weights: str | None = None,
     id_col: str = "id",
     vec_col: str = "vec",
+    keep: Sequence[str] = (),
     **sizes,
 ) -> DataFrame:
     """Pool the vectors of each row's ids; an empty row gives zeros.
 
     ``pools`` maps an output column to its combiner.  ``sum``: weighted sum.
     ``mean``: weighted sum over the number of ids.  ``sqrtn``: weighted sum over
-    the root of the summed squared weights.  One running sum per dimension, so
-    the shuffle carries one partial vector per row and map task instead of one
-    row per id and dimension.
+    the root of the summed squared weights.  ``fm``: half of the squared sum
+    less the sum of squares.  ``keep`` are columns of ``df`` that stay; ``key``
+    is unique.  See ``vector_sums`` for NULLs and unknown ids.
     """
-    if not set(pools.values()) <= {"sum", "mean", "sqrtn"}:
-        raise ValueError("a combiner is sum, mean or sqrtn")
+    if not set(pools.values()) <= set(POOLS):
+        raise ValueError("a combiner is one of " + ", ".join(POOLS))
+    entry = lambda i, w: F.struct(F.lit(0).alias("position"), i.alias("id"), w.alias("weight"))
     if weights is None:
-        bag = df.select(key, F.explode_outer(ids).alias("_id"))
-        bag = bag.withColumn("_w", F.when(F.col("_id").isNotNull(), F.lit(1.0)))
+        entries = F.transform(ids, lambda i: entry(i, F.lit(1.0)))
     else:
-        pairs = F.zip_with(ids, weights, lambda i, w: F.struct(i.alias("id"), w.cast("double").alias("w")))
-        bag = df.select(key, F.explode_outer(pairs).alias("_e")).select(
-            key, F.col("_e.id").alias("_id"), F.col("_e.w").alias("_w")
-        )
-    vectors = table.select(F.col(id_col).alias("_vid"), F.col(vec_col).alias("_vec"))
-    found = dimension_join(bag, vectors, [("_id", "_vid")], **sizes)
-    sums = [F.sum(F.get("_vec", F.lit(d)).cast("double") * F.col("_w")).alias(f"_s{d}") for d in range(dim)]
-    grouped = found.groupBy(key).agg(
-        F.count("_id").alias("_n"), F.sum(F.col("_w") * F.col("_w")).alias("_w2"), *sums
-    )
-    scale = {
-        "sum": F.lit(1.0),
-        "mean": F.coalesce(F.try_divide(F.lit(1.0), F.col("_n").cast("double")), F.lit(0.0)),
-        "sqrtn": F.coalesce(F.try_divide(F.lit(1.0), F.sqrt("_w2")), F.lit(0.0)),
-    }
-    return grouped.select(
-        key,
-        *[
-            F.array(*[F.coalesce(F.col(f"_s{d}"), F.lit(0.0)) * scale[how] for d in range(dim)]).alias(out)
-            for out, how in pools.items()
-        ],
-    )
+        entries = F.zip_with(ids, weights, lambda i, w: entry(i, w.cast("double")))
+    squares = "fm" in pools.values()
+    sums = vector_sums(df, key, entries, table, dim, squares=squares, keep=keep, id_col=id_col, vec_col=vec_col, **sizes)
+    count, w2 = F.get("_n", F.lit(0)).cast("double"), F.get("_w2", F.lit(0))
+    over = {"mean": F.try_divide(F.lit(1.0), count), "sqrtn": F.try_divide(F.lit(1.0), F.sqrt(w2))}
+
+    def pooled(how: str) -> Column:
+        if how == "sum":
+            return F.col("_s")
+        if how == "fm":
+            return F.zip_with("_s", "_q", lambda s, q: F.lit(0.5) * (s * s - q))
+        return let(F.coalesce(over[how], F.lit(0.0)), lambda scale: F.transform("_s", lambda x: x * scale))
+
+    return sums.select(key, *keep, *[pooled(how).alias(out) for out, how in pools.items()])
 
 
 def fm_second_order(vectors: Sequence[Column]) -> Column:

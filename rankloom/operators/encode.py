@@ -139,12 +139,14 @@ def encode_with_rules(
     return ids.withColumn(column, pad_to(F.col(column), num, F.lit(tail).cast("bigint"), surplus))
 
 
+def outside_message(col: Column, size: int) -> Column:
+    return F.concat(F.lit(f"id outside 0..{size - 1}: "), F.coalesce(col.cast("string"), F.lit("NULL")))
+
+
 def tabled_id(col: Column, size: int) -> Column:
     """An id that is already an integer; raises outside ``0 <= id < size``."""
     value = col.cast("bigint")
-    return F.when((value >= 0) & (value < size), value).otherwise(
-        F.raise_error(F.concat(F.lit(f"id outside 0..{size - 1}: "), value.cast("string")))
-    )
+    return F.when((value >= 0) & (value < size), value).otherwise(F.raise_error(outside_message(value, size)))
 
 
 def onehot_positions(df: DataFrame, key: Sequence[str], ids: str, depth: int) -> DataFrame:

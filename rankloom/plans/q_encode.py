@@ -9,9 +9,18 @@ from rankloom.functions.hashing import hash32
 from rankloom.functions.numeric import sigmoid
 from rankloom.functions.text import field_token
 from rankloom.ml.learners import ctcvr
-from rankloom.operators.bags import embedding_pool, fm_second_order, linear_score, multihot
+from rankloom.operators.bags import embedding_pool, linear_score, multihot
 from rankloom.operators.encode import encode_token, encode_with_rules, onehot_positions, tabled_id
-from rankloom.operators.features import FeatureSpec, encode_features, numeric_embedding, wide_entries, widths
+from rankloom.operators.features import (
+    FeatureSpec,
+    deep_vectors,
+    dense_values,
+    encode_features,
+    longest_lists,
+    numeric_embedding,
+    plan_features,
+    sparse_entries,
+)
 from rankloom.operators.joins import dimension_join
 from rankloom.operators.metrics import auc, mean_focal, mean_logloss, precision_half, residuals
 from rankloom.operators.vocab import coverage_vocabulary, dense_ids, min_count_vocabulary, token_frequency
@@ -27,65 +36,133 @@ def brand_vocab(spark, sf_dir):
     return materialize(dense_ids(token_frequency(table(spark, sf_dir, "part"), "p_brand")))
 
 
+# Positions, combinations, variable lengths, default tails, shared and own vectors.
 SPECS = (
     FeatureSpec("brand", "category", "p_brand", "vocabulary_list", ("onehot", "embedding"), groups=("wide",)),
-    FeatureSpec("words", "category", "words", "vocabulary_list", ("onehot",), num=3, tail=0, groups=("wide", "seq")),
+    FeatureSpec("words", "category", "words", "vocabulary_list", ("onehot", "embedding"), num=3, groups=("wide", "seq")),
     FeatureSpec("size", "category", "p_size", "tabled", ("onehot",), size=64, groups=("wide",)),
+    FeatureSpec("digits", "category", "digits", "tabled", ("onehot", "embedding"), num=5, combiner="mean", size=10),
+    FeatureSpec("lead", "category", "lead", "vocabulary_list", ("onehot",), num=-1, groups=("seq",)),
     FeatureSpec("price", "numeric", "p_retailprice", None, ("value", "embedding"), groups=("wide",)),
+    FeatureSpec("pair", "numeric", "pair", None, ("value", "embedding"), num=2, same=False),
+    FeatureSpec("spread", "numeric", "spread", None, ("value", "embedding"), num=-3, combiner="mean"),
     FeatureSpec("unused", "numeric", "p_partkey", None, ("value",), ignore=True),
 )
-
-SPEC_SQL = """w AS (SELECT p_partkey, i, string_split(p_name, ' ')[i] AS token FROM (SELECT *, unnest(range(1, 3)) AS i FROM part)),
+DEEP_DIM = 4
+
+# The same from the contract: every position of a one-hot category is a block as wide as its table (id 0 is the default),
+# padding is the id behind the table and takes no index, a combined category is one block of shares; dense values and deep
+# positions follow the order of the features.
+SPEC_SQL = """p AS (SELECT *, string_split(p_name, ' ') AS words, string_split(p_name, ' ')[1:p_size % 3] AS lead,
+      [CAST(x AS BIGINT) FOR x IN string_split_regex(CAST(p_partkey AS VARCHAR), '') IF x <> ''] AS digits FROM part),
+  w AS (SELECT p_partkey, i, words[i] AS token FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM p)),
+  o AS (SELECT p_partkey, i, lead[i] AS token FROM (SELECT *, unnest(range(1, len(lead) + 1)) AS i FROM p)),
   bv AS (SELECT p_brand AS token, row_number() OVER (ORDER BY count(*) DESC, p_brand) AS id FROM part GROUP BY 1 HAVING count(*) >= 2),
   wv AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) AS id FROM w GROUP BY 1 HAVING count(*) >= 2),
-  enc AS (SELECT p.p_partkey, coalesce(bv.id, 0) AS brand,
-      coalesce((SELECT id FROM wv WHERE wv.token = string_split(p_name, ' ')[1]), 0) AS w1,
-      coalesce((SELECT id FROM wv WHERE wv.token = string_split(p_name, ' ')[2]), 0) AS w2, p_size, p_retailprice
-    FROM part p LEFT JOIN bv ON bv.token = p_brand)"""
+  ov AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) AS id FROM o GROUP BY 1 HAVING count(*) >= 2),
+  d AS (SELECT (SELECT count(*) FROM bv) + 1 AS nb, (SELECT count(*) FROM wv) + 1 AS nw, (SELECT count(*) FROM ov) + 1 AS no,
+      (SELECT greatest(max(len(lead)), 1) FROM p) AS most),
+  ids AS (SELECT p_partkey, 'brand' AS f, 0 AS slot, coalesce(bv.id, 0) AS id FROM p LEFT JOIN bv ON bv.token = p_brand
+    UNION ALL SELECT p_partkey, 'words', i - 1, coalesce(wv.id, 0) FROM w LEFT JOIN wv ON wv.token = w.token
+    UNION ALL SELECT p_partkey, 'size', 0, p_size FROM p
+    UNION ALL SELECT p_partkey, 'digits', i - 1, digits[i] FROM (SELECT *, unnest(range(1, len(digits) + 1)) AS i FROM p)
+    UNION ALL SELECT p_partkey, 'lead', i - 1, coalesce(ov.id, 0) FROM o LEFT JOIN ov ON ov.token = o.token)"""
 
 
 def _spec_rows(spark, sf_dir):
-    part = table(spark, sf_dir, "part").withColumn("words", F.split("p_name", " "))
-    words = part.select(F.lit("words").alias("field"), F.explode("words").alias("token"))
-    brands = part.select(F.lit("brand").alias("field"), F.col("p_brand").alias("token"))
-    counts = token_frequency(words.unionByName(brands), by=["field"])
-    vocab = materialize(min_count_vocabulary(counts, 2, by="field"))
-    return encode_features(part, SPECS, "p_partkey", vocab), vocab
+    part = table(spark, sf_dir, "part")
+    words, digits = F.split("p_name", " "), F.filter(F.split(F.col("p_partkey").cast("string"), ""), lambda x: x != "")
+    part = part.select(
+        "p_partkey",
+        "p_brand",
+        "p_size",
+        "p_retailprice",
+        words.alias("words"),
+        F.slice(words, F.lit(1), F.col("p_size") % 3).alias("lead"),
+        F.transform(digits, lambda x: x.cast("bigint")).alias("digits"),
+        F.array(F.col("p_size").cast("double"), F.col("p_retailprice") / 100).alias("pair"),
+        F.slice(F.array(F.lit(1.0), F.lit(5.0), F.lit(9.0)), F.lit(1), F.col("p_partkey").cast("int") % 4).alias("spread"),
+    )
+    token = lambda field, col: part.select(F.lit(field).alias("field"), col.alias("token"))
+    tokens = token("words", F.explode("words")).unionByName(token("brand", F.col("p_brand"))).unionByName(token("lead", F.explode("lead")))
+    vocab = materialize(min_count_vocabulary(token_frequency(tokens, by=["field"]), 2, by="field"))
+    sizes = {r["field"]: r["n"] + 1 for r in vocab.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per field
+    plan = plan_features(SPECS, sizes, longest_lists(part, SPECS))
+    return encode_features(part, plan, "p_partkey", vocab), plan
 
 
 @query(
     "feature_spec",
-    f"""WITH {SPEC_SQL} SELECT p_partkey, CAST(brand AS VARCHAR) AS brand, w1 || ',' || w2 || ',0' AS words,
-        CAST(p_size AS VARCHAR) AS size, round(p_retailprice, 4) AS price FROM enc""",
+    f"""WITH {SPEC_SQL}, l AS (SELECT p_partkey, f, list(id ORDER BY slot) AS ids FROM ids GROUP BY p_partkey, f),
+        one AS (SELECT p.p_partkey, max(CASE WHEN f = 'brand' THEN ids END) AS brand, max(CASE WHEN f = 'words' THEN ids END) AS words,
+            max(CASE WHEN f = 'size' THEN ids END) AS size, max(CASE WHEN f = 'digits' THEN ids END) AS digits,
+            coalesce(max(CASE WHEN f = 'lead' THEN ids END), []) AS lead, any_value(p_retailprice) AS price, any_value(p_size) AS first
+          FROM p JOIN l USING (p_partkey) GROUP BY p.p_partkey)
+        SELECT p_partkey, array_to_string(brand, ',') AS brand, array_to_string(words || [nw FOR x IN range(0, 3 - len(words))], ',') AS words,
+          array_to_string(size, ',') AS size, array_to_string(digits, ',') AS digits,
+          array_to_string(lead || [no FOR x IN range(0, most - len(lead))], ',') AS lead,
+          round(price, 4) AS price, round(first + price / 100, 4) AS pair, CAST(p_partkey % 4 AS INTEGER) AS spread
+        FROM one, d""",
 )
 def feature_spec(spark, sf_dir):
     rows, _ = _spec_rows(spark, sf_dir)
+    ids = [text(F.col(name)).alias(name) for name in ("brand", "words", "size", "digits", "lead")]
     return rows.select(
         "p_partkey",
-        text(F.col("brand")).alias("brand"),
-        text(F.col("words")).alias("words"),
-        text(F.col("size")).alias("size"),
+        *ids,
         F.round(F.get("price", F.lit(0)), 4).alias("price"),
+        F.round(arrays.total(F.col("pair")), 4).alias("pair"),
+        F.size("spread").alias("spread"),
     )
 
 
 @query(
     "wide_assemble",
-    f"""WITH {SPEC_SQL}, d AS (SELECT (SELECT count(*) FROM bv) + 1 AS nb, (SELECT count(*) FROM wv) + 1 AS nw)
-        SELECT p_partkey, array_to_string(list_sort([brand, nb + w1, nb + w2, nb + 0, nb + nw + p_size, nb + nw + 64]), ',') AS indexes,
-               round(p_retailprice + 5, 4) AS total, CAST(nb + 3 * nw + 64 AS BIGINT) AS width FROM enc, d""",
+    f"""WITH {SPEC_SQL}, places AS (
+          SELECT p_partkey, id AS index, 1.0::DOUBLE AS value FROM ids WHERE f = 'brand'
+          UNION ALL SELECT p_partkey, nb + slot * nw + id, 1.0 FROM ids, d WHERE f = 'words'
+          UNION ALL SELECT p_partkey, nb + 3 * nw + id, 1.0 FROM ids, d WHERE f = 'size'
+          UNION ALL SELECT p_partkey, nb + 3 * nw + 64 + id, count(*) / CAST(sum(count(*)) OVER (PARTITION BY p_partkey) AS DOUBLE)
+            FROM ids, d WHERE f = 'digits' GROUP BY p_partkey, nb + 3 * nw + 64 + id
+          UNION ALL SELECT p_partkey, nb + 3 * nw + 74 + slot * no + id, 1.0 FROM ids, d WHERE f = 'lead'),
+        sparse AS (SELECT p_partkey, string_agg(CAST(index AS VARCHAR), ',' ORDER BY index) AS indexes, round(sum(value * (index + 1)), 4) AS total
+          FROM places GROUP BY p_partkey),
+        terms AS (
+          SELECT p_partkey, 0 AS position, id AS v, 1.0::DOUBLE AS weight FROM ids WHERE f = 'brand'
+          UNION ALL SELECT p_partkey, 1 + slot, 100 + id, 1.0 FROM ids WHERE f = 'words'
+          UNION ALL SELECT p_partkey, 4, 200 + id, 1.0 / count(*) OVER (PARTITION BY p_partkey) FROM ids WHERE f = 'digits'
+          UNION ALL SELECT p_partkey, 5, 300, p_retailprice FROM p
+          UNION ALL SELECT p_partkey, 6, 310, p_size FROM p
+          UNION ALL SELECT p_partkey, 7, 311, p_retailprice / 100 FROM p
+          UNION ALL SELECT p_partkey, 8, 320, ([0, 1, 3, 5])[p_partkey % 4 + 1] FROM p),
+        deep AS (SELECT p_partkey, round(sum(weight * (position + 1) * embedding[1]), 3) AS deep0, round(sum(weight * (position + 1) * embedding[4]), 3) AS deep3
+          FROM terms JOIN embeddings ON v = vec_id GROUP BY p_partkey)
+        SELECT p.p_partkey, indexes, total, CAST(nb + 3 * nw + 74 + most * no AS BIGINT) AS width, round(p_retailprice, 4) AS price,
+          round(p_retailprice + p_size + p_retailprice / 100 + ([0, 1, 3, 5])[p.p_partkey % 4 + 1], 4) AS dense, deep0, deep3, 9 AS vectors
+        FROM p, d, sparse, deep WHERE p.p_partkey = sparse.p_partkey AND p.p_partkey = deep.p_partkey""",
 )
 def wide_assemble(spark, sf_dir):
-    """Sparse wide vector of the group ``wide``, with the widths of the plan."""
-    rows, vocab = _spec_rows(spark, sf_dir)
-    sizes = {r["field"]: r["n"] + 1 for r in vocab.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}
-    wide, _ = wide_entries(SPECS, "wide", sizes)
-    planned = widths(SPECS, embed_dim=16, sizes=sizes)
-    return rows.select("p_partkey", wide).select(
+    """Sparse, dense and deep vectors of all features, and the width of the plan."""
+    rows, plan = _spec_rows(spark, sf_dir)
+    rows = rows.select("*", sparse_entries(plan), dense_values(plan))
+    at = F.create_map(*[F.lit(x) for pair in (("brand", 0), ("words", 100), ("digits", 200), ("price", 300), ("pair", 310), ("spread", 320)) for x in pair])
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, DEEP_DIM).alias("vec"))
+    ends = {"brand": 100, "words": 200, "digits": 300, "price": 301, "pair": 312, "spread": 321}
+    owner = F.array(*[F.when((F.col("vec_id") >= at[F.lit(name)]) & (F.col("vec_id") < end), F.lit(name)) for name, end in ends.items()])
+    tables = emb.select(F.explode(F.array_compact(owner)).alias("feature"), "vec_id", "vec")
+    tables = tables.select("feature", (F.col("vec_id") - at[F.col("feature")]).alias("id"), "vec")
+    done = deep_vectors(rows, plan, "p_partkey", tables, DEEP_DIM, keep=["sparse", "dense"])
+    weighed = lambda d: F.transform("deep", lambda v, i: (i + 1) * F.get(v, F.lit(d)))
+    return done.select(
         "p_partkey",
-        text(F.transform("wide", lambda e: e["index"])).alias("indexes"),
-        F.round(arrays.total(F.transform("wide", lambda e: e["value"])), 4).alias("total"),
-        F.lit(planned.wide).cast("bigint").alias("width"),
+        text(F.transform("sparse", lambda e: e["index"])).alias("indexes"),
+        F.round(arrays.total(F.transform("sparse", lambda e: e["value"] * (e["index"] + 1))), 4).alias("total"),
+        F.lit(plan.sparse_width).cast("bigint").alias("width"),
+        F.round(F.get("dense", F.lit(0)), 4).alias("price"),
+        F.round(arrays.total(F.col("dense")), 4).alias("dense"),
+        F.round(arrays.total(weighed(0)), 3).alias("deep0"),
+        F.round(arrays.total(weighed(3)), 3).alias("deep3"),
+        F.size("deep").alias("vectors"),
     )
 
 
@@ -236,8 +313,8 @@ def masked_softmax_pool(spark, sf_dir):
     weighted = rows.withColumn("w", arrays.masked_softmax(F.col("scores"), F.col("mask")))
     emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
     mass = weighted.select("event_id", "ids", "w", arrays.total(F.col("w")).alias("mass"))
-    pooled = embedding_pool(mass, "event_id", "ids", emb, 64, {"v": "sum"}, weights="w")
-    return pooled.join(mass.select("event_id", "mass"), "event_id").select(
+    pooled = embedding_pool(mass, "event_id", "ids", emb, 64, {"v": "sum"}, weights="w", keep=["mass"])
+    return pooled.select(
         "event_id",
         F.round("mass", 6).alias("mass"),
         F.round(F.get("v", F.lit(0)), 5).alias("d0"),
@@ -277,17 +354,10 @@ def pair_interaction(spark, sf_dir):
 )
 def fm_query(spark, sf_dir):
     """Three field vectors per event; the second-order term per dimension."""
-    rows = table(spark, sf_dir, "events").select(
-        "event_id",
-        F.get_json_object("props", "$.k").cast("bigint").alias("id0"),
-        (F.col("user_id") % 500).alias("id1"),
-        (F.col("event_id") % 500).alias("id2"),
-    )
-    emb = table(spark, sf_dir, "embeddings")
-    for i in range(3):
-        vectors = emb.select("vec_id", F.col("embedding").alias(f"vec{i}"))
-        rows = dimension_join(rows, vectors, [(f"id{i}", "vec_id")])
-    scored = rows.select("event_id", fm_second_order([F.col(f"vec{i}") for i in range(3)]).alias("fm"))
+    ids = F.array(F.get_json_object("props", "$.k").cast("bigint"), F.col("user_id") % 500, F.col("event_id") % 500)
+    rows = table(spark, sf_dir, "events").select("event_id", ids.alias("ids"))
+    emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    scored = embedding_pool(rows, "event_id", "ids", emb, 64, {"fm": "fm"})
     return scored.select(
         "event_id", F.round(F.get("fm", F.lit(0)), 6).alias("d0"), F.round(arrays.total(F.col("fm")), 5).alias("total")
     )
