@@ -8,6 +8,11 @@ bounded by ``n``.
 A key with very many rows (one user with a third of the log) is cut into
 ordered chunks that are processed in parallel; the last ``n`` items of the
 chunks before are carried in.
+
+Without a limit (``n=None``) no row keeps a list.  A key (or a chunk of a busy
+one) has one sorted array of its sources, and a target takes what lies before
+it when its own row is made; so memory grows with the events of a key, not with
+their square, and only the result holds lists per target.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.arrays import tail
@@ -117,6 +122,46 @@ def _chunked(events, keys, order, streams, n, total_rows, max_rows):
     return _finish(_matched(rows, broadcast_if_small(materialize(carry)), part, "left"), streams, n, carried=True)
 
 
+def _sources_of(order: Sequence[str]) -> Column:
+    """Aggregate of a group: its sources in order."""
+    at = F.struct(*order)
+    source = F.when(F.col("_src") == 1, F.struct(at.alias("at"), F.col("_stream").alias("stream"), F.col("_item").alias("item")))
+    return F.array_sort(F.collect_list(source)).alias("_sources")
+
+
+def _before(stream: str):
+    """Items of a stream among ``_sources`` strictly before ``_at``."""
+    mine = F.filter("_sources", lambda e: (e["stream"] == stream) & (e["at"] < F.col("_at")))
+    return F.transform(mine, lambda e: e["item"])
+
+
+def _all_before(events: DataFrame, keys: Sequence[str], order: Sequence[str], streams) -> DataFrame:
+    """Whole histories of keys with a bounded number of rows: one shuffle, one array per key."""
+    target = F.when(F.col("_src") == 0, F.struct(F.struct(*order).alias("at"), F.col("_target").alias("row")))
+    grouped = events.groupBy(*keys).agg(_sources_of(order), F.collect_list(target).alias("_targets"))
+    each = grouped.select("_sources", F.explode("_targets").alias("_t"))
+    each = each.select("_sources", F.col("_t.at").alias("_at"), F.col("_t.row").alias("_target"))
+    return each.select("_target.*", *[_before(s).alias(f"{s}_history") for s in streams])
+
+
+def _all_before_chunked(events: DataFrame, keys: Sequence[str], order: Sequence[str], streams, total_rows: int, max_rows: int) -> DataFrame:
+    """Whole histories of busy keys: arrays by chunk, joined piece by piece to the targets behind them."""
+    chunks = _range_sorted(events, [*keys, *order, "_src"], max(1, math.ceil(total_rows / max_rows)))
+    part = [*keys, "_chunk"]
+    lists = materialize(chunks.filter("_src = 1").groupBy(*part).agg(_sources_of(order)))
+    targets = chunks.filter("_src = 0").select(*keys, F.col("_chunk").alias("_own"), F.col("_row").alias("_id"), F.struct(*order).alias("_at"), "_target")
+    pieces = targets.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), "_own")))
+    pieces = pieces.withColumn("_target", F.when(F.col("_chunk") == F.col("_own"), F.col("_target")))
+    found = _matched(pieces, lists, part, "left").select("_id", "_chunk", "_target", *[_before(s).alias(f"_of_{s}") for s in streams])
+    whole = found.groupBy("_id").agg(
+        F.first("_target", ignorenulls=True).alias("_target"),
+        *[F.array_sort(F.collect_list(F.struct("_chunk", F.col(f"_of_{s}").alias("items")))).alias(f"_of_{s}") for s in streams],
+    )
+    empty = F.array().cast(found.schema[f"_of_{streams[0]}"].dataType) if streams else None
+    joined = [F.flatten(F.transform(f"_of_{s}", lambda e: F.coalesce(e["items"], empty))).alias(f"{s}_history") for s in streams]
+    return whole.select("_target.*", *joined)
+
+
 def last_n_history(
     targets: DataFrame,
     sources: DataFrame,
@@ -125,11 +170,11 @@ def last_n_history(
     item: str,
     stream: str,
     streams: Sequence[str],
-    n: int = 20,
+    n: int | None = 20,
     max_rows_per_key: int = MAX_ROWS_PER_KEY,
     few_targets: bool = False,
 ) -> DataFrame:
-    """Add ``<s>_history`` for every stream: the last ``n`` items strictly before.
+    """Add ``<s>_history`` for every stream: the last ``n`` items strictly before, or all of them (``n=None``).
 
     "Before" is by ``order``, which should end in a unique column; a source
     that ties with the target on all of it does not count as earlier.
@@ -142,13 +187,16 @@ def last_n_history(
     events = _events(targets, used, keys, order, item, stream)
     hot = hot_keys(used if few_targets else events, keys, max_rows_per_key)
     total_hot = hot.agg(F.sum("n_rows")).first()[0]
+    regular_of = (lambda e: _all_before(e, keys, order, streams)) if n is None else (lambda e: _plain(e, keys, order, streams, n))
     if not total_hot:
-        return _plain(events, keys, order, streams, n)
+        return regular_of(events)
     hot_side = broadcast_if_small(materialize(hot.select(*keys)))
-    regular = _plain(_matched(events, hot_side, keys, "left_anti"), keys, order, streams, n)
-    heavy = _chunked(
-        _matched(events, hot_side, keys, "left_semi"), keys, order, streams, n, total_hot, max_rows_per_key
-    )
+    regular = regular_of(_matched(events, hot_side, keys, "left_anti"))
+    busy = _matched(events, hot_side, keys, "left_semi")
+    if n is None:
+        heavy = _all_before_chunked(busy, keys, order, streams, total_hot, max_rows_per_key)
+    else:
+        heavy = _chunked(busy, keys, order, streams, n, total_hot, max_rows_per_key)
     return regular.unionByName(heavy)
 
 

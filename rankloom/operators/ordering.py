@@ -1,17 +1,22 @@
 """Positions and running totals along a total order, without a single-task sort.
 
 A window without PARTITION BY moves every row to one task.  Here the rows are
-range-partitioned and sorted in parallel, each partition is numbered on its
-own, and the partitions' totals (one row per partition) shift the local
-numbers into global ones.
+range-partitioned and sorted in parallel, each partition is numbered and summed
+in its sorted pass, and the partitions' totals (one row per partition) shift
+the local numbers into global ones.  Single ranks need no sort at all: they are
+found by counting digits of an order-preserving key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankloom.operators.skew import broadcast_if_small
 from rankloom.session import materialize
@@ -19,12 +24,83 @@ from rankloom.session import materialize
 _ROWS_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
-def _range_sorted(df: DataFrame, keys: Sequence[Column | str], parts: int | None) -> DataFrame:
+def _scan(batches: Iterator[pa.RecordBatch], by: Sequence[int], sums: Sequence[int]) -> Iterator[pa.RecordBatch]:
+    """Add the local position and running sums per group to the sorted rows of one partition."""
+    last: pa.RecordBatch | None = None
+    count, totals = 0, [0] * len(sums)  # of the group that the previous batch ended in
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        begins = np.zeros(n, bool)
+        for at in by:
+            column = batch.column(at)
+            known = column if last is None else pa.concat_arrays([last.column(at), column])
+            code = known.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            begins |= np.diff(code, prepend=code[:1])[-n:] != 0
+        row = np.arange(n)
+        start = np.maximum.accumulate(np.where(begins, row, -1))
+        local = np.where(start < 0, row + count, row - start) + 1
+        runs = []
+        for k, at in enumerate(sums):
+            x = batch.column(at).fill_null(0).to_numpy(zero_copy_only=False)
+            runs.append(_running(x, begins, totals[k]))
+            totals[k] = runs[-1][-1]
+        last, count = batch.slice(n - 1), int(local[-1])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(local), *[pa.array(r) for r in runs]],
+            [*batch.schema.names, "_local", *[f"_run{batch.schema.names[at]}" for at in sums]],
+        )
+
+
+def _running(x: np.ndarray, begins: np.ndarray, carried) -> np.ndarray:
+    """Inclusive sums that start anew where ``begins``; ``carried`` belongs to the rows before the first of these."""
+    if x.dtype == np.int64:
+        # Checked, and exact when the sum before a group is taken off again.
+        up = pc.cumulative_sum_checked(pa.array(x)).to_numpy()
+        base = np.concatenate([[0], up[:-1]])[np.maximum.accumulate(np.where(begins, np.arange(len(x)), 0))]
+        open_ = np.cumsum(begins) == 0
+        return np.where(open_, pc.add_checked(pa.array(up), int(carried)).to_numpy() if open_.any() else 0, up - base)
+    out = np.empty(len(x))
+    cuts = [0, *np.flatnonzero(begins).tolist(), len(x)]
+    for i, (begin, end) in enumerate(zip(cuts, cuts[1:])):
+        if end > begin:
+            piece = x[begin:end].copy()
+            piece[0] += carried if i == 0 else 0.0
+            out[begin:end] = np.cumsum(piece)
+    return out
+
+
+def _addend(df: DataFrame, expr: Column) -> Column:
+    kind = df.select(expr.alias("x")).schema["x"].dataType
+    if isinstance(kind, T.IntegralType):
+        return expr.cast("bigint")
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return expr.cast("double")
+    raise ValueError(f"running sums are of integers or floating-point numbers, not {kind.simpleString()}")
+
+
+def _range_numbered(df: DataFrame, keys: Sequence[Column | str], parts: int | None) -> DataFrame:
     spread = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
     numbered = spread.sortWithinPartitions(*keys).withColumn("_row", F.monotonically_increasing_id())
+    return numbered.withColumn("_chunk", F.shiftright("_row", _ROWS_BITS))
+
+
+def _range_sorted(df: DataFrame, keys: Sequence[Column | str], parts: int | None) -> DataFrame:
     # Range bounds come from a sample, so a second evaluation could cut the
     # rows differently.  The written table is cut once.
-    return materialize(numbered.withColumn("_chunk", F.shiftright("_row", _ROWS_BITS)))
+    return materialize(_range_numbered(df, keys, parts))
+
+
+def _range_scanned(df: DataFrame, by: Sequence[str], order: Sequence[Column], addends: Sequence[str], parts: int | None) -> DataFrame:
+    """The same by group and order, with positions and sums inside the range."""
+    ranged = _range_numbered(df, [*by, *order], parts)
+    if not by and not addends:
+        return materialize(ranged.withColumn("_local", F.col("_row") - F.shiftleft("_chunk", _ROWS_BITS) + 1))
+    names = ranged.columns
+    added = [T.StructField("_local", T.LongType()), *[T.StructField(f"_run{a}", ranged.schema[a].dataType) for a in addends]]
+    at, of = [names.index(b) for b in by], [names.index(a) for a in addends]
+    return materialize(ranged.mapInArrow(lambda batches: _scan(batches, at, of), T.StructType([*ranged.schema.fields, *added])))
 
 
 def ordered_prefix(
@@ -39,12 +115,13 @@ def ordered_prefix(
     """Add the 1-based ``position`` and inclusive running ``sums`` per group.
 
     ``order`` must be a total order within a group.  ``sums`` maps an output
-    column to the expression that is accumulated.  ``group_totals`` also adds
-    the sums of the whole group as ``total_<name>``.
+    column to the expression that is accumulated, an integer or floating-point
+    number (NULL counts as 0).  ``group_totals`` also adds the sums of the whole
+    group as ``total_<name>``.  The rows are exchanged once, by range.
     """
     by, sums = list(by), dict(sums or {})
-    addends = {f"_add_{name}": expr for name, expr in sums.items()}
-    ranged = _range_sorted(df.withColumns(addends) if addends else df, [*by, *order], parts)
+    addends = {f"_add_{name}": _addend(df, expr) for name, expr in sums.items()}
+    ranged = _range_scanned(df.withColumns(addends) if addends else df, by, order, list(addends), parts)
 
     totals = ranged.groupBy(*by, "_chunk").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(a).alias(f"_sum{a}") for a in addends]
@@ -65,18 +142,6 @@ def ordered_prefix(
     for b in by:
         same = same & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
 
-    local = Window.partitionBy("_chunk", *by).orderBy("_row")
-    if by or sums:
-        running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranged = ranged.withColumns(
-            {
-                "_local": F.row_number().over(local).cast("bigint"),
-                **{f"_run{a}": F.sum(a).over(running) for a in addends},
-            }
-        )
-    else:
-        ranged = ranged.withColumn("_local", F.col("_row") - F.shiftleft("_chunk", _ROWS_BITS) + 1)
-
     joined = ranged.join(F.broadcast(shifts), same, "left")
     whole = []
     if group_totals:
@@ -134,32 +199,109 @@ def top_k_per_key(
     )
 
 
+def order_keys(values: np.ndarray) -> np.ndarray:
+    """64-bit integers in the order of doubles: NaN is one value above all others, both zeros are one."""
+    values = np.where(np.isnan(values), np.nan, values) + 0.0
+    bits = values.view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64(2**63 - 1))
+
+
+def key_value(key: int) -> float:
+    """The double of an order key."""
+    bits = np.int64(key)
+    return float((bits ^ ((bits >> np.int64(63)) & np.int64(2**63 - 1))).view(np.float64))
+
+
+# Bits of the key that a round of the selection fixes.
+DIGIT = 16
+
+
+def _digits(batches: Iterator[pa.RecordBatch], wanted: Sequence[tuple[int, int, int]], shift: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the next digit: (field, prefix) pairs in ``wanted`` as (number, column, prefix) to rows of counts.
+
+    One row per pair, digit and batch with the number of values and the
+    smallest and largest key.
+    """
+    for batch in batches:
+        out = []
+        for column in {c for _, c, _ in wanted}:
+            keys = np.sort(order_keys(batch.column(column).drop_null().to_numpy()))
+            for number, _, prefix in (w for w in wanted if w[1] == column):
+                if shift < 64 - DIGIT:
+                    low = prefix << (shift + DIGIT)
+                    begin, end = np.searchsorted(keys, low), np.searchsorted(keys, low + (1 << (shift + DIGIT)) - 1, side="right")
+                    mine = keys[begin:end]
+                else:
+                    mine = keys
+                if len(mine):
+                    digit = mine >> shift
+                    cuts = np.flatnonzero(np.diff(digit, prepend=digit[0] - 1))
+                    ends = np.append(cuts[1:], len(mine))
+                    out.append((np.full(len(cuts), number), digit[cuts], ends - cuts, mine[cuts], mine[ends - 1]))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["number", "digit", "n", "low", "high"])
+
+
+def ranked_values(df: DataFrame, columns: Sequence[str], ranks: Callable[[int], Sequence[int]]) -> dict[str, list[float]]:
+    """The values of the 0-based ranks ``ranks(n)`` of every column with n > 0 non-missing values.
+
+    Selection instead of a sort: a round counts the values by the next 16 bits
+    of an order-preserving key, for all columns at once, and only within the
+    prefixes that hold a wanted rank.  A rank is settled when its bucket holds
+    one value, after four rounds at the latest.  A round shuffles at most 65,536
+    counts per prefix, whatever the number of rows; the driver sees one row per
+    wanted rank.  ``df`` is read once per round and must give the same rows.
+    """
+    columns = list(columns)
+    rows = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    found: dict[int, dict[int, float]] = {}
+    want: dict[int, list[int]] = {}  # column -> ranks
+    open_: dict[tuple[int, int], dict[int, int]] = {(i, 0): {} for i in range(len(columns))}  # (column, prefix) -> rank: rank inside
+    for turn, shift in enumerate(range(64 - DIGIT, -1, -DIGIT)):
+        numbered = list(open_)
+        wanted = [(k, i, prefix) for k, (i, prefix) in enumerate(numbered)]
+        schema = "number bigint, digit bigint, n bigint, low bigint, high bigint"
+        counts = rows.mapInArrow(lambda batches, w=wanted, s=shift: _digits(batches, w, s), schema)
+        counts = counts.groupBy("number", "digit").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+        inside = Window.partitionBy("number").orderBy("digit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        upto = counts.withColumn("upto", F.sum("n").over(inside))
+        if turn == 0:
+            upto = materialize(upto)
+            for r in upto.groupBy("number").agg(F.max("upto").alias("n")).collect():  # a row per column
+                want[r["number"]] = list(ranks(r["n"]))
+                open_[numbered[r["number"]]] = {rank: rank for rank in want[r["number"]]}
+        asked = [(k, rank, at) for k, pair in enumerate(numbered) for rank, at in open_[pair].items()]
+        if not asked:
+            break
+        side = df.sparkSession.createDataFrame(asked, "k bigint, rank bigint, at bigint")  # a row per wanted rank
+        first = F.col("upto") - F.col("n")
+        here = (F.col("number") == F.col("k")) & (F.col("at") >= first) & (F.col("at") < F.col("upto"))
+        holds = upto.join(F.broadcast(side), here).select("number", "digit", "low", "high", "rank", (F.col("at") - first).alias("at"))
+        open_ = {}
+        for r in holds.collect():
+            column = numbered[r["number"]][0]
+            if r["low"] == r["high"]:
+                found.setdefault(column, {})[r["rank"]] = key_value(r["low"])
+            else:
+                open_.setdefault((column, r["digit"]), {})[r["rank"]] = r["at"]
+        if not open_:
+            break
+    return {columns[i]: [found[i][rank] for rank in wanted] for i, wanted in want.items()}
+
+
 def order_statistics(df: DataFrame, columns: Sequence[str], groups: int) -> DataFrame:
-    """Exact ``n//groups``-th and ``(n - n//groups)``-th smallest value per column.
+    """Exact ``n//groups``-th and ``(n - n//groups)``-th smallest value per column: ``(field, lo, hi)``.
 
-    Ranks are 0-based over the non-missing values and clamped to ``n - 1``.
-    Returns ``(field, lo, hi)``.  Values are counted before they are ordered,
-    so a value that fills a third of the rows is one row of the sort.
+    Ranks are 0-based over the values that are not NULL and clamped to
+    ``n - 1``; a column without one has no row.  NaN is the largest value.
     """
-    long = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("v")) for c in columns])
-        ).alias("s")
-    ).select("s.field", "s.v")
-    counts = long.filter(F.col("v").isNotNull()).groupBy("field", "v").agg(F.count(F.lit(1)).alias("n"))
-    placed = ordered_prefix(counts, [F.asc("v")], by=["field"], sums={"upto": F.col("n")}, group_totals=True)
-    low = F.floor(F.col("total_upto") / F.lit(groups)).cast("bigint")
-    high = F.least(F.col("total_upto") - low, F.col("total_upto") - 1)
-    ranked = placed.select(
-        "field", "v", (F.col("upto") - F.col("n")).alias("first"), "upto", low.alias("low"), high.alias("high")
-    )
 
-    def holds(rank: str) -> Column:
-        return (F.col("first") <= F.col(rank)) & (F.col(rank) < F.col("upto"))
+    def ranks(n: int) -> list[int]:
+        low = n // groups
+        return [min(low, n - 1), min(n - low, n - 1)]
 
-    return ranked.groupBy("field").agg(
-        F.max(F.when(holds("low"), F.col("v"))).alias("lo"), F.max(F.when(holds("high"), F.col("v"))).alias("hi")
-    )
+    found = ranked_values(df, columns, ranks)
+    return df.sparkSession.createDataFrame([(c, *v) for c, v in found.items()], "field string, lo double, hi double")
 
 
 def order_statistics_approx(df: DataFrame, columns: Sequence[str], groups: int, accuracy: int = 10000) -> DataFrame:

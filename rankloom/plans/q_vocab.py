@@ -320,6 +320,21 @@ def win_history_last_n(spark, sf_dir):
     )
 
 
+@query(
+    "win_history_all",
+    f"""WITH {INTER}, {SAMPLED}, {HISTORY} SELECT s.event_id, s.pid, s.tag AS label, array_to_string(h.clicks, ',') AS click,
+        array_to_string(h.orders_, ',') AS orders FROM sampled s JOIN hist h ON s.event_id = h.event_id""",
+)
+def win_history_all(spark, sf_dir):
+    """Whole histories of the sampled targets."""
+    log = interactions(spark, sf_dir)
+    samples = label_samples(log, "event_id", SampleSettings(history=None))
+    orders = F.transform("order_cross", lambda t: F.split(t, ",")[1])
+    return samples.select(
+        F.col("sample_id").alias("event_id"), "pid", "label", text(F.col("click")).alias("click"), text(orders).alias("orders")
+    )
+
+
 @query(
     "win_history_cross",
     f"""WITH {INTER}, {HISTORY} SELECT event_id, array_to_string([pid || ',' || h FOR h IN click], ';') AS click_cross,

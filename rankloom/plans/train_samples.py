@@ -14,6 +14,7 @@ from rankloom.operators.history import MAX_ROWS_PER_KEY, cross_tokens, last_n_hi
 from rankloom.operators.joins import dimension_join
 from rankloom.operators.ordering import order_statistics, order_statistics_approx
 from rankloom.operators.sampling import balanced_sample, split_fold
+from rankloom.operators.skew import broadcast_if_small
 from rankloom.operators.vocab import coverage_vocabulary, sample_token_counts, with_default
 from rankloom.session import materialize
 from rankloom.sources.interactions import CLICK, IMPRESSION, ORDER
@@ -24,7 +25,7 @@ from rankloom.sources.sinks import sample_line
 class SampleSettings:
     """Sizes and rates of the sample job."""
 
-    history: int = 20
+    history: int | None = 20  # None: whole histories
     per_user: int = 7
     rates: tuple[tuple[str, float], ...] = (("cid", 0.8), ("pid", 0.9), ("cross", 0.5))
     buckets: int = 3000
@@ -38,13 +39,20 @@ def label_samples(log: DataFrame, row_id: str, settings: SampleSettings = Sample
     """Sampled targets with their point-in-time histories.
 
     Targets are sampled before histories are built, and impressions that were
-    not drawn never reach the history shuffle.
+    not drawn never reach the history shuffle, nor do events of users without a
+    target.  The log is evaluated once: its few columns are written and reread.
     """
     order = ["ts", "pid", "tag", row_id]
+    log = materialize(log.select("cid", *order))
     targets = balanced_sample(
         log, "cid", row_id, positive=CLICK, negative=IMPRESSION, cap=settings.per_user, seed=settings.seed
-    ).select("cid", "label", *order)
-    sources = log.filter(F.col("tag").isin(CLICK, ORDER)).withColumn(
+    )
+    targets = materialize(targets.select("cid", "label", *order))
+    users = materialize(targets.select(F.col("cid").alias("_user")).distinct())
+    sources = log.filter(F.col("tag").isin(CLICK, ORDER)).join(
+        broadcast_if_small(users), F.col("cid").eqNullSafe(F.col("_user")), "left_semi"
+    )
+    sources = sources.withColumn(
         "stream", F.when(F.col("tag") == CLICK, "click").otherwise("order")
     )
     found = last_n_history(
