@@ -195,11 +195,15 @@ def template_windows(
     sizes: Sequence[int] = (),
     literal: Sequence[int] = (),
 ) -> DataFrame:
-    """``id, place, hash, slots, size, literal``: the windows of every text; with a bit map those of a document, else of an item."""
+    """``id, row, place, hash, slots, size, literal``: the windows of every text; with a bit map those of a document, else of an item.
+
+    ``row`` is a digest of the text, which tells rows apart that share an id.
+    """
     source = texts.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     schema = T.StructType(
         [
             T.StructField("id", source.schema["id"].dataType),
+            T.StructField("row", T.BinaryType()),
             T.StructField("place", T.LongType()),
             T.StructField("hash", T.LongType()),
             T.StructField("slots", T.ArrayType(T.LongType())),
@@ -209,19 +213,23 @@ def template_windows(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         templates = Templates(window, least_words)
         bits = None if wanted is None else np.frombuffer(wanted, np.uint8)
         for piece in pieces(batches, 1):
-            owner, found = [], []
+            owner, found, rows = [], [], []
             for n, text in enumerate(piece.column(1).to_pylist()):
                 here = templates.item_windows(text) if bits is None else templates.document_windows(text, bits, sizes, literal)
                 owner += [n] * len(here)
                 found += here
+                rows += [xxhash.xxh3_128_digest((text or "").encode("utf-8"))] * len(here) if here else []
             if owner:
                 places, hashes, slots, lengths, literals = zip(*found)
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0).take(pa.array(owner, pa.int64())),
+                        pa.array(rows, pa.binary()),
                         pa.array(places, pa.int64()),
                         pa.array(hashes, pa.int64()),
                         pa.array(slots, pa.list_(pa.int64())),
@@ -262,23 +270,24 @@ def find_leaks(
     the document, of ``item_windows``; a pair is returned from
     ``least_windows`` on (or all, if the item has fewer).  ``verbatim`` says
     that all slots of that copy have the item's own values.  NULL and empty texts hold nothing
-    and leak nothing.  Repeated rows of a document or item count once; rows
-    with a NULL id are taken together.  Other columns are not read.
+    and leak nothing.  Every text is searched by itself, also where rows share
+    an id or have none; their pair is returned once, with the larger copy.
+    Repeated rows count once.  Other columns are not read.
     """
     items = materialize(
         template_windows(benchmark, item_col, item_text_col, None, window)
         .distinct()
-        .select(F.col("id").alias("item"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"), "size", "literal")
+        .select(F.col("id").alias("item"), F.col("row").alias("item_row"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"), "size", "literal")
     )
     lengths = [(r["size"], r["literal"]) for r in items.select("size", "literal").distinct().collect()]  # at most 2 x window rows
     sizes, literal = (sorted(n for n, is_literal in lengths if is_literal == kind) for kind in (False, True))
-    totals = items.groupBy("item", "literal").agg(F.countDistinct("item_place").alias("item_windows"))
-    totals = totals.select(F.col("item").alias("of"), F.col("literal").alias("kind"), "item_windows")
+    totals = items.groupBy("item", "item_row", "literal").agg(F.countDistinct("item_place").alias("item_windows"))
+    totals = totals.select(F.col("item").alias("of"), F.col("item_row").alias("of_row"), F.col("literal").alias("kind"), "item_windows")
     met = template_windows(docs, id_col, text_col, bit_map(items), window, sizes=sizes, literal=literal).drop("size", "literal")
     pairs = met.join(items, "hash").withColumn("shift", F.col("place") - F.col("item_place"))
     # One copy of an item has one shift; its windows must agree on what stands for what.
     values = F.zip_with("item_slots", "slots", lambda was, now: F.struct(was.alias("was"), now.alias("now")))
-    copies = pairs.groupBy("id", "item", "literal", "shift").agg(
+    copies = pairs.groupBy("id", "row", "item", "item_row", "literal", "shift").agg(
         F.countDistinct("item_place").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set(values))).alias("values")
     )
     one_way = F.size("values") == F.size(F.array_distinct(F.transform("values", lambda v: v["was"])))
@@ -286,11 +295,13 @@ def find_leaks(
     verbatim = F.forall("values", lambda v: v["was"] == v["now"])
     best = (
         copies.filter(one_way & other_way)
-        .groupBy("id", "item", "literal")
+        .groupBy("id", "row", "item", "item_row", "literal")
         .agg(F.max(F.struct("n_windows", verbatim.alias("verbatim"))).alias("best"))
     )
-    found = best.join(totals, F.col("item").eqNullSafe(F.col("of")) & (F.col("literal") == F.col("kind")))
+    same = F.col("item").eqNullSafe(F.col("of")) & (F.col("item_row") == F.col("of_row")) & (F.col("literal") == F.col("kind"))
+    found = best.join(totals, same)
     found = found.filter(F.col("best.n_windows") >= F.least(F.lit(least_windows), F.col("item_windows")))
     # A copy that both kinds of windows find is told by its template.
-    told = found.groupBy("id", "item").agg(F.min(F.struct("literal", "best.n_windows", "item_windows", "best.verbatim")).alias("told"))
+    told = found.groupBy("id", "row", "item", "item_row").agg(F.min(F.struct("literal", "best.n_windows", "item_windows", "best.verbatim")).alias("told"))
+    told = told.groupBy("id", "item").agg(F.max(F.struct("told.n_windows", "told.verbatim", "told.item_windows")).alias("told"))
     return told.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "told.n_windows", "told.item_windows", "told.verbatim")

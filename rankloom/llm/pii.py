@@ -102,9 +102,32 @@ BASE = (
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", luhn, 0.6, "card|visa|master|credit|karte|tarjeta|carte", 0.3, _like("[0-9][0-9 -]{10}")),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", phone_digits, 0.7, "phone|tel|call|mobil|fax", 0.3, _like(r"\+[0-9]")),
 )
+# Lengths of IBANs by country (IBAN registry).
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+# An IBAN ends with its country's length, so a word behind it is not taken in.
+_IBAN = "|".join(f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items())
 # What the method adds.  The last two need a word nearby that says what they are.
 ADDED = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", mod97, 0.8, "iban|konto|account|cuenta|compte", 0.2, _like("[A-Z]{2}[0-9]{2}")),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])", mod97, 0.8, "iban|konto|account|cuenta|compte", 0.2, _like("[A-Z]{2}[0-9]{2}")),
     Kind("national_id", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", always, 0.3, r"\bssn\b|social security|tax", 0.5, _like("[0-9]-[0-9]{2}-[0-9]")),
     Kind("local_phone", r"(?<![0-9+(.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])", always, 0.3, "phone|tel|call|mobil|fax", 0.5, _like("[0-9][ .-][0-9]{4}")),
 )

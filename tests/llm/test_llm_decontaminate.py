@@ -1,5 +1,9 @@
 """Copies and variants of items, and what only looks like one."""
 
+import random
+
+import numpy as np
+
 from rankloom.llm.decontaminate import Templates, find_leaks
 
 QUESTION = "A train leaves the station with 120 passengers and the driver Mary Smith stops after 35 miles to let 20 people out."
@@ -37,7 +41,8 @@ def test_leaks(spark):
         (23, OTHER),
     ]
     got = leaks(spark, docs, items)
-    assert set(got) == {(10, 1), (11, 1), (13, 2), (16, 3), (20, 1), (21, 1), (None, 2), (22, 1), (23, None)}
+    # A short item counts inside a longer document as well: (15, 3).
+    assert set(got) == {(10, 1), (11, 1), (13, 2), (15, 3), (16, 3), (20, 1), (21, 1), (None, 2), (22, 1), (23, None)}
     assert got[10, 1]["verbatim"] and not got[11, 1]["verbatim"] and got[20, 1]["verbatim"] and not got[13, 2]["verbatim"]
     assert got[22, 1]["n_windows"] == got[22, 1]["item_windows"] > 3
 
@@ -58,6 +63,60 @@ def test_short_and_slot_heavy_items(spark):
     assert set(leaks(spark, docs, items)) == {(10, 1), (11, 1), (12, 2), (14, 3), (16, 4), (17, 5)}
 
 
+def test_rows_that_share_an_id(spark):
+    """A copy and a variant under one id do not spoil each other; nor do items, nor rows without an id."""
+    docs = [(7, QUESTION), (7, VARIANT), (8, QUESTION), (9, "Nothing of the kind."), (None, VARIANT), (None, "Nothing at all."), (None, QUESTION)]
+    got = leaks(spark, docs, [(1, QUESTION)])
+    assert set(got) == {(7, 1), (8, 1), (None, 1)} and got[7, 1]["verbatim"] and got[None, 1]["verbatim"]
+    assert set(leaks(spark, [(7, VARIANT), (8, TWICE)], [(1, QUESTION), (1, TWICE)])) == {(7, 1), (8, 1)}
+
+
+def plain_leaks(docs, items, window=8, least_words=4, least=3):
+    """Windows, slots and consistency over all pairs of texts."""
+    templates = Templates(window, least_words)
+    sizes, literal = set(), set()
+    cut = []
+    for item, text in items:
+        windows = templates.item_windows(text)
+        cut.append((item, windows))
+        for w in windows:
+            (literal if w[4] else sizes).add(w[3])
+    every = np.full(1 << 21, 255, np.uint8)
+    out = set()
+    for doc, text in docs:
+        mine = templates.document_windows(text, every, sorted(sizes), sorted(literal))
+        for item, windows in cut:
+            for kind in (False, True):
+                total = len({w[0] for w in windows if w[4] == kind})
+                copies = {}
+                for place, hashed, slots, _, literal_kind in mine:
+                    for w in windows:
+                        if w[4] == kind and w[1] == hashed:
+                            seen, pairs = copies.setdefault(place - w[0], (set(), set()))
+                            seen.add(w[0])
+                            pairs |= set(zip(w[2], slots))
+                good = [len(s) for s, p in copies.values() if len(p) == len({a for a, _ in p}) == len({b for _, b in p})]
+                if total and good and max(good) >= min(least, total):
+                    out.add((doc, item))
+    return out
+
+
+def test_against_all_pairs_of_texts(spark):
+    rng = random.Random(4)
+    words = ["the", "of", "train", "leaves", "with", "Mary", "Bob", "Smith", "12", "77", "9", "km", "kg", "and", "box", "people", ".", "home", "ALL"]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(2, 30)))) for i in range(25)]
+    docs = []
+    for d in range(120):
+        text = [rng.choices(words, k=rng.randint(0, 25)) for _ in range(3)]
+        _, item = rng.choice(items)
+        if d % 3:
+            changed = [rng.choice(words) if rng.random() < 0.04 else {"12": "13", "Mary": "Ann"}.get(w, w) if d % 2 else w for w in item.split()]
+            text[1] = changed
+        docs.append((d, " ".join(w for t in text for w in t)))
+    got, want = set(leaks(spark, docs, items)), plain_leaks(docs, items)
+    assert len(want) > 40 and got == want
+
+
 def test_nothing(spark):
     assert leaks(spark, [(1, QUESTION)], []) == {} and leaks(spark, [], [(1, QUESTION)]) == {}
 

@@ -96,3 +96,24 @@ def test_redaction(spark):
 
 def test_empty_table(spark):
     assert find_spans(spark.createDataFrame([], "doc_id int, text string")).count() == 0
+
+
+def test_ibans_before_capital_words(spark):
+    texts = {
+        1: "IBAN DE89370400440532013000 Bitte",
+        2: "DE89 3704 0044 0532 0130 00 BIC COBADEFF",
+        3: "GB82WEST12345698765432.",
+        4: "FR14 2004 1010 0505 0001 3M02 606 Merci",
+        5: "DE89370400440532013001 Bitte",  # fails mod 97
+        6: "XX89370400440532013000",
+        7: "DE893704004405320130001",  # longer than the country's
+        8: "NO93 8601 1117 947 OG",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    got = {}
+    for r in find_spans(docs).collect():
+        got[r["doc_id"]] = [r["text"][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "iban"]
+    assert got == {
+        1: ["DE89370400440532013000"], 2: ["DE89 3704 0044 0532 0130 00"], 3: ["GB82WEST12345698765432"], 4: ["FR14 2004 1010 0505 0001 3M02 606"],
+        5: [], 6: [], 7: [], 8: ["NO93 8601 1117 947"],
+    }
