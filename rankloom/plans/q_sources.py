@@ -180,17 +180,13 @@ def positional_schema_query(spark, sf_dir):
 
 @query(
     "tfrecord_write",
-    """SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS custkeys FROM orders GROUP BY 1""",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice > 200000 AS large FROM orders",
 )
 def tfrecord_write(spark, sf_dir):
     path = scratch_path(spark, "tfrecord")
-    write_tfrecords(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), path)
-    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
-    return (
-        read_tfrecords(spark, path, schema=schema)
-        .groupBy(F.col("o_orderstatus").alias("status"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("custkeys"))
-    )
+    orders = table(spark, sf_dir, "orders").withColumn("large", F.col("o_totalprice") > 200000)
+    write_tfrecords(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "large"), path)
+    return read_tfrecords(spark, path, schema="o_orderkey bigint, o_custkey bigint, o_orderstatus string, large boolean")
 
 
 @query(
@@ -199,7 +195,7 @@ def tfrecord_write(spark, sf_dir):
               CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[64] AS DOUBLE) AS last FROM embeddings""",
 )
 def tfrecord_read(spark, sf_dir):
-    """Schema comes from the first record."""
+    """The schema comes from all records."""
     path = scratch_path(spark, "tfrecord")
     write_tfrecords(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), path)
     rows = read_tfrecords(spark, path)

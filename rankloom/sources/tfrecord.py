@@ -4,16 +4,19 @@
     df.write.format("tfrecord").mode("append").save(path)
     spark.read.format("tfrecord").option("binary", "image").load(path)
 
-Each task streams its own files batch by batch; nothing passes through the
-driver but file names.  A record is length (8 bytes), its masked CRC32C,
-the message and the masked CRC32C of the message, all little-endian.
+A record is length (8 bytes), its masked CRC32C, the message and the masked
+CRC32C of the message, all little-endian.  Large files are read in byte ranges:
+a range owns the records that begin in it and finds the first one by the
+checksum of its length.  Small files share a task.  Records are coded a batch
+at a time (``example_codec``); features outside the schema are skipped.
+Nothing passes through the driver but file names and sizes.
 """
 
 from __future__ import annotations
 
-import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,11 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-BATCH_ROWS = 2048
+from rankloom.sources.example_codec import HEAD, TAIL, Ragged, Values, checksums, decode, encode, framed, head, heads_in, masked, padded
 
-# Fixed values of the format: reflected Castagnoli polynomial and CRC mask.
-CRC_POLYNOMIAL = 0x82F63B78
-CRC_MASK_DELTA = 0xA282EAD8
+# Rows that are encoded, and bytes that are read and decoded, at once.
+BATCH_ROWS = 4096
+CHUNK_BYTES = 4 << 20
+# Bytes of a task: larger files are cut, smaller ones share it.
+SPLIT_BYTES = 32 << 20
+# File operations of a commit that run at the same time.
+COMMIT_THREADS = 32
 
 INT64_TYPES = ("boolean", "tinyint", "smallint", "int", "bigint")
 FLOAT_TYPES = ("float", "double")
@@ -69,198 +76,7 @@ def read_type(dtype: str, binary: bool = False) -> str:
     return f"array<{base}>" if dtype.startswith("array<") else base
 
 
-# --- checksums ------------------------------------------------------------------
-
-
-def _byte_table() -> np.ndarray:
-    table = np.arange(256, dtype=np.uint32)
-    for _ in range(8):
-        table = np.where(table & 1, (table >> 1) ^ np.uint32(CRC_POLYNOMIAL), table >> 1)
-    return table.astype(np.uint32)
-
-
-_TABLE = _byte_table()
-_SHORT = _TABLE.tolist()
-_SPAN = 1024
-
-
-def _distance_tables(span: int) -> np.ndarray:
-    """Row d: effect on the checksum of a byte that is followed by d more bytes."""
-    rows = [_TABLE]
-    for _ in range(span - 1):
-        rows.append(_TABLE[rows[-1] & 0xFF] ^ (rows[-1] >> np.uint32(8)))
-    return np.stack(rows)
-
-
-_DISTANCE = _distance_tables(_SPAN + 4)
-
-
-def crc32c(data: bytes) -> int:
-    """CRC-32C; long inputs are vectorised: the checksum is the XOR of each byte's own effect."""
-    if len(data) < 256:
-        crc = 0xFFFFFFFF
-        for byte in data:
-            crc = _SHORT[(crc ^ byte) & 0xFF] ^ (crc >> 8)
-        return crc ^ 0xFFFFFFFF
-    octets = np.frombuffer(data, dtype=np.uint8)
-    crc = 0xFFFFFFFF
-    for at in range(0, len(octets), _SPAN):
-        block = octets[at : at + _SPAN]
-        n = len(block)
-        effect = np.bitwise_xor.reduce(_DISTANCE[np.arange(n - 1, -1, -1), block])
-        # The running checksum acts like four extra bytes XORed onto the block's start.
-        carried = 0
-        if n >= 4:
-            for i in range(4):
-                carried ^= int(_DISTANCE[n - 1 - i, (crc >> (8 * i)) & 0xFF])
-        else:
-            for i in range(n):
-                carried ^= int(_DISTANCE[n - 1 - i, (crc >> (8 * i)) & 0xFF])
-            carried ^= crc >> (8 * n)
-        crc = int(effect) ^ carried
-    return crc ^ 0xFFFFFFFF
-
-
-def masked_crc(data: bytes) -> int:
-    crc = crc32c(data)
-    return (((crc >> 15) | (crc << 17)) + CRC_MASK_DELTA) & 0xFFFFFFFF
-
-
-# --- Example messages (protobuf wire format) ------------------------------------
-
-
-_ONE_BYTE = [bytes((n,)) for n in range(128)]
-
-
-def _varint(n: int) -> bytes:
-    if 0 <= n < 128:
-        return _ONE_BYTE[n]
-    n &= (1 << 64) - 1
-    out = bytearray()
-    while n > 0x7F:
-        out.append((n & 0x7F) | 0x80)
-        n >>= 7
-    out.append(n)
-    return bytes(out)
-
-
-def _read_varint(buf: bytes, at: int) -> tuple[int, int]:
-    value = shift = 0
-    while True:
-        byte = buf[at]
-        at += 1
-        value |= (byte & 0x7F) << shift
-        if byte < 0x80:
-            return value, at
-        shift += 7
-
-
-def _field(number: int, body: bytes) -> bytes:
-    return _varint(number << 3 | 2) + _varint(len(body)) + body
-
-
-def encode_example(row: dict[str, tuple[str, list]]) -> bytes:
-    """``{name: (kind, values)}`` to a serialized Example."""
-    entries = []
-    for name, (kind, values) in row.items():
-        if kind == "bytes":
-            feature = _field(1, b"".join(_field(1, v) for v in values))
-        elif kind == "float":
-            feature = _field(2, _field(1, struct.pack(f"<{len(values)}f", *values)))
-        else:
-            feature = _field(3, _field(1, b"".join(_varint(int(v)) for v in values)))
-        entries.append(_field(1, _field(1, name.encode()) + _field(2, feature)))
-    return _field(1, b"".join(entries))
-
-
-def _fields(buf: bytes) -> Iterator[tuple[int, int, bytes | int]]:
-    at = 0
-    while at < len(buf):
-        tag, at = _read_varint(buf, at)
-        wire = tag & 7
-        if wire == 2:
-            size, at = _read_varint(buf, at)
-            yield tag >> 3, wire, buf[at : at + size]
-            at += size
-        elif wire == 0:
-            value, at = _read_varint(buf, at)
-            yield tag >> 3, wire, value
-        elif wire == 5:
-            yield tag >> 3, wire, buf[at : at + 4]
-            at += 4
-        else:
-            raise ValueError(f"unexpected wire type {wire} in an Example")
-
-
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >= 1 << 63 else value
-
-
-def _feature_values(buf: bytes) -> tuple[str, list]:
-    kind, values = "bytes", []
-    for number, _, body in _fields(buf):
-        kind = {1: "bytes", 2: "float", 3: "int64"}[number]
-        for _, wire, item in _fields(body):
-            if kind == "bytes":
-                values.append(item)
-            elif kind == "float":
-                values.extend(struct.unpack(f"<{len(item) // 4}f", item))
-            elif wire == 0:
-                values.append(_signed(item))
-            else:
-                at = 0
-                while at < len(item):
-                    value, at = _read_varint(item, at)
-                    values.append(_signed(value))
-    return kind, values
-
-
-def decode_example(buf: bytes) -> dict[str, tuple[str, list]]:
-    features: dict[str, tuple[str, list]] = {}
-    for _, _, feature_map in _fields(buf):
-        for _, _, entry in _fields(feature_map):
-            parts = {number: body for number, _, body in _fields(entry)}
-            features[parts[1].decode()] = _feature_values(parts.get(2, b""))
-    return features
-
-
-# --- framing --------------------------------------------------------------------
-
-
-_HEADS: dict[int, bytes] = {}
-
-
-def _head(size: int) -> bytes:
-    """Length and its checksum; lengths repeat a lot within a file."""
-    found = _HEADS.get(size)
-    if found is None:
-        if len(_HEADS) > 65536:
-            _HEADS.clear()
-        packed = struct.pack("<Q", size)
-        found = _HEADS[size] = packed + struct.pack("<I", masked_crc(packed))
-    return found
-
-
-def write_record(stream, message: bytes) -> None:
-    stream.write(_head(len(message)) + message + struct.pack("<I", masked_crc(message)))
-
-
-def read_records(stream, verify: bool = True) -> Iterator[bytes]:
-    while True:
-        head = stream.read(12)
-        if not head:
-            return
-        if len(head) < 12:
-            raise ValueError("truncated TFRecord header")
-        size = int.from_bytes(head[:8], "little")
-        if verify and _head(size) != head:
-            raise ValueError("TFRecord length checksum mismatch")
-        message, check = stream.read(size), stream.read(4)
-        if len(message) < size or len(check) < 4:
-            raise ValueError("truncated TFRecord message")
-        if verify and masked_crc(message) != struct.unpack("<I", check)[0]:
-            raise ValueError("TFRecord message checksum mismatch")
-        yield message
+# --- files ----------------------------------------------------------------------
 
 
 def _filesystem(path: str):
@@ -285,8 +101,10 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 @dataclass
-class _FilePart(InputPartition):
-    path: str
+class _Ranges(InputPartition):
+    """(file, begin, end, size) of the byte ranges of a task."""
+
+    ranges: tuple[tuple[str, int, int, int], ...]
 
 
 @dataclass
@@ -294,17 +112,127 @@ class _Written(WriterCommitMessage):
     path: str
 
 
-def _features(system, path: str) -> list[tuple[str, str, int]]:
-    """Name, kind and largest number of values of every feature in a file."""
+def cut(files: Sequence[tuple[str, int]], split: int) -> list[tuple[tuple[str, int, int, int], ...]]:
+    """Byte ranges of (file, size) for tasks of at most about ``split`` bytes; with 0 files stay whole."""
+    tasks, held, room = [], [], split
+    for path, size in files:
+        step = split if split else max(size, 1)
+        for begin in range(0, size, step):
+            span = min(step, size - begin)
+            if held and span > room:
+                tasks.append(tuple(held))
+                held, room = [], split
+            held.append((path, begin, begin + span, size))
+            room -= span
+    return [*tasks, tuple(held)] if held else tasks
+
+
+def _first_record(stream, begin: int, end: int, size: int) -> int | None:
+    """Place of the first record that begins in [begin, end)."""
+    if begin == 0:
+        return 0
+    at = begin
+    while at < end:
+        stream.seek(at)
+        octets = np.frombuffer(stream.read(min(CHUNK_BYTES, size - at)), np.uint8)
+        for found in heads_in(octets).tolist():
+            if at + found >= end:
+                return None
+            # The record must fit, and another one or the end of the file must follow.
+            after = at + found + HEAD + int.from_bytes(octets[found : found + 8].tobytes(), "little") + TAIL
+            if after == size:
+                return at + found
+            if after + HEAD <= size:
+                stream.seek(after)
+                follows = stream.read(HEAD)
+                if head(int.from_bytes(follows[:8], "little")) == follows:
+                    return at + found
+        at += max(1, len(octets) - HEAD + 1)
+    return None
+
+
+def _chunks(stream, begin: int, end: int, size: int, verify: bool) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+    """Buffers with the places and lengths of the messages of the records that begin in the range."""
+    place = _first_record(stream, begin, end, size)
+    if place is None:
+        return
+    stream.seek(place)
+    data = b""
+    while place < end:
+        more = stream.read(CHUNK_BYTES)
+        data += more
+        at, starts, lengths = 0, [], []
+        while place + at < end and at + HEAD <= len(data):
+            length = int.from_bytes(data[at : at + 8], "little")
+            if verify and head(length) != data[at : at + HEAD]:
+                raise ValueError("TFRecord length checksum mismatch")
+            if at + HEAD + length + TAIL > len(data):
+                break
+            starts.append(at + HEAD)
+            lengths.append(length)
+            at += HEAD + length + TAIL
+        if starts:
+            yield data, np.array(starts), np.array(lengths)
+        elif not more:
+            raise ValueError("truncated TFRecord header" if len(data) < HEAD else "truncated TFRecord message")
+        place += at
+        data = data[at:]
+
+
+def _decoded(stream, ranges: Sequence[int], verify: bool, wanted: Sequence[str] | None):
+    """Number of records and their features, buffer by buffer."""
+    for data, start, length in _chunks(stream, *ranges, verify):
+        buf = padded(data)
+        if verify:
+            inside = np.concatenate([buf[s : s + n] for s, n in zip(start.tolist(), length.tolist())])
+            said = buf[(start + length)[:, None] + np.arange(TAIL)].view("<u4").reshape(-1)
+            if (masked(checksums(Ragged(inside, length))) != said).any():
+                raise ValueError("TFRecord message checksum mismatch")
+        yield len(start), decode(buf, start, start + length, wanted)
+
+
+def _features(system, ranges) -> list[tuple[str, str, int]]:
+    """Name, kind and largest number of values of every feature in some byte ranges."""
     found: dict[tuple[str, str], int] = {}
-    with system.open_input_stream(path) as stream:
-        for message in read_records(stream):
-            for name, (kind, values) in decode_example(message).items():
-                key = (name, kind if values else "")
-                found[key] = max(found.get(key, 0), len(values))
+    for path, *span in ranges:
+        with system.open_input_file(path) as stream:
+            for _, features in _decoded(stream, span, True, None):
+                for name, kinds in features.items():
+                    for kind, values in kinds.items():
+                        most = int(values.counts.max(initial=0))
+                        key = (name, kind if most else "")
+                        found[key] = max(found.get(key, 0), most)
     return [(name, kind, most) for (name, kind), most in found.items()]
 
 
+def _column(field: T.StructField, arrow: pa.DataType, kinds: dict[str, Values], n: int) -> pa.Array:
+    """A feature as a column of the wanted type; a record without it has NULL or an empty list."""
+    repeated = isinstance(field.dataType, T.ArrayType)
+    target = arrow.value_type if repeated else arrow
+    given = [v for v in kinds.values() if len(v.values)]
+    parts = [_cast(field.name, v.values, target) for v in given]
+    counts = np.sum([v.counts for v in given], axis=0).astype(np.int64) if given else np.zeros(n, np.int64)
+    values = pa.concat_arrays(parts) if parts else pa.array([], target)
+    if len(given) > 1:  # values of several kinds: in the order of their records
+        owner = np.concatenate([np.repeat(np.arange(n), v.counts) for v in given])
+        values = values.take(pa.array(np.argsort(owner, kind="stable")))
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    if repeated:
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+    if counts.max(initial=0) > 1:
+        raise ValueError(f"feature {field.name!r} has {counts.max()} values in a record; read it as an array")
+    if len(values) == n:
+        return values
+    return values.take(pa.array(ends[:-1], mask=counts == 0))
+
+
+def _cast(name: str, values: pa.Array, target: pa.DataType) -> pa.Array:
+    try:
+        return values.cast(target)
+    except pa.ArrowException as problem:
+        raise ValueError(f"feature {name!r} holds {values.type} and cannot be read as {target}: {problem}") from problem
+
+
 def schema_of(rows, binary) -> T.StructType:
     """Schema of features given as (name, kind, largest number of values).
 
@@ -333,8 +261,9 @@ FEATURES_SCHEMA = "name string, kind string, most bigint"
 
 
 class TFRecordSource(DataSource):
-    """Options: ``path``, ``binary`` (comma list of bytes features read as binary),
-    ``verify`` (checksums, default true)."""
+    """Options: ``path``, ``binary`` (comma list of bytes features read as binary), ``verify`` (checksums, default
+    true) and ``split``: bytes of a task, 0 to keep files whole.  A file whose messages hold TFRecord files of their
+    own that are longer than a task must be kept whole."""
 
     @classmethod
     def name(cls) -> str:
@@ -343,22 +272,23 @@ class TFRecordSource(DataSource):
     def _binary(self) -> set[str]:
         return {n for n in self.options.get("binary", "").split(",") if n}
 
-    def files(self) -> list[str]:
+    def files(self) -> list[tuple[str, int]]:
+        """Files and their sizes."""
         from pyarrow import fs
 
         system, root = _filesystem(self.options["path"])
         info = system.get_file_info(root)
         if info.type == fs.FileType.File:
-            return [root]
+            return [(root, info.size)]
         listed = system.get_file_info(fs.FileSelector(root, recursive=True))
         return sorted(
-            f.path for f in listed if f.type == fs.FileType.File and not f.base_name.startswith(("_", "."))
+            (f.path, f.size) for f in listed if f.type == fs.FileType.File and not f.base_name.startswith(("_", "."))
         )
 
     def schema(self) -> T.StructType:
         """From all records, read here one after the other; :func:`read_tfrecords` does it as a job."""
         system, _ = _filesystem(self.options["path"])
-        rows = [row for path in self.files() for row in _features(system, path)]
+        rows = [row for task in cut(self.files(), SPLIT_BYTES) for row in _features(system, task)]
         return schema_of(rows, self._binary())
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
@@ -369,52 +299,30 @@ class TFRecordSource(DataSource):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, files: list[str], schema: T.StructType, options) -> None:
-        self.paths, self.wanted = files, schema
+    def __init__(self, files: list[tuple[str, int]], schema: T.StructType, options) -> None:
+        self.tasks, self.wanted = cut(files, int(options.get("split", SPLIT_BYTES))), schema
         self.root, self.verify = options["path"], options.get("verify", "true") == "true"
         self.only_features = options.get("features", "false") == "true"
 
     def partitions(self):
-        return [_FilePart(p) for p in self.paths]
+        return [_Ranges(task) for task in self.tasks]
 
-    def read(self, partition: _FilePart):
+    def read(self, partition: _Ranges):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(self.wanted)
         system, _ = _filesystem(self.root)
         if self.only_features:
-            rows = _features(system, partition.path)
+            rows = _features(system, partition.ranges)
             columns = zip(*rows) if rows else ([], [], [])
             yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
             return
-        rows: list[list] = []
-
-        def value(field: T.StructField, found: tuple[str, list] | None):
-            _, values = found or ("", [])
-            element = field.dataType.elementType if isinstance(field.dataType, T.ArrayType) else field.dataType
-            if isinstance(element, T.StringType):
-                values = [v.decode() if isinstance(v, bytes) else str(v) for v in values]
-            if isinstance(field.dataType, T.ArrayType):
-                return values
-            if len(values) > 1:
-                raise ValueError(f"feature {field.name!r} has {len(values)} values in a record; read it as an array")
-            return values[0] if values else None
-
-        def batch():
-            columns = list(zip(*rows)) if rows else [[] for _ in arrow]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)], schema=arrow
-            )
-
-        with system.open_input_stream(partition.path) as stream:
-            for message in read_records(stream, self.verify):
-                found = decode_example(message)
-                rows.append([value(f, found.get(f.name)) for f in self.wanted.fields])
-                if len(rows) >= BATCH_ROWS:
-                    yield batch()
-                    rows.clear()
-        if rows:
-            yield batch()
+        names = self.wanted.fieldNames()
+        for path, *span in partition.ranges:
+            with system.open_input_file(path) as stream:
+                for n, found in _decoded(stream, span, self.verify, names):
+                    columns = [_column(f, a.type, found[f.name], n) for f, a in zip(self.wanted.fields, arrow)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
 
 class _Writer(DataSourceArrowWriter):
@@ -433,29 +341,22 @@ class _Writer(DataSourceArrowWriter):
         path = f"{root}/_tmp-{self.job}-{context.partitionId():05d}-{context.taskAttemptId()}.tfrecord"
         with system.open_output_stream(path) as stream:
             for batch in iterator:
-                names = batch.schema.names
-                columns = [c.to_pylist() for c in batch.columns]
-                for row in zip(*columns):
-                    features = {}
-                    for name, cell in zip(names, row):
-                        cells = cell if isinstance(cell, list) else [] if cell is None else [cell]
-                        if self.kinds[name] == "bytes":
-                            cells = [c.encode() if isinstance(c, str) else bytes(c) for c in cells]
-                        features[name] = (self.kinds[name], cells)
-                    write_record(stream, encode_example(features))
+                for at in range(0, batch.num_rows, BATCH_ROWS):
+                    stream.write(framed(encode(batch.slice(at, BATCH_ROWS), self.kinds)))
         return _Written(path)
 
     def commit(self, messages) -> None:
         from pyarrow import fs
 
         system, root = _filesystem(self.root)
-        done = [m.path for m in messages if m is not None]
-        if self.overwrite and system.get_file_info(root).type == fs.FileType.Directory:
-            for old in system.get_file_info(fs.FileSelector(root, recursive=True)):
-                if old.type == fs.FileType.File and not old.base_name.startswith("_tmp-"):
-                    system.delete_file(old.path)
-        for i, path in enumerate(sorted(done)):
-            system.move(path, f"{root}/part-{i:05d}-{self.job}.tfrecord")
+        done = sorted(m.path for m in messages if m is not None)
+        with ThreadPoolExecutor(COMMIT_THREADS) as pool:
+            if self.overwrite and system.get_file_info(root).type == fs.FileType.Directory:
+                old = system.get_file_info(fs.FileSelector(root, recursive=True))
+                gone = [f.path for f in old if f.type == fs.FileType.File and not f.base_name.startswith("_tmp-")]
+                list(pool.map(system.delete_file, gone))
+            names = [f"{root}/part-{i:05d}-{self.job}.tfrecord" for i in range(len(done))]
+            list(pool.map(system.move, done, names))
 
     def abort(self, messages) -> None:
         system, _ = _filesystem(self.root)
@@ -473,13 +374,15 @@ def write_tfrecords(df: DataFrame, path: str, mode: str = "append") -> None:
     coerce(df).write.format("tfrecord").mode(mode).save(qualified(df.sparkSession, path))
 
 
-def read_tfrecords(spark: SparkSession, path: str, schema=None, binary: tuple[str, ...] = ()) -> DataFrame:
+def read_tfrecords(
+    spark: SparkSession, path: str, schema=None, binary: tuple[str, ...] = (), split: int = SPLIT_BYTES
+) -> DataFrame:
     """Rows of all records below ``path``; without a schema it is inferred from all of them by a job."""
     register(spark)
     path = qualified(spark, path)
-    reader = spark.read.format("tfrecord").option("binary", ",".join(binary))
+    reader = spark.read.format("tfrecord").option("binary", ",".join(binary)).option("split", split)
     if schema is None:
-        features = spark.read.format("tfrecord").option("features", "true").schema(FEATURES_SCHEMA).load(path)
+        features = spark.read.format("tfrecord").option("features", "true").option("split", split).schema(FEATURES_SCHEMA).load(path)
         found = features.groupBy("name", "kind").agg(F.max("most").alias("most")).collect()  # one row per feature and kind
         schema = schema_of([tuple(r) for r in found], set(binary))
     return reader.schema(schema).load(path)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom.sources import dated, delimited, interactions, sinks
+from plain_examples import encode_example, write_record
 from rankloom.sources import tfrecord as tf
 
 USER_LINES = [
@@ -96,21 +97,6 @@ def test_overwrite_replaces_only_written_partitions(spark, tmp_path):
 # --- TFRecord -------------------------------------------------------------------
 
 
-def test_checksum_vectors():
-    assert tf.crc32c(b"123456789") == 0xE3069283
-    assert tf.crc32c(b"") == 0
-    assert tf.crc32c(b"\x00" * 32) == 0x8A9136AA
-    assert tf.crc32c(b"\xff" * 32) == 0x62A8AB43
-
-
-def test_long_checksum_equals_bytewise():
-    data = bytes((i * 37 + i // 256) % 256 for i in range(5000))
-    crc = 0xFFFFFFFF
-    for byte in data:
-        crc = tf._SHORT[(crc ^ byte) & 0xFF] ^ (crc >> 8)
-    assert tf.crc32c(data) == crc ^ 0xFFFFFFFF
-
-
 ALL_TYPES = """f float, d double, b boolean, t tinyint, s smallint, i int, l bigint, txt string, raw binary,
   fs array<float>, ds array<double>, bs array<boolean>, ns array<int>, ls array<bigint>"""
 
@@ -151,7 +137,7 @@ def test_types_an_example_cannot_hold(dtype):
 def test_multi_value_bytes_are_read_completely(spark, tmp_path):
     path = tmp_path / "one.tfrecord"
     with open(path, "wb") as stream:
-        tf.write_record(stream, tf.encode_example({"words": ("bytes", [b"a", b"b"]), "none": ("int64", [])}))
+        write_record(stream, encode_example({"words": ("bytes", [b"a", b"b"]), "none": ("int64", [])}))
     row = tf.read_tfrecords(spark, str(path)).first()
     assert row["words"] == ["a", "b"] and row["none"] is None
 
@@ -159,7 +145,7 @@ def test_multi_value_bytes_are_read_completely(spark, tmp_path):
 def test_damage_is_found(spark, tmp_path):
     path = tmp_path / "bad.tfrecord"
     with open(path, "wb") as stream:
-        tf.write_record(stream, tf.encode_example({"x": ("int64", [1])}))
+        write_record(stream, encode_example({"x": ("int64", [1])}))
     data = bytearray(path.read_bytes())
     data[14] ^= 1
     path.write_bytes(bytes(data))
@@ -178,7 +164,7 @@ def test_schema_is_that_of_all_records(spark, tmp_path):
     ]
     for n, record in enumerate(records):
         with open(path / f"part-{n}.tfrecord", "wb") as stream:
-            tf.write_record(stream, tf.encode_example(record))
+            write_record(stream, encode_example(record))
     back = tf.read_tfrecords(spark, str(path))
     assert dict(back.dtypes) == {"v": "array<double>", "late": "string", "i": "bigint"}
     assert sorted((r["v"], r["late"], r["i"]) for r in back.collect() if r["v"]) == [([1.0], None, None), ([1.0, 2.0, 3.0], "x", None)]
@@ -189,6 +175,6 @@ def test_schema_is_that_of_all_records(spark, tmp_path):
     with pytest.raises(Exception, match="3 values"):
         tf.read_tfrecords(spark, str(path), schema="v double").collect()
     with open(path / "part-9.tfrecord", "wb") as stream:
-        tf.write_record(stream, tf.encode_example({"i": ("float", [1.0])}))
+        write_record(stream, encode_example({"i": ("float", [1.0])}))
     with pytest.raises(ValueError, match="several kinds"):
         tf.read_tfrecords(spark, str(path))
