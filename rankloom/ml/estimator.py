@@ -8,7 +8,8 @@ from types import SimpleNamespace
 from pyspark import cloudpickle
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import DataFrame
 
 from rankloom.ml.scoring import score_partitions
 from rankloom.operators.sampling import repeat_epochs
@@ -48,7 +49,48 @@ class RankerParams(Params):
         return SimpleNamespace(**values)
 
 
-class RankerEstimator(Estimator, RankerParams):
+class _Writer(MLWriter):
+    """Params as metadata, what the instance was made of (code included) as one pickled row."""
+
+    def __init__(self, instance) -> None:
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        data = bytearray(cloudpickle.dumps(self.instance.made_of()))
+        self.sparkSession.createDataFrame([(data,)], "made_of binary").coalesce(1).write.parquet(f"{path.rstrip('/')}/data")
+
+
+class _Reader(MLReader):
+    def __init__(self, cls) -> None:
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        data = self.sparkSession.read.parquet(f"{path.rstrip('/')}/data").first()["made_of"]
+        instance = self.cls(*cloudpickle.loads(bytes(data)))
+        instance._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(instance, metadata)
+        return instance
+
+
+class Kept(MLWritable, MLReadable):
+    """``save`` and ``load``, alone or as a stage of a saved pipeline.
+
+    Only load what you trust: the files hold code.
+    """
+
+    def write(self) -> MLWriter:
+        return _Writer(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader(cls)
+
+
+class RankerEstimator(Estimator, RankerParams, Kept):
     """Fits ``train_fn(df, args) -> model state`` and wraps the result.
 
     ``load_fn(state, args) -> predict`` builds the scorer on a worker and must
@@ -59,6 +101,9 @@ class RankerEstimator(Estimator, RankerParams):
         super().__init__()
         self.train_fn, self.load_fn, self.export_fn, self.args = train_fn, load_fn, export_fn, dict(args or {})
 
+    def made_of(self) -> tuple:
+        return self.train_fn, self.load_fn, self.args, self.export_fn
+
     def _fit(self, dataset: DataFrame) -> "RankerModel":
         args = self.merged(self.args)
         columns = sorted(self.getOrDefault("input_mapping"))
@@ -76,17 +121,20 @@ class RankerEstimator(Estimator, RankerParams):
             self.export_fn(state, args)
         model = self._copyValues(RankerModel(state, self.load_fn, self.args))
         if self.isSet("model_dir"):
-            model.save(args.model_dir, dataset.sparkSession)
+            model.write().session(dataset.sparkSession).overwrite().save(args.model_dir)
         return model
 
 
-class RankerModel(Model, RankerParams):
+class RankerModel(Model, RankerParams, Kept):
     """Scores with a model that is loaded once per Python worker."""
 
     def __init__(self, state, load_fn: Callable, args: dict | None = None):
         super().__init__()
         self.state, self.load_fn, self.args = state, load_fn, dict(args or {})
 
+    def made_of(self) -> tuple:
+        return self.state, self.load_fn, self.args
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         args, state, load_fn = self.merged(self.args), self.state, self.load_fn
         mapping = self.getOrDefault("input_mapping")
@@ -100,20 +148,6 @@ class RankerModel(Model, RankerParams):
             keep=dataset.columns,
         )
 
-    def save(self, path: str, spark: SparkSession | None = None) -> None:
-        """Keep state, loader, arguments and set params below ``path``, wherever Spark can write."""
-        spark = spark or SparkSession.active()
-        params = {p.name: self.getOrDefault(p) for p in self.params if self.isSet(p)}
-        data = bytearray(cloudpickle.dumps((self.state, self.load_fn, self.args, params)))
-        spark.createDataFrame([(data,)], "model binary").coalesce(1).write.mode("overwrite").parquet(path)
-
-    @classmethod
-    def load(cls, path: str, spark: SparkSession | None = None) -> "RankerModel":
-        """The model that :meth:`save` wrote; only load files you trust, as they hold code."""
-        spark = spark or SparkSession.active()
-        state, load_fn, args, params = cloudpickle.loads(bytes(spark.read.parquet(path).first()["model"]))
-        return cls(state, load_fn, args).configure(**params)
-
 
 def _example_schema(schema):
     from pyspark.sql import types as T

@@ -15,7 +15,8 @@ from rankloom.operators.combine import combine_by_key
 from rankloom.operators.metrics import auc
 from rankloom.plans.catalog import query, table
 from rankloom.session import materialize, scratch_path
-from rankloom.streaming.feed import feed_batches, read_events, score_stream
+from rankloom.sources.tfrecord import write_tfrecords
+from rankloom.streaming.feed import feed_batches, read_events, read_record_stream, score_stream
 
 DIM = 64
 BIAS = 0.1
@@ -231,12 +232,29 @@ def model_registry(spark, sf_dir):
 # --- user functions ------------------------------------------------------------------------
 
 
-@query("udf_row", "SELECT p_partkey, 'gmv_' || p_name AS key, length(p_name) AS size FROM part")
+def edits(left: str, right: str) -> int:
+    """Insertions, deletions, changes and swaps of neighbours that turn one string into the other (Damerau-Levenshtein)."""
+    far = len(left) + len(right)
+    seen: dict[str, int] = {}  # last row of a character of ``left``
+    cost = [[far] * (len(right) + 2), [far, *range(len(right) + 1)]]
+    for i, a in enumerate(left, 1):
+        row = [far, i]
+        match = 0  # last column of ``a`` in this row
+        for j, b in enumerate(right, 1):
+            swap = cost[seen.get(b, 0)][match] + (i - seen.get(b, 0) - 1) + 1 + (j - match - 1)
+            row.append(min(cost[i][j] + (a != b), row[j] + 1, cost[i][j + 1] + 1, swap))
+            match = j if a == b else match
+        seen[a] = i
+        cost.append(row)
+    return cost[-1][-1]
+
+
+@query("udf_row", "SELECT p_partkey, damerau_levenshtein(p_name, p_brand) AS edits, length(p_name) AS size FROM part")
 def udf_row(spark, sf_dir):
-    """A row function with a declared type, shipped in Arrow batches, next to a built-in."""
-    prefix = F.udf(lambda name: "gmv_" + name, "string", useArrow=True)
+    """A row function that no built-in offers, shipped in Arrow batches, next to a built-in."""
+    distance = F.udf(edits, "bigint", useArrow=True)
     return table(spark, sf_dir, "part").select(
-        "p_partkey", prefix("p_name").alias("key"), F.length("p_name").cast("bigint").alias("size")
+        "p_partkey", distance("p_name", "p_brand").alias("edits"), F.length("p_name").cast("bigint").alias("size")
     )
 
 
@@ -281,7 +299,7 @@ def partition_fn(spark, sf_dir):
 
 def _event_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
-    return read_events(spark, sf_dir, schema, name_glob="events.parquet")
+    return read_events(spark, sf_dir, schema, name_glob="events.parquet", max_files=16)
 
 
 @query("stream_feed_batches", "SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'")
@@ -297,6 +315,23 @@ def stream_feed_batches(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "user_id", "event_type", "value")
 
 
+@query("stream_records", "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'view'")
+def stream_records(spark, sf_dir):
+    """TFRecord files of events, fed in batches of bounded size from a stored list of files."""
+    source, path = scratch_path(spark, "records"), scratch_path(spark, "stream")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    write_tfrecords(events.repartition(6), source)
+    stream = read_record_stream(
+        spark, source, scratch_path(spark, "stream-files"), "event_id bigint, user_id bigint, event_type string", max_files=2
+    )
+    run = feed_batches(stream, path, scratch_path(spark, "stream-state"), lambda rows: rows.filter(F.col("event_type") != "view"), available_now=False)
+    try:
+        run.processAllAvailable()
+    finally:
+        run.stop()
+    return spark.read.parquet(path).select("event_id", "user_id", "event_type")
+
+
 @query("stream_score", "SELECT event_id, round(1 / (1 + exp(-(value / 1e2 - 5e-1))), 6) AS score FROM events")
 def stream_score(spark, sf_dir):
     path = scratch_path(spark, "stream")

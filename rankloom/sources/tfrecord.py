@@ -14,6 +14,7 @@ Nothing passes through the driver but file names and sizes.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -24,7 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    DataSourceStreamReader,
+    InputPartition,
+    WriterCommitMessage,
+)
 
 from rankloom.sources.example_codec import HEAD, TAIL, Ragged, Values, checksums, decode, encode, framed, head, heads_in, masked, padded
 
@@ -262,7 +270,7 @@ FEATURES_SCHEMA = "name string, kind string, most bigint"
 
 class TFRecordSource(DataSource):
     """Options: ``path``, ``binary`` (comma list of bytes features read as binary), ``verify`` (checksums, default
-    true) and ``split``: bytes of a task, 0 to keep files whole.  A file whose messages hold TFRecord files of their
+    true) and ``split``: bytes of a task, 0 to keep files whole; of a stream also ``state``, ``max_files``, ``max_bytes``.  A file whose messages hold TFRecord files of their
     own that are longer than a task must be kept whole."""
 
     @classmethod
@@ -294,6 +302,9 @@ class TFRecordSource(DataSource):
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return _Reader(self.files(), schema, self.options)
 
+    def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
+        return _StreamReader(self, schema, self.options)
+
     def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
         return _Writer(schema, self.options, overwrite)
 
@@ -325,6 +336,91 @@ class _Reader(DataSourceReader):
                     yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
 
+class FileLog:
+    """The files of a stream in the order in which they were taken in, as small files in a shared folder.
+
+    A segment ``begin-end.json`` lists the files of one batch.  It is written
+    before its offset is handed out, so whatever Spark has stored is in the log,
+    and a batch that is run again has the same files.
+    """
+
+    def __init__(self, path: str) -> None:
+        self.system, self.root = _filesystem(path)
+        self.system.create_dir(self.root, recursive=True)
+        self.segments: list[tuple[int, int, str]] = []
+        self.refresh()
+
+    def refresh(self) -> None:
+        from pyarrow import fs
+
+        names = [f.base_name for f in self.system.get_file_info(fs.FileSelector(self.root)) if f.base_name.endswith(".json")]
+        self.segments = sorted((*map(int, n.removesuffix(".json").split("-")), n) for n in names)
+
+    @property
+    def end(self) -> int:
+        return self.segments[-1][1] if self.segments else 0
+
+    def files(self, begin: int, end: int) -> list[tuple[str, int]]:
+        out: list[tuple[str, int]] = []
+        for first, behind, name in self.segments:
+            if first < end and behind > begin:
+                with self.system.open_input_stream(f"{self.root}/{name}") as stream:
+                    listed = json.loads(stream.read())
+                out += [(path, size) for path, size in listed[max(begin - first, 0) : end - first]]
+        return out
+
+    def append(self, files: Sequence[tuple[str, int]]) -> None:
+        name = f"{self.end:012d}-{self.end + len(files):012d}.json"
+        hidden = f"{self.root}/_{uuid.uuid4().hex}"
+        with self.system.open_output_stream(hidden) as stream:
+            stream.write(json.dumps(files).encode())
+        self.system.move(hidden, f"{self.root}/{name}")
+        self.segments.append((self.end, self.end + len(files), name))
+
+
+class _StreamReader(DataSourceStreamReader):
+    """Offsets count the files of a :class:`FileLog`; a batch takes a bounded number of new ones."""
+
+    def __init__(self, source: TFRecordSource, schema: T.StructType, options) -> None:
+        if "state" not in options:
+            raise ValueError("a stream of TFRecords needs the option 'state', a shared folder of its own")
+        self.source, self.batches = source, _Reader([], schema, options)
+        self.state, self.split = options["state"], int(options.get("split", SPLIT_BYTES))
+        self.max_files, self.max_bytes = int(options.get("max_files", 0)), int(options.get("max_bytes", 0))
+        self.log: FileLog | None = None
+        self.taken: set[str] = set()
+
+    def _open(self) -> FileLog:
+        if self.log is None:
+            self.log = FileLog(self.state)
+            self.taken = {path for path, _ in self.log.files(0, self.log.end)}
+        return self.log
+
+    def initialOffset(self) -> dict:
+        return {"files": 0}
+
+    def latestOffset(self) -> dict:
+        log = self._open()
+        new = [f for f in self.source.files() if f[0] not in self.taken]
+        batch: list[tuple[str, int]] = []
+        for path, size in new:
+            full = self.max_files and len(batch) >= self.max_files
+            heavy = self.max_bytes and batch and sum(s for _, s in batch) + size > self.max_bytes
+            if full or heavy:
+                break
+            batch.append((path, size))
+        if batch:
+            log.append(batch)
+            self.taken.update(path for path, _ in batch)
+        return {"files": log.end}
+
+    def partitions(self, start: dict, end: dict):
+        return [_Ranges(task) for task in cut(self._open().files(start["files"], end["files"]), self.split)]
+
+    def read(self, partition: _Ranges):
+        yield from self.batches.read(partition)
+
+
 class _Writer(DataSourceArrowWriter):
     """One file per task under a temporary name; the commit renames them."""
 

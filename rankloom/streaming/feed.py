@@ -7,12 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankloom.sources.tfrecord import qualified, register
 
-def read_events(spark: SparkSession, directory: str, schema, name_glob: str | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    return reader.parquet(directory)
+
+def read_events(
+    spark: SparkSession,
+    directory: str,
+    schema,
+    name_glob: str | None = None,
+    max_files: int | None = None,
+    max_bytes: int | str | None = None,
+) -> DataFrame:
+    """Parquet files as a stream; a micro-batch takes at most ``max_files``, or ``max_bytes`` (one file at least).
+
+    With ``available_now`` a backlog is worked off in batches of that size.
+    """
+    if max_files and max_bytes:
+        raise ValueError("a batch is bounded by files or by bytes, not by both")
+    bounds = {"pathGlobFilter": name_glob, "maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
+    return spark.readStream.schema(schema).options(**{k: v for k, v in bounds.items() if v}).parquet(directory)
+
+
+def read_record_stream(
+    spark: SparkSession, directory: str, state: str, schema, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """TFRecord files as a stream; ``state`` is a shared folder where the files of every batch are written down.
+
+    A batch takes at most ``max_files`` new files, and files up to ``max_bytes``
+    together (one at least).  Use it with a time trigger: ``available_now``
+    ends after one batch.
+    """
+    register(spark)
+    bounds = {"max_files": max_files, "max_bytes": max_bytes}
+    reader = spark.readStream.format("tfrecord").schema(schema).option("state", qualified(spark, state))
+    return reader.options(**{k: v for k, v in bounds.items() if v}).load(qualified(spark, directory))
 
 
 def feed_batches(
