@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.operators.skew import BROADCAST_ROWS, broadcast_if_small, fits_broadcast, hot_keys
-from rankloom.session import materialize
+from rankloom.session import bucketed, materialize
 
 HOT_ROWS = 5_000_000
 
@@ -70,13 +70,27 @@ def dimension_join(
     return result
 
 
-def enrich_pairs(pairs: DataFrame, profile: DataFrame, key: str = "pid", **sizes) -> DataFrame:
-    """Join a pair table twice with the same profile; both sides must exist."""
+def enrich_pairs(
+    pairs: DataFrame,
+    profile: DataFrame,
+    key: str = "pid",
+    max_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
+    buckets: int | None = None,
+) -> DataFrame:
+    """Join a pair table twice with the same profile; both sides must exist.
+
+    A profile that is too large to be sent to the tasks is written once in
+    buckets of its key, and both joins read it from there: its columns are not
+    shuffled, only the pairs are.
+    """
     values = [c for c in profile.columns if c != key]
+    fits = fits_broadcast(profile, max_rows)
+    stored = profile if fits else bucketed(profile.filter(F.col(key).isNotNull()), key, buckets)
     result = pairs
     for side in ("item2", "item1"):
-        tagged = profile.select(F.col(key), *[F.col(v).alias(f"{v}{side[-1]}") for v in values])
-        result = dimension_join(result, tagged, [(side, key)], how="inner", **sizes)
+        tagged = stored.select(F.col(key), *[F.col(v).alias(f"{v}{side[-1]}") for v in values])
+        result = dimension_join(result, tagged, [(side, key)], "inner", max_rows, hot_rows, fits)
     return result
 
 

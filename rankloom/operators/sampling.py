@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.hashing import HASH_SPACE, hash32, hash_order
@@ -50,8 +50,8 @@ def label_counts(df: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
-def downsample_negatives(df: DataFrame, label: str, row_id: Sequence[str], seed: int = 777) -> DataFrame:
-    """All positives plus negatives kept with probability positives / negatives.
+def kept_by_downsampling(df: DataFrame, label: str, row_id: Sequence[str], seed: int = 777) -> Column:
+    """Whether a row of ``df`` stays: all positives, and negatives with probability positives / negatives.
 
     Raises when positives are not the minority.
     """
@@ -60,8 +60,12 @@ def downsample_negatives(df: DataFrame, label: str, row_id: Sequence[str], seed:
     limit = counts.select(
         (ratio_below_one(F.col("positives"), F.col("negatives")) * F.lit(float(HASH_SPACE))).alias("limit")
     ).scalar()
-    # Both sides in one scan instead of a union of two.
-    return df.filter((F.col(label) == 1) | ((F.col(label) == 0) & (hash32(seed, *row_id) < limit)))
+    return (F.col(label) == 1) | ((F.col(label) == 0) & (hash32(seed, *row_id) < limit))
+
+
+def downsample_negatives(df: DataFrame, label: str, row_id: Sequence[str], seed: int = 777) -> DataFrame:
+    """The rows that :func:`kept_by_downsampling` keeps, in one scan instead of a union of two."""
+    return df.filter(kept_by_downsampling(df, label, row_id, seed))
 
 
 def split_fold(df: DataFrame, key: Sequence[str], folds: int = 10, seed: int = 777, out: str = "fold") -> DataFrame:

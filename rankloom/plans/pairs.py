@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from rankloom.operators.joins import enrich_pairs
 from rankloom.operators.ordering import top_k_per_key
-from rankloom.operators.sampling import downsample_negatives
+from rankloom.operators.sampling import kept_by_downsampling
+from rankloom.session import materialize
 from rankloom.sources.sinks import recommendation_json
 
 
-def pair_training_set(labels: DataFrame, profile: DataFrame, row_id: Sequence[str], key: str = "pid", seed: int = 777):
-    """(training, evaluation): balanced sample and full set, both enriched."""
-    balanced = downsample_negatives(labels, "label", row_id, seed)
-    return enrich_pairs(balanced, profile, key), enrich_pairs(labels, profile, key)
+def pair_training_set(labels: DataFrame, profile: DataFrame, row_id: Sequence[str], key: str = "pid", seed: int = 777, **sizes):
+    """(training, evaluation): balanced sample and full set, both enriched.
+
+    All pairs are enriched once and written; the sample is a flag of them.
+    """
+    sampled = F.coalesce(kept_by_downsampling(labels, "label", row_id, seed), F.lit(False))
+    enriched = materialize(enrich_pairs(labels.withColumn("_sampled", sampled), profile, key, **sizes))
+    return enriched.filter("_sampled").drop("_sampled"), enriched.drop("_sampled")
 
 
 def pair_inference_lines(pairs: DataFrame, profile: DataFrame, key: str = "pid", features: str = "features") -> DataFrame:

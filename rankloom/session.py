@@ -73,14 +73,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
-# The scopes open in this context; another thread or task has its own.
-_open_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("open_scopes", default=())
+# The scopes open in this context (paths, and tables of the catalog); another thread or task has its own.
+_open_scopes: ContextVar[tuple[tuple[list[str], list[str]], ...]] = ContextVar("open_scopes", default=())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh location below the shared folder."""
     path = f"{shared_dir(spark).rstrip('/')}/rankloom-{name}-{uuid.uuid4().hex}"
-    for paths in _open_scopes.get():
+    for paths, _ in _open_scopes.get():
         paths.append(path)
     return path
 
@@ -94,11 +94,14 @@ def scratch_scope(spark: SparkSession):
     that opened them: a job in another thread keeps its own tables.
     """
     made: list[str] = []
-    token = _open_scopes.set((*_open_scopes.get(), made))
+    tables: list[str] = []
+    token = _open_scopes.set((*_open_scopes.get(), (made, tables)))
     try:
         yield
     finally:
         _open_scopes.reset(token)
+        for table in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         for path in made:
             location = spark._jvm.org.apache.hadoop.fs.Path(path)
             location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
@@ -116,3 +119,21 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
+    """``df`` written in buckets of ``key``, sorted inside them, and read back.
+
+    Joins on the key read the buckets as they lie: this side is not shuffled,
+    however often it is joined.  ``buckets`` defaults to the number of shuffle
+    partitions.  The catalog holds an external table until its scope ends.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name, path = f"rankloom_{uuid.uuid4().hex}", scratch_path(spark, "buckets")
+    for _, tables in _open_scopes.get():
+        tables.append(name)
+    # One task per bucket, so a bucket is one file.
+    placed = df.repartition(buckets, df[key]).sortWithinPartitions(df[key])
+    placed.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
