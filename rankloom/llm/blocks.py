@@ -16,20 +16,27 @@ from pyspark.sql import functions as F
 CHUNK_ROWS = 1024
 
 
-def in_blocks(rows: DataFrame, group: str, spread: Column, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def in_blocks(
+    rows: DataFrame, group: str, spread: Column, chunk_rows: int = CHUNK_ROWS, *, size: str | None = None, limit: int = 0
+) -> DataFrame:
     """``rows`` (with a bigint column ``group``) dealt to blocks: adds ``block`` and ``chunk``.
 
     A block is ``array(group, i, j)`` with i <= j; rows of chunk i and j meet
     there, and ``chunk`` tells them apart.  Groups of one row are left out.
+    With ``size``, a column of bytes, chunks also hold about ``limit`` of them.
     Blocks are contiguous and ordered within the result's partitions.
     """
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    total = F.sum(size) if size else F.lit(0).cast("bigint")
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), total.alias("_s")).filter("_n > 1")
     sized = rows.join(sizes, group)
     chunks = F.ceil(F.col("_n") / chunk_rows)
+    if size:
+        # No more chunks than rows: a large row is a chunk by itself.
+        chunks = F.least(F.greatest(chunks, F.ceil(F.col("_s") / limit)), F.col("_n"))
     sized = sized.withColumn("_k", chunks).withColumn("chunk", F.pmod(F.xxhash64(spread, F.lit(1)), F.col("_k")).cast("bigint"))
     dealt = sized.withColumn("_o", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_k") - 1)))
     block = F.array(F.col(group), F.least("chunk", "_o"), F.greatest("chunk", "_o"))
-    dealt = dealt.withColumn("block", block).drop("_n", "_k", "_o")
+    dealt = dealt.withColumn("block", block).drop("_n", "_s", "_k", "_o")
     return dealt.repartition("block").sortWithinPartitions("block", "chunk")
 
 
