@@ -1,26 +1,29 @@
 """Embedding near-duplicates: spherical k-means cells and blocked cosine products.
 
 Vectors with one label that are equal number by number are one class, so copies
-are never compared.  Classes are assigned to the cell of the nearest centroid
-and to every other cell whose centroid is nearly as near (``margin``), which
-finds the pairs that a cell border separates.  Within a label and cell, blocks
-of bounded size are compared by a matrix product in double precision; a block
-returns counts and a spanning forest, not pairs.  A pair that meets in several
-cells is counted in the one with the smallest number.
-
-Centroids are fitted on a bounded sample and are ``max_cells`` rows at most;
-every vector is indexed.  The margin makes recall a measured quantity: the
-tests hold it against brute force.
+are never compared.  Classes are assigned to the ``PROBES`` cells with the
+nearest centroids, so that most pairs that a border separates meet in a cell
+that is near to both; no vector is in more cells, whatever the data.  Beyond
+``MAX_CELLS`` cells each of these is divided in turn by centroids of its own,
+so the rows of a cell do not grow with the table.  Within a label and cell,
+blocks of bounded size are compared by a matrix product in double precision; a
+block returns counts and a spanning forest, not pairs.  A pair that meets in
+several cells is counted in the one with the smallest number.
+
+Centroids are fitted on bounded samples; every vector is indexed.  The number
+of probes makes recall a measured quantity: the tests hold it against brute
+force.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,9 +34,14 @@ from rankloom.session import materialize
 SAMPLE_ROWS = 8192
 MAX_CELLS = 1024
 CELL_ROWS = 512
-MARGIN = 0.12
+PROBES = 3
+# Cells that a cell is divided into, sampled rows for each of them, and numbers of all centroids of that level at most.
+MAX_FINE = 64
+FINE_SAMPLE = 32
+FINE_NUMBERS = 1 << 23
 STEPS = 8
 PAIRS_AT_ONCE = 1 << 20
+ROWS_AT_ONCE = 2048
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -55,29 +63,90 @@ def spherical_kmeans(rows: np.ndarray, k: int, steps: int = STEPS, seed: int = 5
     return centres
 
 
-def fit_cells(classes: DataFrame, count: int, sample_rows: int = SAMPLE_ROWS, max_cells: int = MAX_CELLS) -> dict[int, np.ndarray]:
-    """Centroids by vector length, from the ``sample_rows`` classes with the smallest hash of their vector."""
-    sample = classes.orderBy(F.xxhash64("vector", F.lit(3)), "node").select("vector").limit(sample_rows).collect()
-    cells = max(1, min(max_cells, math.ceil(count / CELL_ROWS)))
+@dataclass(frozen=True)
+class Cells:
+    """Centroids by vector length; ``fine`` holds those inside each of them (number by coarse cell), where there are any."""
+
+    coarse: dict[int, np.ndarray]
+    fine: dict[tuple[int, int], np.ndarray]
+
+    def nearest(self, unit: np.ndarray, probes: int) -> list[list[int]]:
+        """The sorted cells of unit rows of one length."""
+        size = unit.shape[1]
+        centres = self.coarse.get(size)
+        if centres is None:
+            return [[0]] * len(unit)
+        top = _largest(unit @ centres.T, probes)
+        if not self.fine:
+            return np.sort(top, axis=1).tolist()
+        inside = max(len(f) for f in self.fine.values())
+        near = np.full((len(unit), top.shape[1], inside), -np.inf)
+        for c in np.unique(top):
+            row, at = np.nonzero(top == c)
+            centroids = self.fine.get((size, int(c)), centres[c : c + 1])
+            near[row, at, : len(centroids)] = unit[row] @ centroids.T
+        best = _largest(near.reshape(len(unit), -1), probes)
+        number = np.take_along_axis(top, best // inside, 1) * inside + best % inside
+        known = np.isfinite(np.take_along_axis(near.reshape(len(unit), -1), best, 1))
+        return [sorted(n[k].tolist()) for n, k in zip(number, known)]
+
+
+def _largest(values: np.ndarray, count: int) -> np.ndarray:
+    """Columns of the largest values of each row."""
+    if values.shape[1] <= count:
+        return np.broadcast_to(np.arange(values.shape[1]), values.shape)
+    return np.argpartition(-values, count - 1, axis=1)[:, :count]
+
+
+def _hashed() -> Column:
+    return F.xxhash64("vector", F.lit(3))
+
+
+def fit_cells(
+    classes: DataFrame, count: int, sample_rows: int = SAMPLE_ROWS, max_cells: int = MAX_CELLS, cell_rows: int = CELL_ROWS
+) -> Cells:
+    """Centroids from the ``sample_rows`` classes with the smallest hash of their vector; for more than ``max_cells``
+    cells each one is divided by centroids from the ``FINE_SAMPLE`` classes for each with the smallest hash in it."""
+    sample = classes.orderBy(_hashed(), "node").select("vector").limit(sample_rows).collect()
+    wanted = max(1, math.ceil(count / cell_rows))
     by_size: dict[int, list] = {}
     for row in sample:
         by_size.setdefault(len(row["vector"]), []).append(row["vector"])
-    return {size: spherical_kmeans(_unit(np.array(rows, float)), cells) for size, rows in by_size.items()}
+    coarse = {size: spherical_kmeans(_unit(np.array(rows, float)), min(max_cells, wanted)) for size, rows in by_size.items()}
+    widest = sum(len(c) * size for size, c in coarse.items())
+    inside = min(MAX_FINE, math.ceil(wanted / max_cells), FINE_NUMBERS // max(1, widest))
+    if inside < 2:
+        return Cells(coarse, {})
+    only = Cells(coarse, {})
+    schema = T.StructType([*classes.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))])
+    placed = classes.mapInArrow(lambda batches: _assign(batches, only, 1), schema)
+    placed = placed.select("vector", F.size("vector").alias("size"), F.get("cells", F.lit(0)).alias("cell"), _hashed().alias("h"))
+    few = Window.partitionBy("size", "cell").orderBy("h", "vector")
+    few = placed.withColumn("r", F.row_number().over(few)).filter(F.col("r") <= inside * FINE_SAMPLE).select("size", "cell", "vector")
+
+    def divided(key: tuple, rows: pa.Table) -> pa.Table:
+        vectors = _unit(rows.column("vector").combine_chunks().flatten().to_numpy().astype(float).reshape(rows.num_rows, -1))
+        centroids = spherical_kmeans(vectors, inside)
+        place = {name: pa.array([k.as_py()], pa.int32()) for name, k in zip(("size", "cell"), key)}
+        return pa.table({**place, "centroids": [centroids.reshape(-1).tolist()]})
+
+    # One row per coarse cell, FINE_NUMBERS numbers in all.
+    found = few.groupBy("size", "cell").applyInArrow(divided, "size int, cell int, centroids array<double>").collect()
+    return Cells(coarse, {(r["size"], r["cell"]): np.array(r["centroids"]).reshape(-1, r["size"]) for r in found})
 
 
-def _assign(batches: Iterator[pa.RecordBatch], centres: dict[int, np.ndarray], margin: float) -> Iterator[pa.RecordBatch]:
+def _assign(batches: Iterator[pa.RecordBatch], cells: Cells, probes: int) -> Iterator[pa.RecordBatch]:
     """(node, label, weight, vector) to the same with the sorted list of cells."""
-    for batch in batches:
-        vectors = batch.column(3).to_pylist()
-        cells: list[list[int]] = [[0]] * len(vectors)
-        for size in {len(v) for v in vectors}:
-            where = [i for i, v in enumerate(vectors) if len(v) == size]
-            if size in centres:
-                near = _unit(np.array([vectors[i] for i in where], float)) @ centres[size].T
-                inside = near >= near.max(axis=1, keepdims=True) - margin
-                for i, row in zip(where, inside):
-                    cells[i] = np.flatnonzero(row).tolist()
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], ["node", "label", "weight", "vector", "cells"])
+    for whole in batches:
+        for begin in range(0, whole.num_rows, ROWS_AT_ONCE):
+            batch = whole.slice(begin, ROWS_AT_ONCE)
+            vectors = batch.column(3).to_pylist()
+            found: list[list[int]] = [[0]] * len(vectors)
+            for size in {len(v) for v in vectors}:
+                where = [i for i, v in enumerate(vectors) if len(v) == size]
+                for i, listed in zip(where, cells.nearest(_unit(np.array([vectors[i] for i in where], float)), probes)):
+                    found[i] = listed
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], ["node", "label", "weight", "vector", "cells"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -134,7 +203,9 @@ def near_vectors(
     vector_col: str = "embedding",
     label_col: str = "label",
     least: float = 0.93,
-    margin: float = MARGIN,
+    probes: int = PROBES,
+    max_cells: int = MAX_CELLS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """``id_col, n_links, component_id, kept``, one row per input row.
 
@@ -154,9 +225,9 @@ def near_vectors(
         source.filter("usable").groupBy("label", "vector").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("weight")).select("node", "label", "weight", "vector")
     )
     count = classes.count()
-    centres = fit_cells(classes, count)
+    cells = fit_cells(classes, count, max_cells=max_cells, cell_rows=cell_rows)
     schema = T.StructType([*classes.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))])
-    celled = classes.mapInArrow(lambda batches: _assign(batches, centres, margin), schema)
+    celled = classes.mapInArrow(lambda batches: _assign(batches, cells, probes), schema)
     placed = celled.withColumn("cell", F.explode("cells")).withColumn("place", F.xxhash64("label", F.size("vector"), "cell"))
     blocks = in_blocks(placed, "place", F.col("node"))
     found = materialize(

@@ -6,7 +6,9 @@ import re
 import numpy as np
 import pytest
 
-from rankloom.llm import blocks
+from pyspark.sql import functions as F
+
+from rankloom.llm import blocks, embedding_dedup
 from rankloom.llm.components import components, smallest_labels
 from rankloom.llm.embedding_dedup import near_vectors
 from rankloom.llm.simhash import fingerprint, near_duplicates
@@ -125,6 +127,34 @@ def test_vectors(spark, monkeypatch, chunk):
     assert len(got) == len(rows + odd)
 
 
+def spread_vectors(n, width, seed=0):
+    """Unit vectors of mean cosine 0.5, as text embeddings have, and copies of some around the threshold."""
+    rng = np.random.default_rng(seed)
+    base, far = rng.normal(size=width), rng.normal(size=(n, width))
+    near = n // 3
+    plain = far + base
+    moved = plain[:near] + rng.normal(size=(near, width)) * np.linspace(0.05, 0.6, near)[:, None]
+    unit = np.concatenate([plain, moved])
+    return unit / np.linalg.norm(unit, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("max_cells,cell_rows", [(1024, 4), (16, 8), (4, 4)])
+def test_recall_and_replication_with_many_cells(spark, max_cells, cell_rows):
+    """One level of 1,024 cells, and two levels; every vector is in three cells at most."""
+    unit = spread_vectors(3000, 64)
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(unit)], "vec_id bigint, embedding array<double>, label int").repartition(4)
+    found = {r["vec_id"]: r["n_links"] for r in near_vectors(table, max_cells=max_cells, cell_rows=cell_rows).collect()}
+    linked = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert all(found[i] <= n for i, n in enumerate(linked.tolist()))
+    assert sum(found.values()) >= 0.9 * linked.sum() > 500
+    classes = table.select(F.col("vec_id").alias("node"), "label", F.lit(1).cast("bigint").alias("weight"), F.col("embedding").alias("vector"))
+    cells = embedding_dedup.fit_cells(classes, len(unit), max_cells=max_cells, cell_rows=cell_rows)
+    assert bool(cells.fine) == (max_cells < 1024)
+    listed = cells.nearest(unit, embedding_dedup.PROBES)
+    assert max(map(len, listed)) <= 3 and all(x == sorted(set(x)) for x in listed)
+    assert len({c for x in listed for c in x}) > min(max_cells, len(unit) // cell_rows) * (1 if max_cells == 1024 else 2) // 2
+
+
 def test_vectors_of_nothing(spark):
     table = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert near_vectors(table).count() == 0
