@@ -44,8 +44,9 @@ COVERED = 0.95
 SLACK = 1e-12
 NUMBERS_AT_ONCE = 1 << 19
 
-STATE = "near array<tinyint>, lower array<float>, upper array<float>, outer array<float>, sums array<bigint>, used array<bigint>"
-NAMES = ("id", "label", "vector", "near", "lower", "upper", "outer", "sums", "used")
+# Vectors and bounds are rows of numbers of one width: kept as bytes, they pass through Spark without a look at each number.
+STATE = "vector binary, near binary, bounds binary, sums array<bigint>, used array<bigint>"
+NAMES = ("id", "label", "vector", "near", "bounds", "sums", "used")
 
 
 @dataclass(frozen=True)
@@ -142,13 +143,28 @@ def next_size(used: np.ndarray, b: int, entries: int) -> int:
 
 
 def _ints(column: pa.Array, width: int) -> np.ndarray:
+    """Lists of whole numbers as a matrix."""
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
-def _lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+def _unpacked(column: pa.Array, kind: np.dtype, width: int) -> np.ndarray:
+    """Rows of bytes as a matrix of numbers."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return flat.view(kind).reshape(len(column), width)
+
+
+def _packed(matrix: np.ndarray) -> pa.Array:
+    n, width = matrix.shape
+    ends = np.arange(n + 1, dtype=np.int32) * np.int32(width * matrix.itemsize)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(matrix))])
+
+
+def _lists(values: np.ndarray) -> pa.Array:
     """Rows of a matrix as lists."""
     n, width = values.shape
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(values.reshape(-1), kind))
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(values.reshape(-1), pa.int64()))
 
 
 def _slices(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -164,23 +180,28 @@ class Round:
     """What a task needs: the codebooks, how far entries moved, and b by part before and in this round."""
 
     books: np.ndarray  # (parts, entries, d)
-    moves: np.ndarray | None  # (parts, entries); None: all distances
+    moves: np.ndarray | None  # (parts, entries); None: the first round, vectors are lists and all distances are computed
     old_b: tuple[int, ...]
     b: tuple[int, ...]
+    kind: np.dtype  # of the components in bytes
 
 
 def _pass(batches: Iterator[pa.RecordBatch], now: Round) -> Iterator[pa.RecordBatch]:
-    """(id, label, vector[, state]) to the same with new state; at the end one row of sums and uses."""
+    """(id, label, vector[, near, bounds]) to the same with new state; at the end one row of sums and uses."""
     parts, k, d = now.books.shape
     sums = np.zeros((parts, k, d + 1), np.int64)
     used = np.zeros((parts, k + 2), np.int64)
     kinds = None
+    old = sum(now.old_b)
     for batch in _slices(batches, parts * d):
-        rows = _ints(batch.column(2), parts * d).astype(np.int64)
+        if now.moves is None:
+            rows = _ints(batch.column(2), parts * d)
+        else:
+            rows = _unpacked(batch.column(2), now.kind, parts * d)
+            near = _unpacked(batch.column(3), np.dtype(np.int8), old)
+            bounds = _unpacked(batch.column(4), np.dtype(np.float32), old + parts)
+        rows = rows.astype(np.int64)
         held: list[Bounds] = []
-        if now.moves is not None:
-            near, lower = _ints(batch.column(3), sum(now.old_b)), _ints(batch.column(4), sum(now.old_b) - parts)
-            upper, outer = _ints(batch.column(5), parts), _ints(batch.column(6), parts)
         at = 0
         for p in range(parts):
             mine = rows[:, p * d : (p + 1) * d]
@@ -188,25 +209,26 @@ def _pass(batches: Iterator[pa.RecordBatch], now: Round) -> Iterator[pa.RecordBa
                 done = assign_all(mine, now.books[p], now.b[p])
             else:
                 b = now.old_b[p]
-                before = Bounds(near[:, at : at + b], lower[:, at - p : at - p + b - 1], upper[:, p], outer[:, p])
+                # Lower bounds of a part, its upper and its outer bound follow each other.
+                of = bounds[:, at + p : at + p + b + 1]
+                before = Bounds(near[:, at : at + b], of[:, : b - 1], of[:, b - 1], of[:, b])
                 at += b
                 done = reassign(mine, now.books[p], moved(shrink(before, now.b[p]), now.moves[p]), used[p])
             held.append(done)
             code = done.near[:, 0].astype(int)
             np.add.at(sums[p], code, np.concatenate([mine, np.ones((len(mine), 1), np.int64)], 1))
         state = [
-            _lists(np.concatenate([h.near for h in held], 1), pa.int8()),
-            _lists(np.concatenate([h.lower for h in held], 1), pa.float32()),
-            _lists(np.stack([h.upper for h in held], 1), pa.float32()),
-            _lists(np.stack([h.outer for h in held], 1), pa.float32()),
+            _packed(rows.astype(now.kind)) if now.moves is None else batch.column(2),
+            _packed(np.concatenate([h.near for h in held], 1)),
+            _packed(np.concatenate([x for h in held for x in (h.lower, h.upper[:, None], h.outer[:, None])], 1)),
         ]
         empty = [pa.nulls(batch.num_rows, pa.list_(pa.int64()))] * 2
-        done = pa.RecordBatch.from_arrays([*batch.columns[:3], *state, *empty], NAMES)
+        done = pa.RecordBatch.from_arrays([*batch.columns[:2], *state, *empty], NAMES)
         kinds = done.schema.types
         yield done
     if kinds:
-        nothing = [pa.nulls(1, kind) for kind in kinds[:7]]
-        yield pa.RecordBatch.from_arrays([*nothing, _lists(sums.reshape(1, -1), pa.int64()), _lists(used.reshape(1, -1), pa.int64())], NAMES)
+        nothing = [pa.nulls(1, kind) for kind in kinds[:5]]
+        yield pa.RecordBatch.from_arrays([*nothing, _lists(sums.reshape(1, -1)), _lists(used.reshape(1, -1))], NAMES)
 
 
 def _total(found: DataFrame, column: str, length: int) -> np.ndarray:
@@ -249,6 +271,7 @@ class Codes:
     books: np.ndarray
     sizes: list[tuple[int, ...]]
     asked: list[int]
+    kind: np.dtype
 
     @property
     def sha256(self) -> str:
@@ -279,10 +302,11 @@ def learn_codes(rows: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
     k = len(first)
     b = (max(2, round(k * FIRST_SHARE)) if k > 1 else 1,) * parts
     kind = rows.schema["label"].dataType.simpleString()
-    schema = f"id bigint, label {kind}, vector array<bigint>, {STATE}"
-    now, held, sizes, asked = Round(books, None, b, b), rows, [], []
+    schema = f"id bigint, label {kind}, {STATE}"
+    width_of = np.dtype(next(t for t in ("<i2", "<i4", "<i8") if seen["big"] <= np.iinfo(t).max))
+    now, held, sizes, asked = Round(books, None, b, b, width_of), rows, [], []
     for turn in range(rounds + 1):
-        source = held.select("id", "label", "vector", "near", "lower", "upper", "outer") if turn else held
+        source = held.select("id", "label", "vector", "near", "bounds") if turn else held
         found, onward = _write(source.mapInArrow(lambda batches, now=now: _pass(batches, now), schema))
         _forget(spark, path)
         path = onward
@@ -297,17 +321,17 @@ def learn_codes(rows: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
         new = np.where(count > 0, np.floor_divide(sums[:, :, :-1], np.maximum(count, 1)), books)
         moves = np.sqrt(((new - books).astype(float) ** 2).sum(axis=2)) * (1 + SLACK)
         b = tuple(next_size(used[p], now.b[p], k) if turn else now.b[p] for p in range(parts)) if k > 1 else now.b
-        now, books = Round(new, moves, now.b, b), new
-    return Codes(held, path, books, sizes, asked)
+        now, books = Round(new, moves, now.b, b, width_of), new
+    return Codes(held, path, books, sizes, asked, width_of)
 
 
-def _coded(batches: Iterator[pa.RecordBatch], books: np.ndarray, b: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+def _coded(batches: Iterator[pa.RecordBatch], books: np.ndarray, b: tuple[int, ...], kind: np.dtype) -> Iterator[pa.RecordBatch]:
     """(id, label, vector, near) to (id, label, code, error)."""
     parts, _, d = books.shape
     starts = np.cumsum([0, *b[:-1]])
     for batch in _slices(batches, parts * d):
-        rows = _ints(batch.column(2), parts * d).astype(np.int64)
-        codes = _ints(batch.column(3), sum(b))[:, starts].astype(int)
+        rows = _unpacked(batch.column(2), kind, parts * d).astype(np.int64)
+        codes = _unpacked(batch.column(3), np.dtype(np.int8), sum(b))[:, starts].astype(int)
         error = np.zeros(len(rows), np.int64)
         for p in range(parts):
             error += squared(rows[:, p * d : (p + 1) * d], books[p][codes[:, p], None])[:, 0]
@@ -340,9 +364,9 @@ def compress(
     kind = vectors.select(F.col(f"`{label_col}`")).schema[0].dataType.simpleString()
     if done is None:
         return spark.createDataFrame([], f"`{id_col}` bigint, code string, error bigint, label_error bigint, codebooks_sha256 string")
-    books, b = done.books, done.sizes[-1]
+    books, b, width = done.books, done.sizes[-1], done.kind
     coded = done.rows.select("id", "label", "vector", "near").mapInArrow(
-        lambda batches: _coded(batches, books, b), f"id bigint, label {kind}, code string, error bigint"
+        lambda batches: _coded(batches, books, b, width), f"id bigint, label {kind}, code string, error bigint"
     )
     coded = materialize(coded)
     _forget(spark, done.path)
