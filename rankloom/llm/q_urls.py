@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rankloom.llm.registry import query, table
-from rankloom.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls, labelled_by_rules, train_judge
+from rankloom.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls, labelled_urls, train_judge
 
 # Given with the contract.
 RULES = (
@@ -19,7 +19,5 @@ RULES = (
 
 @query("op5_url_filter")
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules first; the model, trained on a bounded sample of what the rules decide, judges the rest."""
-    pages = table(spark, sf_dir, "pages")
-    judge = train_judge(labelled_by_rules(pages, RULES))
-    return judge_urls(pages, RULES, judge)
+    """Rules first; the model, trained on the small labelled table, judges the rest."""
+    return judge_urls(table(spark, sf_dir, "pages"), RULES, train_judge(labelled_urls(spark)))

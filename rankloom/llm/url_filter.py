@@ -1,5 +1,8 @@
 """URL rules, and logistic regression on character n-grams for the rest.
 
+The regression learns from a small labelled table of URLs that are made of
+words people have judged (``labelled_urls``), not from the rules or the pages.
+
 Everything is DataFrame functions and Spark ML, row by row without a shuffle;
 only the small labelled table is gathered for training.
 """
@@ -11,9 +14,30 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Words of hosts that were judged by hand, and the places they are put into.  Frames, endings and most
+# paths are the same for both labels, so that only the words tell them apart.
+BLOCKED_WORDS = """casino poker jackpot roulette slots betting bets bookmaker lottery bingo pills viagra cialis pharmacy steroids
+ slimming adult porn xxx sexcam escort hookup nude erotic fetish ads adserver tracker track popunder clickbait banner spam
+ malware phishing keygen crack warez torrent pirated cheats payday loans forex bitcoin-doubler giveaway sweepstake
+ replica counterfeit fake-watches free-money getrich cheap win-big farm-links linkfarm doorway scam"""
+PLAIN_WORDS = """news blog garden school library museum recipes kitchen weather travel hotel railway airport university college
+ science history music guitar theatre cinema books poetry letters painting gallery photo nature forest river mountain
+ animals birds horses dogs cats health clinic doctor hospital family children parents teacher student football tennis
+ cycling running swimming sailing city town village council police court law bank market shop bakery coffee tea wine
+ farmers bread cheese fish fruit flowers house building furniture paper print engine car bicycle train computer software
+ code data network phone radio energy solar water wind stone wood metal glass wool fashion shoes watches clock art
+ craft club church choir festival holiday island harbour bridge street square park tower castle winter summer spring"""
+# Names that mean nothing, as most hosts have: three of these one after the other.
+SYLLABLES = "th er on ti an re in st ha ed en to al or le ba mo ri sa ku ne ly vo di ga"
+NAMES = 220
+FRAMES = "{w}.{t} www.{w}.{t} {f}-{w}.{t} {w}-{f}.example.{t} blog.{w}{f}.{t} m.{w}-{f}.example.{t}"
+FILLERS = "my the our day city world home one best online top"
+ENDINGS = "com net org info de fr es"
+PATHS = "/ /en/{n} /fr/{n}.html /de/{n}/ /es/{n} /index.html /en/{n}/"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
 SIZES = (2, 3, 4)
@@ -139,6 +163,41 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], judge: UrlJudge, id_col:
     return scored.select(F.col("id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), "score")
 
 
+def labelled_urls(spark: SparkSession, each: int = 5) -> DataFrame:
+    """The labelled table ``word, host, path, verdict``: every word in ``each`` places, below 2,000 rows.
+
+    A name without a meaning is allowed, since most hosts are ordinary and have one.
+    """
+
+    def listed(text: str) -> Column:
+        return F.array(*[F.lit(x) for x in text.split()])
+
+    def pick(text: str, at: Column) -> Column:
+        return F.get(listed(text), F.pmod(at, F.lit(len(text.split()))).cast("int"))
+
+    number = F.col("i") * each + F.col("k")
+    row = spark.range(1)
+    blocked = row.select(F.posexplode(listed(BLOCKED_WORDS)).alias("i", "word"), F.lit(BLOCK).alias("verdict"))
+    plain = row.select(F.posexplode(listed(PLAIN_WORDS)).alias("i", "word"), F.lit(ALLOW).alias("verdict"))
+    i = F.col("id")
+    name = F.concat(pick(SYLLABLES, i * 7), pick(SYLLABLES, F.floor(i / 3) * 5 + 1), pick(SYLLABLES, i * 11 + 2))
+    names = spark.range(NAMES).select(i.cast("int").alias("i"), name.alias("word"), F.lit(ALLOW).alias("verdict"))
+    words = blocked.unionByName(plain).unionByName(names)
+    places = words.select("*", F.explode(F.sequence(F.lit(0), F.lit(each - 1))).alias("k"))
+    host, path = pick(FRAMES, number), pick(PATHS, F.floor(number / 2) * 3 + F.col("k"))
+    for mark, value in (("{w}", F.col("word")), ("{f}", pick(FILLERS, number * 3 + 1)), ("{t}", pick(ENDINGS, number * 2 + F.floor(number / 7)))):
+        host = F.replace(host, F.lit(mark), value)
+    path = F.replace(path, F.lit("{n}"), F.pmod(number * 37, F.lit(1000)).cast("string"))
+    return places.select("word", host.alias("host"), path.alias("path"), "verdict")
+
+
+def precision_recall(judge: UrlJudge, labelled: DataFrame) -> tuple[float, float]:
+    """Of what the judge blocks in ``host, path, verdict``: the right share, and the share of all that are to be blocked."""
+    said, meant = F.col("score") >= 0.5, F.col("verdict") == BLOCK
+    r = judge.score(labelled).agg(F.count_if(said & meant).alias("hit"), F.count_if(said).alias("said"), F.count_if(meant).alias("meant")).first()
+    return r["hit"] / max(1, r["said"]), r["hit"] / max(1, r["meant"])
+
+
 def labelled_by_rules(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url") -> DataFrame:
     """A labelled URL table from the pages that a rule decides: ``host, path, verdict``."""
     url = F.col(f"`{url_col}`")
