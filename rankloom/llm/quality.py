@@ -43,6 +43,8 @@ HELD_GRAMS = 1_000_000
 SCORED_AT_ONCE = 1 << 18
 # Bins of the logarithm of the perplexity, from which quantiles are read.
 BINS = 1000
+# Logarithms that are summed over a shuffle are whole numbers of this part of one.
+LOG_UNIT = 1 << 32
 # With so many characters a text's excess counts half as much squared as that of a long one.
 STEADY_CHARS = 300
 
@@ -142,8 +144,11 @@ def train(texts: DataFrame, text_col: str = "text", order: int = ORDER) -> Model
         d1, d2, d3 = _discounts(levels[k])
         discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
         level = levels[k].withColumn("ctx", F.shiftright("gram", CLASS_BITS)).withColumn("d", discount)
-        totals = level.groupBy("ctx").agg(F.sum("n").alias("total"), F.sum("d").alias("given"))
-        level = level.join(totals, "ctx")
+        # Whole numbers are summed, so the order of the rows changes nothing in the last bit.
+        kinds = [F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count_if(F.col("n") > 2)]
+        totals = level.groupBy("ctx").agg(F.sum("n").alias("total"), *[c.alias(f"n{i}") for i, c in enumerate(kinds)])
+        given = F.col("n0") * F.lit(d1) + F.col("n1") * F.lit(d2) + F.col("n2") * F.lit(d3)
+        level = level.join(totals.select("ctx", "total", given.alias("given")), "ctx")
         share, rest = (F.col("n") - F.col("d")) / F.col("total"), F.col("given") / F.col("total")
         if k == 1:
             base = 1.0 / (letters + 1)
@@ -243,9 +248,10 @@ def _scored_here(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
 
 def _scored_by_join(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
     """The same for a table of any size: n-grams of the texts, counted per text, meet the table shard by shard."""
-    keyed = docs.withColumn("__row", F.monotonically_increasing_id())
-    keyed = materialize(keyed)
-    source = keyed.select("__row", F.col(f"`{text_col}`").alias("text"))
+    taken = {c.lower() for c in docs.columns}
+    row, total, size = (next(n for k in range(len(taken) + 1) if (n := f"{name}_{k}") not in taken) for name in ("row", "log", "chars"))
+    keyed = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
+    source = keyed.select(F.col(row).alias("__row"), F.col(f"`{text_col}`").alias("text"))
     order = model.order
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,9 +279,13 @@ def _scored_by_join(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
             weight = F.when(~F.col("done"), F.coalesce("back", F.lit(0.0))).otherwise(0.0)
             state = state.select("top", (F.col("log") + weight).alias("log"), "done")
     logs = state.select("top", (F.col("log") + F.when(F.col("done"), 0.0).otherwise(model.unknown)).alias("log"))
-    sums = found.join(logs, "top").groupBy("__row").agg(F.sum("n").alias("lm_chars"), F.sum(F.col("n") * F.col("log")).alias("log"))
-    done = keyed.join(sums, "__row", "left").withColumn("lm_chars", F.coalesce("lm_chars", F.lit(0).cast("bigint")))
-    return done.withColumn("perplexity", F.exp(-F.col("log") / F.col("lm_chars"))).drop("__row", "log")
+    # Logarithms are summed as whole numbers, so the result does not depend on the order of the rows.
+    part = F.col("n") * F.round(F.col("log") * LOG_UNIT).cast("bigint")
+    sums = found.join(logs, "top").groupBy(F.col("__row").alias(row)).agg(F.sum("n").alias(size), F.sum(part).alias(total))
+    done = keyed.join(sums, row, "left")
+    mean = F.col(total) / F.lit(float(LOG_UNIT)) / F.col(size)
+    added = {"lm_chars": F.coalesce(F.col(size), F.lit(0).cast("bigint")), "perplexity": F.exp(-mean)}
+    return done.withColumns(added).drop(row, total, size)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", sent_rows: int = SENT_ROWS) -> DataFrame:
@@ -339,7 +349,7 @@ def fit_limits(scored: DataFrame, share: float = 0.995, slack: float = 1.5, leas
 
 
 def judge(scored: DataFrame, limits: Limits, lang_col: str = "lang") -> DataFrame:
-    """Adds ``excess``, ``limit`` and ``kept``.
+    """Adds ``excess``, ``limit`` and ``kept``; columns of these names are replaced.
 
     A text is kept if its excess is within the limit of its language; a language
     that is NULL or was not seen has the limit of all.  A text without a

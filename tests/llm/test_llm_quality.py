@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from rankloom.llm.quality import CLASS_BITS, START, _class_table, classes, fit_limits, judge, learn, score, train
 
@@ -74,11 +75,13 @@ def test_probabilities_like_the_definition(spark, model):
 def test_scoring_by_join_is_the_same(spark, model):
     rows = [(1, "the cat", "en"), (1, "the cat", "en"), (None, "zebra é", None), (2, None, "en"), (3, "", "en"), (4, "that dog " * 3000, "en")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    for name in ("log", "__row", "row_0", "LOG_0", "chars_0", "top", "n", "done"):  # clashing names are kept
+        docs = docs.withColumn(name, F.lit(name))
     key = lambda r: (r["doc_id"] or 0, r["text"] or "")
     here, joined = (sorted(score(docs, model, sent_rows=limit).collect(), key=key) for limit in (10**9, 0))
     assert len(here) == len(joined) == len(rows)
     for a, b in zip(here, joined):
-        assert (a["doc_id"], a["lm_chars"]) == (b["doc_id"], b["lm_chars"])
+        assert (a["doc_id"], a["lm_chars"], a["log"], a["__row"]) == (b["doc_id"], b["lm_chars"], b["log"], b["__row"]) and a["log"] == "log"
         assert b["perplexity"] == (None if a["perplexity"] is None else pytest.approx(a["perplexity"], rel=1e-9))
 
 
