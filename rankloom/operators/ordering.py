@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from rankloom.operators.skew import broadcast_if_small
 from rankloom.session import materialize
 
+# Parts of a key that are ranked by themselves where Spark does not cut on the map side.
+SALTS_WITHOUT_CUT = 32
 _ROWS_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -184,8 +186,12 @@ def top_k_per_key(
     Spark keeps only ``k`` rows per key and map task before the shuffle
     (WindowGroupLimit), so a hot key arrives as ``k`` rows per map task.  With
     ``salts`` > 1 those are cut once more in parallel before the last step;
-    worth it when ``k`` times the number of map tasks is large.
+    worth it when ``k`` times the number of map tasks is large.  They are used
+    as well when ``k`` is above the session's limit for the cut on the map side.
     """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > limit and salts == 1:
+        salts = SALTS_WITHOUT_CUT
     if salts > 1:
         pick = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rankloom.plans.catalog import query, table
 from rankloom.plans.pairs import top_recommendations
 from rankloom.session import scratch_path
-from rankloom.sources.dated import filter_days, snapshot
+from rankloom.sources.dated import filter_days, read_days, snapshot
 from rankloom.sources.delimited import (
     ordinal_dictionary,
     pick_columns,
@@ -143,6 +143,27 @@ def scan_date_range(spark, sf_dir):
     return filter_days(dated, "1996-03-01:1997-02-28").select(F.col("date").cast("string").alias("date"), "value")
 
 
+WALK_DAYS = ("2024-01-05", "2024-01-06", "2024-01-07", "2024-01-08")
+
+
+@query(
+    "scan_folder_walk",
+    """SELECT CAST(event_id AS VARCHAR) AS value, event_type AS kind FROM events
+       WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-06' AND DATE '2024-01-08' AND event_type <> 'view'""",
+)
+def scan_folder_walk(spark, sf_dir):
+    """Plain day folders with nested ones, walked for a range of days; files are picked by their names."""
+    path = scratch_path(spark, "days")
+    events = table(spark, sf_dir, "events").select("ts", F.col("event_id").cast("string").alias("value"), "event_type")
+    for day in WALK_DAYS:
+        of_day = events.filter(F.to_date("ts") == F.lit(day).cast("date")).drop("ts")
+        of_day.filter("event_type <> 'view'").write.partitionBy("event_type").csv(f"{path}/{day}/clicks")
+        of_day.filter("event_type = 'view'").drop("event_type").write.json(f"{path}/{day}/views")
+    read = read_days(spark, path, "2024-01-06:2024-01-08", "text", "value string", "*.csv")
+    # The kind is the name of the nested folder.
+    return read.select("value", F.regexp_extract(F.input_file_name(), "event_type=([^/]+)/", 1).alias("kind"))
+
+
 @query(
     "snapshot_lag",
     """SELECT event_id, CAST(ts AS DATE)::VARCHAR AS date FROM events
