@@ -11,11 +11,40 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.operators.encode import encode_token
+from rankloom.operators.vocab import coverage_vocabulary, token_frequency
+
+
+# Ids of a category that get a slot of their own, at most.
+MOST_IDS = 1 << 16
+
+
+def learn_ids(df: DataFrame, categories: Sequence[str], rate: float | None = None, most: int = MOST_IDS) -> DataFrame:
+    """``field, token, id``: ids from 1 for the values of raw categories, the most frequent first.
+
+    With a ``rate`` only the head that covers this share of the rows has ids, and
+    ``most`` ids at most: so the width of a one-hot block is that of the table,
+    whatever numbers or words the values are.  Store it before use.
+    """
+    values = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("token")) for c in categories])
+    counts = token_frequency(df.select(F.explode(values).alias("v")).select("v.field", "v.token"), by=["field"])
+    rates = {c: rate if rate is not None else 2.0 for c in categories}  # above 1: all of them
+    return coverage_vocabulary(counts, rates, by="field").filter(F.col("id") <= most).select("field", "token", "id")
+
+
+def apply_ids(df: DataFrame, ids: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """The categories as dense ids; 0 for a value without one, NULL and blank included."""
+    for c in categories:
+        text = df.withColumn(c, F.col(c).cast("string"))
+        df = encode_token(text, ids.filter(F.col("field") == c), c, c).withColumn(c, F.col(c).cast("int"))
+    return df
+
 
 def wide_stages(categories: Sequence[str], numerics: Sequence[str], out: str = "features") -> list:
     """One-hot ids next to standardized numbers in one vector.
 
-    Category columns hold dense ids; an id unseen in training gets a slot of its own.
+    Category columns hold dense ids (see ``learn_ids``), for the highest id is the width; an id unseen in training gets a
+    slot of its own.
     """
     hot = [f"_hot_{c}" for c in categories]
     stages = []

@@ -40,6 +40,7 @@ def click_rows(spark, sf_dir):
 
 
 def _fit_and_score(rows, fit, steps, **options):
+    rows = materialize(learners.apply_ids(rows, materialize(learners.learn_ids(rows, ["item"])), ["item"]))
     model = fit(rows, ["item"], ["value"], steps=steps, **options)
     return materialize(learners.predict(model, rows, ["event_id", "label"]))
 

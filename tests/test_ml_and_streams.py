@@ -23,6 +23,20 @@ def test_learners(spark, name):
     assert scored.filter((F.col("pred") < 0) | (F.col("pred") > 1)).count() == 0 and scored.count() == 300
 
 
+def test_width_is_that_of_the_table(spark):
+    """Ids far apart, and words, do not widen the one-hot block."""
+    rows = train_rows(spark).withColumn("item", F.pow(F.lit(10), F.col("item")).cast("int")).withColumn("word", F.concat(F.lit("w"), F.col("id") % 3))
+    ids = learners.learn_ids(rows, ["item", "word"]).cache()
+    assert sorted((r["field"], r["id"]) for r in ids.collect()) == [("item", i) for i in range(1, 6)] + [("word", i) for i in range(1, 4)]
+    dense = learners.apply_ids(rows, ids, ["item", "word"])
+    model = registry.build("linear")(dense, ["item", "word"], ["value"], steps=3)
+    assert len(model.stages[-1].coefficients) == 7 + 5 + 1  # ids 0 to 5 and 0 to 3, one slot each for unseen ones
+    few = learners.learn_ids(rows, ["word"], rate=0.5)
+    assert few.count() == 1 and learners.learn_ids(rows, ["item"], most=2).count() == 2
+    odd = spark.createDataFrame([(None, "nobody"), (10, "")], "item int, word string")
+    assert [tuple(r) for r in learners.apply_ids(odd, ids, ["item", "word"]).collect()][0] == (0, 0)
+
+
 def test_registry(tmp_path):
     with pytest.raises(ValueError):
         registry.register("linear", lambda: None)
