@@ -2,7 +2,9 @@
 
 import random
 
-from rankloom.llm.language import held_out, learn_profiles, predict_language
+import numpy as np
+
+from rankloom.llm.language import GRID, SEED, Encoder, held_out, learn_profiles, predict_language
 
 SYLLABLES = {"aa": ["ba", "do", "ki", "lu"], "bb": ["strü", "chen", "auf", "ge"], "cc": ["ёж", "ик", "тан", "во"]}
 SCHEMA = "doc_id bigint, text string, lang string, score string"
@@ -40,3 +42,40 @@ def test_odd_rows(spark):
     nothing = learn_profiles(docs.limit(0))
     assert {r["lang_pred"] for r in predict_language(docs, nothing).collect()} == {"und"}
     assert predict_language(docs.limit(0), nothing).count() == 0
+
+
+def plain_vector(text, dimensions):
+    """Bind and bundle, one n-gram and one dimension after the other."""
+    letters = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    marked = [1, *[x for w in letters for x in [*map(ord, w), 1]]]
+    if not letters:
+        return None
+    signs = {c: [2 * int(s) - 1 for s in np.random.default_rng((SEED, c)).integers(0, 2, dimensions)] for c in set(marked)}
+    total = [0] * dimensions
+    for i in range(len(marked) - 2):
+        for d in range(dimensions):
+            total[d] += signs[marked[i]][(d - 2) % dimensions] * signs[marked[i + 1]][(d - 1) % dimensions] * signs[marked[i + 2]][d]
+    return total
+
+
+def test_vectors_and_verdicts_like_plain_ones(spark):
+    texts = ["The cat, the DOG.", "é1ü x", "a", "wörter und worte " * 40, "ёж", "--- 12", "", "aaa aaa"]
+    encoder = Encoder(dimensions=64)
+    for text in texts:
+        got, want = encoder.vector(text), plain_vector(text, 64)
+        assert (got is None) == (want is None) and (want is None or got.tolist() == want)
+    rows = corpus()[:60]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    profiles = learn_profiles(docs.filter("doc_id < 40"), dimensions=64)
+    sums = {}
+    for i, text, lang, _ in rows:
+        if i < 40:
+            vector = plain_vector(text, 64)
+            length = sum(x * x for x in vector) ** 0.5
+            sums[lang] = [a + round(x / length * GRID) for a, x in zip(sums.get(lang, [0] * 64), vector)]
+    cosine = lambda a, b: sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5
+    got = {r["doc_id"]: r for r in predict_language(docs, profiles).collect()}
+    for i, text, _, _ in rows:
+        vector = plain_vector(text, 64)
+        best = max(sorted(sums), key=lambda lang: round(cosine(sums[lang], vector), 12))
+        assert got[i]["lang_pred"] == best and abs(got[i]["score"] - max(0.0, cosine(sums[best], vector))) < 1e-9
