@@ -221,9 +221,12 @@ def near_vectors(
     finite = F.forall("vector", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     usable = F.col("id").isNotNull() & F.col("label").isNotNull() & finite & F.exists("vector", lambda x: x != 0)
     source = source.withColumn("usable", F.coalesce(usable, F.lit(False)))
-    classes = materialize(
-        source.filter("usable").groupBy("label", "vector").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("weight")).select("node", "label", "weight", "vector")
-    )
+    # Both zeros are one; 128 bits stand for a vector where only its name is wanted.
+    usable = source.filter("usable").withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
+    usable = usable.withColumns({"h1": F.xxhash64("vector", F.lit(21)), "h2": F.xxhash64("vector", F.lit(22))})
+    grouped = usable.groupBy("label", "vector", "h1", "h2").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("weight"))
+    stored = materialize(grouped.select("node", "label", "weight", "vector", "h1", "h2"))
+    classes = stored.select("node", "label", "weight", "vector")
     count = classes.count()
     cells = fit_cells(classes, count, max_cells=max_cells, cell_rows=cell_rows)
     schema = T.StructType([*classes.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))])
@@ -238,17 +241,19 @@ def near_vectors(
     joined = components(found.filter(F.col("b").isNotNull()).select("a", "b"))
     linked = found.groupBy("a").agg(F.sum("links").alias("links"))
     named = (
-        classes.select("label", "vector", "node", "weight")
+        stored.select("label", "h1", "h2", "node", "weight")
         .join(linked.withColumnRenamed("a", "node"), "node", "left")
         .join(joined, "node", "left")
         .select(
             F.col("label").alias("l"),
-            F.col("vector").alias("v"),
+            F.col("h1").alias("k1"),
+            F.col("h2").alias("k2"),
             (F.coalesce("links", F.lit(0).cast("bigint")) + F.col("weight") - 1).alias("n_links"),
             F.coalesce("component", "node").alias("component_id"),
         )
     )
-    done = source.filter("usable").join(named, (F.col("label") == F.col("l")) & (F.col("vector") == F.col("v")))
+    done = usable.select("id", "label", "h1", "h2")
+    done = done.join(named, (F.col("label") == F.col("l")) & (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
     alone = source.filter("not usable").select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
     rows = done.select("id", "n_links", "component_id").unionByName(alone)
     return rows.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
