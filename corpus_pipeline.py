@@ -45,7 +45,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id.
 
     A group are texts that links of five-word similarity 0.8 or more reach;
-    candidates come from banded min-hashes, since SimHash does not find them.
+    candidates come from SimHash through distances to pivots, with fingerprints
+    wide enough for that similarity, and links are verified.
     Of equal rows one stays.  Rows that are neither equal to another nor go
     are told by a bit map and are not shuffled.
     """

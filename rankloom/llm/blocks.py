@@ -17,18 +17,19 @@ CHUNK_ROWS = 1024
 
 
 def in_blocks(
-    rows: DataFrame, group: str, spread: Column, chunk_rows: int = CHUNK_ROWS, *, size: str | None = None, limit: int = 0
+    rows: DataFrame, group: str, spread: Column, chunk_rows: int = CHUNK_ROWS, *, size: str | None = None, limit: int = 0, few_groups: bool = False
 ) -> DataFrame:
     """``rows`` (with a bigint column ``group``) dealt to blocks: adds ``block`` and ``chunk``.
 
     A block is ``array(group, i, j)`` with i <= j; rows of chunk i and j meet
     there, and ``chunk`` tells them apart.  Groups of one row are left out.
     With ``size``, a column of bytes, chunks also hold about ``limit`` of them.
+    With ``few_groups`` their sizes are sent to the tasks and rows are shuffled once.
     Blocks are contiguous and ordered within the result's partitions.
     """
     total = F.sum(size) if size else F.lit(0).cast("bigint")
     sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), total.alias("_s")).filter("_n > 1")
-    sized = rows.join(sizes, group)
+    sized = rows.join(F.broadcast(sizes) if few_groups else sizes, group)
     chunks = F.ceil(F.col("_n") / chunk_rows)
     if size:
         # No more chunks than rows: a large row is a chunk by itself.

@@ -1,20 +1,17 @@
-"""Near copies by the Jaccard similarity of their five-word shingles.
-
-SimHash distances do not tell near copies apart: of pairs with similarity 0.8
-or more hardly any lies within two bits.  So candidates come from banded
-min-hashes, and every link is verified by the exact similarity of the sets of
-shingle hashes.  A pair of similarity s meets in one of 20 bands of 5 with
-probability 1 - (1 - s**5)**20: 0.9996 at 0.8, more above; no pair below 0.8 is
-linked.
-
-Texts with one set are one class, so copies are never paired.  A band's group
-is first held against its head, the smallest class: one pair per class, made
-distinct across bands, and dropped if the sketches (a byte of each of the 100
-min-hashes) agree in fewer than 56 places, which a pair of similarity 0.8 does
-once in 10**8 times.  A set travels once per pair that is left.  Only groups
-that these links leave in several components are compared further, on sketches
-in blocks of bounded size, and the sets of the few classes with a partner there
-in blocks of bounded bytes.
+"""Near copies by the Jaccard similarity of their five-word shingles, found by SimHash.
+
+Candidates come from wide SimHash fingerprints through tables of distances to
+pivots (``simhash.near_prints``), and every link is verified by the exact
+similarity of the sets of shingle hashes.  Of pairs with similarity 0.8 or more
+hardly any lies within two of 64 bits, so fingerprints have 1,024 bits and the
+radius is that of such pairs; no pair below 0.8 is linked.
+
+Texts with one set are one class, so copies are never paired.  A class is first
+held against the smallest of its partners: the pair is dropped if the whole
+fingerprints are too far apart, and a set travels once per pair that is left.
+Only groups of connected fingerprints that these links leave in several
+components are compared further, on fingerprints in blocks of bounded size, and
+the sets of the few classes with a partner there in blocks of bounded bytes.
 """
 
 from __future__ import annotations
@@ -31,18 +28,14 @@ from rankloom.llm.batches import pieces
 from rankloom.llm.bitmap import bit_map
 from rankloom.llm.blocks import by_block, in_blocks
 from rankloom.llm.components import components
+from rankloom.llm.simhash import WIDE, WideHash, near_prints, print_matrix, wide_distances, within
 from rankloom.session import materialize
 
 WORDS = 5
-BANDS, ROWS = 20, 5
-SEED = 11
-# Sketches of a pair at 0.8 agree in 80 +- 4 places.
-AGREEING = 56
 # Bytes of sets that meet in a block, about; a larger set is a chunk of its own.
 BLOCK_BYTES = 8 << 20
 PAIRS_AT_ONCE = 1 << 15
 CACHED_WORDS = 150_000
-COUNTED = 1 << 12
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -50,11 +43,8 @@ class Shingler:
     """Sets of shingle hashes; hashes of words are remembered, up to a bound."""
 
     def __init__(self):
-        rng = np.random.default_rng(SEED)
         self.at: dict[bytes, int] = {}
         self.powers = np.array([pow(_MULTIPLIER, k + 1, 1 << 64) for k in range(WORDS)], np.uint64)
-        self.turn = rng.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
-        self.odd = rng.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted hashes of the five-word shingles; a shorter text is one shingle, a blank one has none."""
@@ -79,18 +69,6 @@ class Shingler:
         total ^= total >> np.uint64(32)
         return np.unique(total)
 
-    def bands(self, shingles: np.ndarray) -> tuple[list[int], bytes]:
-        """A hash of each band's smallest values, and the sketch; none without a shingle."""
-        import xxhash
-
-        if not len(shingles):
-            return [], bytes(BANDS * ROWS)
-        least = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
-        for at in range(0, len(shingles), COUNTED):
-            least = np.minimum(least, ((shingles[at : at + COUNTED, None] ^ self.turn) * self.odd).min(0))
-        keys = [xxhash.xxh64_intdigest(least[k * ROWS : (k + 1) * ROWS].tobytes(), seed=k) for k in range(BANDS)]
-        return np.array(keys, np.uint64).view(np.int64).tolist(), (least >> np.uint64(40)).astype(np.uint8).tobytes()
-
 
 def _class(shingles: np.ndarray) -> int:
     import xxhash
@@ -99,17 +77,16 @@ def _class(shingles: np.ndarray) -> int:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """``id, class, bands, sketch`` of ``id, text``."""
-    kinds = [T.StructField("class", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())]
-    schema = T.StructType([docs.schema["id"], *kinds])
+    """``id, class, print`` of ``id, text``; a text without a shingle has no fingerprint."""
+    schema = T.StructType([docs.schema["id"], T.StructField("class", T.LongType()), T.StructField("print", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler, wide = Shingler(), WideHash()
         for piece in pieces(batches, 1):
             sets = [shingler.shingles(t) for t in piece.column(1).to_pylist()]
-            bands, sketches = zip(*[shingler.bands(s) for s in sets])
-            columns = [piece.column(0), pa.array([_class(s) for s in sets], pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "class", "bands", "sketch"])
+            prints = [wide(s) if len(s) else None for s in sets]
+            columns = [piece.column(0), pa.array([_class(s) for s in sets], pa.int64()), pa.array(prints, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "class", "print"])
 
     return docs.mapInArrow(run, schema)
 
@@ -126,20 +103,16 @@ def _sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "class bigint, set array<bigint>")
 
 
-def _matrix(sketches: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches.to_pylist()), np.uint8).reshape(len(sketches), -1)
-
-
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, sketch of a, of b) whose sketches agree."""
+    """Pairs (a, b, fingerprint of a, of b) that are near by all bits."""
     for batch in batches:
         if batch.num_rows:
-            near = (_matrix(batch.column(2)) == _matrix(batch.column(3))).sum(axis=1) >= AGREEING
+            near = wide_distances(print_matrix(batch.column(2)), print_matrix(batch.column(3))) <= within(WIDE)
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(near)) for c in batch.columns[:2]], ["a", "b"])
 
 
 def _open_pairs(rows: pa.Table) -> pa.RecordBatch | None:
-    """Classes of a block with a partner: of another component, alike by sketch, neither being the head that was compared before."""
+    """Classes of a block with a partner: of another component, alike by fingerprint, neither being the head that was compared before."""
     rows = rows.combine_chunks()
     chunk, label, head = (rows.column(c).to_numpy() for c in ("chunk", "label", "head"))
     names, meet = rows.column("class").to_numpy(), rows.column("meet")[0].as_py()
@@ -147,7 +120,7 @@ def _open_pairs(rows: pa.Table) -> pa.RecordBatch | None:
     split = int((chunk == chunk[0]).sum())
     if i != j and split == len(names):
         return None
-    sketch = _matrix(rows.column("sketch").combine_chunks())
+    prints = print_matrix(rows.column("print"))
     first, other = np.arange(split if i != j else len(names)), np.arange(split if i != j else 0, len(names))
     found = np.zeros(len(names), bool)
     step = max(1, PAIRS_AT_ONCE // len(other))
@@ -155,7 +128,7 @@ def _open_pairs(rows: pa.Table) -> pa.RecordBatch | None:
         x = first[at : at + step]
         fresh = (label[x, None] != label[None, other]) & (names[x] != head[x])[:, None] & (names[other] != head[other])[None, :]
         a, b = np.nonzero(fresh)
-        near = (sketch[x[a]] == sketch[other[b]]).sum(axis=1) >= AGREEING
+        near = wide_distances(prints[x[a]], prints[other[b]]) <= within(WIDE)
         found[x[a[near]]] = True
         found[other[b[near]]] = True
     out = np.flatnonzero(found)
@@ -204,13 +177,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     signed = materialize(_signed(source))
-    classes = materialize(signed.groupBy("class").agg(F.min("id").alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
-    met = classes.select("class", F.explode("bands").alias("meet"))
-    heads = met.groupBy("meet").agg(F.min("class").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = materialize(met.join(heads, "meet"))
-    sketches = lambda side: classes.select(F.col("class").alias(side), F.col("sketch").alias(f"sketch_{side}"))
-    pairs = met.filter("class <> head").select(F.col("class").alias("a"), F.col("head").alias("b")).distinct()
-    pairs = pairs.join(sketches("a"), "a").join(sketches("b"), "b").select("a", "b", "sketch_a", "sketch_b")
+    classes = materialize(signed.groupBy("class").agg(F.min("id").alias("first"), F.first("print").alias("print")))
+    found = materialize(near_prints(classes.filter("print is not null")))
+    prints = lambda side: classes.select(F.col("class").alias(side), F.col("print").alias(f"print_{side}"))
+    pairs = found.filter("direct").join(prints("a"), "a").join(prints("b"), "b").select("a", "b", "print_a", "print_b")
     pairs = materialize(pairs.mapInArrow(_alike, "a bigint, b bigint"))
 
     def sets_of(wanted: DataFrame) -> DataFrame:
@@ -229,11 +199,14 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     labels = components(links)
 
     # Groups of two were compared; of the others, those that hold several components go on.
-    labelled = met.filter("n > 2").join(labels.withColumnRenamed("node", "class"), "class", "left")
-    labelled = labelled.select("meet", "class", "head", F.coalesce("component", "class").alias("label"))
-    open_ = labelled.groupBy("meet").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("meet")
-    rows = labelled.join(open_, "meet").join(classes.select("class", "sketch"), "class")
-    blocks = in_blocks(rows, "meet", F.col("class")).select("class", "block", "chunk", "meet", "label", "head", "sketch")
+    near = components(found.select("a", "b")).select(F.col("node").alias("class"), F.col("component").alias("meet"))
+    met = near.unionByName(near.select(F.col("meet").alias("class"), "meet").distinct())
+    labelled = met.join(labels.withColumnRenamed("node", "class"), "class", "left")
+    labelled = labelled.select("meet", "class", F.col("meet").alias("head"), F.coalesce("component", "class").alias("label"))
+    open_ = labelled.groupBy("meet").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+    open_ = open_.filter("n > 2 and low <> high").select("meet")
+    rows = labelled.join(open_, "meet").join(classes.select("class", "print"), "class")
+    blocks = in_blocks(rows, "meet", F.col("class")).select("class", "block", "chunk", "meet", "label", "head", "print")
     left = materialize(blocks.mapInArrow(lambda batches: by_block(batches, 1, _open_pairs), "class bigint, meet bigint").distinct())
     weighed = left.join(sets_of(left), "class").withColumn("bytes", F.size("set").cast("bigint") * 8)
     blocks = in_blocks(weighed, "meet", F.col("class"), size="bytes", limit=BLOCK_BYTES).select("class", "block", "chunk", "set")

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -50,3 +52,20 @@ def test_stage_removes_near_copies(spark):
     rows = [(1, " ".join(words), "en", "s", 1), (2, " ".join(near), "en", "s", 1), (3, " ".join(words[:150]), "en", "s", 1), (None, " ".join(near), "en", "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [1, 3]
+
+
+def test_candidates_come_from_simhash(spark, monkeypatch):
+    """Pairs of similarity 0.8, short ones included, are within the radius and meet in a run of the fingerprint."""
+    from rankloom.llm import simhash
+
+    monkeypatch.setattr(simhash, "RUN_ROWS", 8)
+    rng = random.Random(6)
+    make, prints, pairs = simhash.WideHash(), [], []
+    for size in [4, 8, 20, 100, 400] * 12:
+        whole = [rng.getrandbits(64) for _ in range(size + size // 4)]
+        pairs.append((len(prints), len(prints) + 1))
+        prints += [make(np.array(sorted(s), np.uint64)) for s in (whole, whole[:size])]
+    classes = spark.createDataFrame(list(enumerate(map(bytearray, prints))), "class bigint, print binary").repartition(3).cache()
+    found = {(r["b"], r["a"]) for r in simhash.near_prints(classes).filter("direct").collect()}
+    assert found == set(pairs)
+    assert all(simhash.wide_distances(*(simhash.print_matrix(pa.array([prints[k]])) for k in p))[0] <= simhash.within(simhash.WIDE) for p in pairs)
