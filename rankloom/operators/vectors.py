@@ -2,11 +2,13 @@
 
 Every row has a list of entries (position, id, weight); position p of its
 result is the sum of weight times vector over its entries at p.  A small,
-measured table goes to the tasks and nothing is shuffled.  A larger one is
-joined; the joined vectors are summed batch by batch before the shuffle and
-merged in one sorted pass behind it, so a row that is a third of all entries
-arrives as one partial sum per batch.  The plan does not depend on the number
-of components.
+measured table goes to the tasks and nothing is shuffled: every Python worker
+holds it up to a few MB; beyond that it is broadcast once per executor, the
+joined vectors of a row follow each other and are summed where they lie.  A
+larger one is joined; the joined vectors are summed batch by batch before the
+shuffle and merged in one sorted pass behind it, so a row that is a third of
+all entries arrives as one partial sum per batch.  The plan does not depend on
+the number of components.
 """
 
 from __future__ import annotations
@@ -25,8 +27,9 @@ from rankloom.functions.arrays import pad_to
 from rankloom.operators.joins import dimension_join
 from rankloom.operators.skew import BROADCAST_ROWS, fits_broadcast
 
-# A table up to this size is held by every task.
+# A table up to this size is sent to the tasks, and one up to the smaller size is held by every Python worker.
 TABLE_BYTES = 64 * 1024 * 1024
+WORKER_BYTES = 4 * 1024 * 1024
 NUMBERS_AT_ONCE = 1 << 21
 
 SUMS = ("_n", "_w2", "_s", "_q")
@@ -70,6 +73,17 @@ class Totals:
             if self.shape.squares:
                 self.squares[piece[starts]] += np.add.reduceat(terms**2, starts)
 
+    def resume(self, first: list[np.ndarray]) -> None:
+        """Go on with the totals of a row, as ``last`` gives them, in the first one."""
+        for own, given in zip(self._all(), first):
+            own[: len(given)] = given
+
+    def last(self) -> list[np.ndarray]:
+        return [x[(self.n - 1) * self.shape.positions :].copy() for x in self._all()]
+
+    def _all(self) -> list[np.ndarray]:
+        return [self.count, self.w2, self.sums, *([self.squares] if self.shape.squares else [])]
+
     def columns(self) -> list[pa.Array]:
         n, p = self.n, self.shape.positions
         wide = [self.sums, self.squares] if self.shape.squares else [self.sums]
@@ -134,6 +148,44 @@ def _combine(batches: Iterator[pa.RecordBatch], shape: Shape) -> Iterator[pa.Rec
             yield pa.RecordBatch.from_arrays([*named, *totals.columns()], [*batch.schema.names[:2], *SUMS[: 3 + shape.squares]])
 
 
+def _in_place(batches: Iterator[pa.RecordBatch], shape: Shape) -> Iterator[pa.RecordBatch]:
+    """Joined entries (..., place, position, present, weight, vector) to (..., sums): a row's entries follow each other.
+
+    ``place`` counts a row's entries from 0; its last row waits for the next batch.
+    """
+    step = max(1, NUMBERS_AT_ONCE // shape.width)
+    names = None
+    held = None
+    for whole in batches:
+        for begin in range(0, whole.num_rows, step):
+            batch = whole.slice(begin, step)
+            names = [*batch.schema.names[:-5], *SUMS[: 3 + shape.squares]]
+            place, position, present, weight, vector = batch.columns[-5:]
+            starts = place.to_numpy() == 0
+            # Entries before the first start belong to the row that is held.
+            row = np.cumsum(starts) - 1 + (held is not None)
+            known = vector.is_valid().to_numpy(zero_copy_only=False)
+            at = np.cumsum(known) - 1
+            vectors = vector.drop_null().flatten().to_numpy().reshape(-1, shape.dim)
+            here = present.to_numpy(zero_copy_only=False)
+            n = int(row[-1]) + 1
+            totals = Totals(n, shape)
+            if held is not None:
+                totals.resume(held[1])
+            segment = row * shape.positions + position.to_numpy()
+            totals.add(segment[here], _weights(weight)[here], known[here], vectors, at[here])
+            kept = pa.RecordBatch.from_arrays(batch.columns[:-5], batch.schema.names[:-5]).take(pa.array(np.flatnonzero(starts)))
+            if held is not None:
+                kept = pa.Table.from_batches([held[0], kept]).combine_chunks().to_batches()[0]
+            done = pa.RecordBatch.from_arrays([*kept.columns, *totals.columns()], names)
+            held = kept.slice(n - 1), totals.last()
+            yield done.slice(0, n - 1)
+    if held is not None:
+        totals = Totals(1, shape)
+        totals.resume(held[1])
+        yield pa.RecordBatch.from_arrays([*held[0].columns, *totals.columns()], names)
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial sums in key order to one row per key; the last key of a batch waits for the next one."""
     held = None
@@ -185,7 +237,7 @@ def vector_sums(
     rows = df.select(*groups, F.coalesce(entries, F.array().cast(df.select(entries.alias("e")).schema["e"].dataType)).alias("_e"))
     lists = [T.StructField(n, T.ArrayType(T.LongType() if n == "_n" else T.DoubleType())) for n in SUMS[: 3 + squares]]
     out = T.StructType([*rows.select(*groups).schema.fields, *lists])
-    if fits_broadcast(vectors, max_rows, TABLE_BYTES):
+    if fits_broadcast(vectors, max_rows, WORKER_BYTES):
         held = vectors.toArrow().combine_chunks()
         ids = held.column("_vid").combine_chunks()
         matrix = held.column("_vec").combine_chunks().flatten().to_numpy().reshape(-1, dim)
@@ -196,6 +248,20 @@ def vector_sums(
             F.transform("_e", lambda e: e["weight"].cast("double")).alias("_w"),
         )
         return parts.mapInArrow(lambda batches: _lookup(batches, ids, matrix, shape), out)
+    if fits_broadcast(vectors, max_rows, TABLE_BYTES):
+        # The join keeps the order of the entries, so nothing is shuffled; rows without entries stay as one without an id.
+        ranked = vectors.withColumn("_o", F.monotonically_increasing_id())
+        first = ranked.groupBy("_vid").agg(F.min_by("_vec", "_o").alias("_vec"))
+        each = rows.select(*groups, F.posexplode_outer("_e").alias("_at", "_e"))
+        found = each.join(F.broadcast(first), F.col("_e.id").cast(vectors.schema["_vid"].dataType) == F.col("_vid"), "left").select(
+            *groups,
+            F.coalesce("_at", F.lit(0)).alias("_at"),
+            F.coalesce(F.col("_e.position").cast("int"), F.lit(0)).alias("_p"),
+            F.col("_e.id").isNotNull().alias("_h"),
+            F.col("_e.weight").cast("double").alias("_w"),
+            "_vec",
+        )
+        return found.mapInArrow(lambda batches: _in_place(batches, shape), out)
     # Rows without entries stay as an entry without an id; what is kept travels on a row's first entry.
     payload = F.struct(F.lit(True).alias("_"), *keep)
     payload_type = rows.select(payload.alias("p")).schema["p"].dataType

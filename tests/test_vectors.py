@@ -83,3 +83,28 @@ def test_multihot_outside(spark):
     with pytest.raises(Exception, match="id outside"):
         bags.multihot(df, "row", "ids", 4).collect()
     assert [tuple(r) for r in bags.multihot(df, "row", "ids", 4, "mean", outside="drop").collect()] == [(1, 0, pytest.approx(1 / 3))]
+
+
+@pytest.mark.parametrize("at_once", [1 << 21, 40])
+@pytest.mark.parametrize("squares", [False, True])
+def test_sums_in_place(spark, monkeypatch, at_once, squares):
+    """A table too large for every worker goes to the executors; rows are summed where they lie, also where keys repeat."""
+    monkeypatch.setattr(vectors, "NUMBERS_AT_ONCE", at_once)
+    monkeypatch.setattr(vectors, "WORKER_BYTES", 0)
+    rng = random.Random(4)
+    table = {i: [rng.uniform(-1, 1) for _ in range(5)] for i in range(40)}
+    rows = [(k, [(rng.randrange(3), rng.choice([None, *range(45)]), rng.choice([None, 1.0, 0.5, -2.0])) for _ in range(rng.randrange(6))]) for k in range(150)]
+    rows += [(900, None), (901, []), (902, [(1, rng.randrange(40), 1.0) for _ in range(3000)]), (903, []), (7, rows[7][1]), (7, rows[7][1])]
+    df = spark.createDataFrame([(k, e, f"x{k}") for k, e in rows], "key int, e array<struct<position:int,id:int,weight:double>>, other string").repartition(4)
+    side = spark.createDataFrame([(i, v) for i, v in table.items()] + [(None, [1.0] * 5), (44, None), (3, table[3])], "id bigint, vec array<float>")
+    sums = vector_sums(df, "key", F.col("e"), side, 5, positions=3, squares=squares, keep=["other"])
+    plan = sums._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "REPARTITION_BY_COL" not in plan
+    got, want = sums.collect(), plain(rows, table, 5, 3)
+    assert sorted(r["key"] for r in got) == sorted(k for k, _ in rows)
+    for r in got:
+        n, w2, s, q = want[r["key"]]
+        assert r["other"] == f"x{r['key']}" and r["_n"] == n
+        assert r["_w2"] == pytest.approx(w2) and r["_s"] == pytest.approx(s, rel=1e-6, abs=1e-5)
+        if squares:
+            assert r["_q"] == pytest.approx(q, rel=1e-6, abs=1e-5)
